@@ -194,7 +194,7 @@ def r4(expr: str, nd: int = 4) -> str:
     return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,10)), {nd}) AS DOUBLE)"
 
 
-def with_views(body: str, *names: str) -> str:
+def with_views(body: str, *names: str, extra: dict[str, str] | None = None) -> str:
     order: list[str] = []
 
     def visit(n: str) -> None:
@@ -206,7 +206,8 @@ def with_views(body: str, *names: str) -> str:
 
     for n in names:
         visit(n)
-    if not order:
+    parts = [(n, _VIEWS[n][1]) for n in order] + list((extra or {}).items())
+    if not parts:
         return body.strip()
-    ctes = ",\n".join(f"{n} AS (\n{_VIEWS[n][1]}\n)" for n in order)
+    ctes = ",\n".join(f"{n} AS (\n{q.strip()}\n)" for n, q in parts)
     return f"WITH {ctes}\n{body.strip()}"
