@@ -38,7 +38,7 @@ def clean_header(name: str) -> str:
 
 def coerce_numeric(c, to: str = "double") -> Column:
     """text -> number; unparsable -> NULL (never raises)."""
-    return F.try_cast(F.trim(_c(c).cast("string")), to) if to else _c(c)
+    return F.trim(_c(c).cast("string")).try_cast(to) if to else _c(c)
 
 
 def coerce_datetime(c, formats=DAYFIRST_FORMATS) -> Column:
@@ -49,7 +49,7 @@ def coerce_datetime(c, formats=DAYFIRST_FORMATS) -> Column:
 
 def fill_zero_int(c) -> Column:
     """Count metric: numeric, NULL -> 0, truncated to BIGINT."""
-    return F.coalesce(F.try_cast(_c(c).cast("string"), "double"), F.lit(0.0)).cast("bigint")
+    return F.coalesce(F.trim(_c(c).cast("string")).try_cast("double"), F.lit(0.0)).cast("bigint")
 
 
 def clamp_nonnegative(c) -> Column:
