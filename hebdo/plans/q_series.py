@@ -371,3 +371,24 @@ UNION ALL
 {_PEAK_COLD}) p ORDER BY city, kind""", "visits_nc", "climate", extra=_CITY_WEEKS))
 def q_peaks_report_rows(spark, d):
     return P.peaks_report_rows(P.peaks_table(_city_weeks(spark, d)))
+
+
+@register("peak_alert_report", "2.8", with_views("""
+SELECT f.time_id, u.estab_label, f.total, f.is_peak
+FROM fact_flag f LEFT JOIN (
+  SELECT estab_code, estab_label FROM (
+    SELECT estab_code, estab_label, row_number() OVER (PARTITION BY estab_code ORDER BY visit_id) AS rn
+    FROM visits_nc) t WHERE rn = 1) u ON f.estab_code = u.estab_code
+WHERE f.is_peak = 1""", "fact_flag", "visits_nc"))
+def q_peak_alert_report(spark, d):
+    from hebdo.operators import reports as RP
+    v = V(spark, d)
+    return RP.peak_alert_report(A.with_peak_flag(A.fact_week_estab(v)), ST.dim_establishment_unique(v))
+
+
+@register("climate_report", "2.8", with_views(f"""
+SELECT year, week, city, {r4('temperature')} AS temperature, {r4('temperature - 5')} AS temp_min,
+       {r4('temperature + 5')} AS temp_max, TRUE AS is_synthetic FROM climate""", "climate"))
+def q_climate_report(spark, d):
+    from hebdo.operators import reports as RP
+    return RP.climate_report(A.climate_weekly_mean_exact(readings(spark, d)))
