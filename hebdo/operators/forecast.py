@@ -135,7 +135,8 @@ def _stage2(resid: DataFrame, key: str, grid, exog: bool) -> DataFrame:
     rows = resid.filter(F.col("w").isNotNull()).dropna(subset=superset)
     gram = rows.groupBy(key).agg(*_gram_aggs(superset, "w"))
     # series without enough history still need an (error) row per candidate
-    info = resid.groupBy(key).agg(F.max("n_train").alias("n_train"), F.max("n_points").alias("n_points"))
+    info = resid.groupBy(key).agg(F.max("n_train").alias("n_train"), F.max("n_points").alias("n_points"),
+                                  F.max(F.col("phi").isNull().cast("int")).alias("stage1_failed"))
     gram = info.join(gram, key, "left")
     grid = list(grid)
     schema = T.StructType([
@@ -157,7 +158,11 @@ def _stage2(resid: DataFrame, key: str, grid, exog: bool) -> DataFrame:
                    "coef": None, "sigma2": None, "aic": None, "m": None, "n_train": int(r["n_train"]),
                    "error": ""}
             m = r.get("m")
-            if int(r["n_train"]) < MIN_TRAIN or m is None or pd.isna(m) or m <= len(feats):
+            if int(r["n_train"]) < MIN_TRAIN:
+                rec["error"] = "series too short"
+            elif int(r["stage1_failed"]) == 1:
+                rec["error"] = "singular design"
+            elif m is None or pd.isna(m) or m <= len(feats):
                 rec["error"] = "series too short"
             else:
                 G, xy = _gram_to_numpy(r, feats)

@@ -106,7 +106,8 @@ def q_dedupe_rows(spark, d):
 
 @register("dedupe_by_key", "2.2", with_views("""
 SELECT commune_code, cause, visit_id, estab_code, total FROM (
-  SELECT *, row_number() OVER (PARTITION BY commune_code, cause ORDER BY visit_id) AS rn FROM visits) t
+  SELECT *, row_number() OVER (PARTITION BY commune_code, cause ORDER BY visit_id, estab_code, total) AS rn
+  FROM visits) t
 WHERE rn = 1""", "visits"))
 def q_dedupe_by_key(spark, d):
     v = visits(spark, d, with_cause=True).withColumn("_k", F.struct("commune_code", "cause"))

@@ -346,7 +346,7 @@ def q_naive_metrics(spark, d):
 # ------------------------------------------------------------------ §2.8 reports (statistics-based)
 
 @register("deviation_alerts", "2.8", with_views(f"""
-SELECT series_id, week_date, y, yhat, {r4('abs(y - yhat) / abs(yhat)')} AS rel_deviation
+SELECT series_id, week_date, y, yhat, {r4('abs(y - yhat) / NULLIF(abs(yhat), 0)')} AS rel_deviation
 FROM nv WHERE yhat IS NOT NULL AND abs(y - yhat) > 0.2 * abs(yhat)""", "case_series", extra=_NAIVE))
 def q_deviation_alerts(spark, d):
     return T.deviation_alerts(_naive(spark, d))
