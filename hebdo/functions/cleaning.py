@@ -68,6 +68,12 @@ def display_title(c) -> Column:
 
 
 def round_half_up(c, nd: int = 4) -> Column:
-    """Round a double via DECIMAL(38,10), HALF_UP: summation-order noise below
-    1e-10 cannot flip the last kept digit, so engines agree."""
-    return F.round(_c(c).cast("decimal(38,10)"), nd).cast("double")
+    """Round a double HALF_UP via DECIMAL(38,10), first to 6 places, then to nd.
+
+    Sums of the same values in a different order differ by a few ulps; the
+    6-place step absorbs that noise so a value sitting on a rounding tie
+    rounds the same way whatever the summation order (any engine)."""
+    d = _c(c).cast("decimal(38,10)")
+    if nd < 6:
+        d = F.round(d, 6)
+    return F.round(d, nd).cast("double")

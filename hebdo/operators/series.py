@@ -6,16 +6,19 @@ spread over the cluster. Series are at weekly grain (one row per series per
 week), so a window partition holds at most one row per calendar week no
 matter how many raw rows fed it: hot keys are collapsed by the partial
 aggregate before the shuffle.
+
+All windows of a series share one specification (partition by key, order by
+week date), so Spark sorts each series once and evaluates every lag, fill
+and count in the same pass.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from hebdo.functions.calendar import iso_week, iso_week_to_monday, iso_year, week_bin_monday
 from hebdo.functions.cleaning import round_half_up
-from hebdo.functions.calendar import iso_week_to_monday, week_bin_monday
-from hebdo.operators.aggregates import climate_weekly_mean_exact
 from hebdo.sources.tables import readings, visits
 
 
@@ -23,6 +26,11 @@ def _w(key: str, order: str = "week_date") -> Window:
     return Window.partitionBy(key).orderBy(order)
 
 
+def _whole(key: str, order: str = "week_date") -> Window:
+    """Whole-partition frame with the shared ordering (no extra sort)."""
+    return _w(key, order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
 def resample_week(df: DataFrame, key: str, ts_col: str, value_col: str, how: str = "sum",
                   out: str = "value") -> DataFrame:
     """Bin timestamps into (Tue..Mon] weeks labelled by the Monday; sum or mean."""
@@ -32,21 +40,32 @@ def resample_week(df: DataFrame, key: str, ts_col: str, value_col: str, how: str
             .groupBy(key, "week_date").agg(agg.cast("double").alias(out)))
 
 
-def calendar_spine(binned: DataFrame, key: str) -> DataFrame:
-    """Gap-free weekly calendar from each series' first to last week."""
-    return (binned.groupBy(key).agg(F.min("week_date").alias("lo"), F.max("week_date").alias("hi"))
-            .select(key, F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 7 DAYS"))).alias("week_date")))
-
-
 def to_spine(binned: DataFrame, key: str, value: str = "value", zero_fill: bool = True) -> DataFrame:
-    """Left-join bins onto the spine; empty bins become 0 (sums) or stay NULL (means)."""
-    sp = calendar_spine(binned, key)
-    out = sp.join(binned, [key, "week_date"], "left")
+    """Gap-free weekly rows from each series' first to last bin.
+
+    Each bin emits itself plus the empty weeks up to the next bin (``lead``
+    over the series, then ``explode``): one sort per series, no min/max
+    aggregate and no join back. Empty weeks get 0 (sums) or NULL (means).
+    """
+    nxt = F.col("_next")
+    gaps = F.when(nxt.isNotNull() & (F.datediff(nxt, F.col("week_date")) > 7),
+                  F.sequence(F.date_add("week_date", 7), F.date_sub(nxt, 7), F.expr("INTERVAL 7 DAYS")))
+    filler = F.lit(0.0) if zero_fill else F.lit(None).cast("double")
+    rows = F.concat(F.array(F.struct(F.col("week_date").alias("week_date"), F.col(value).cast("double").alias(value))),
+                    F.coalesce(F.transform(gaps, lambda g: F.struct(g.alias("week_date"), filler.alias(value))),
+                               F.array().cast(f"array<struct<week_date:date,{value}:double>>")))
+    out = (binned.select(key, "week_date", value, F.lead("week_date").over(_w(key)).alias("_next"))
+           .select(key, F.explode(rows).alias("_r")).select(key, "_r.week_date", f"_r.{value}"))
     if zero_fill:
         out = out.withColumn(value, F.coalesce(F.col(value), F.lit(0.0)))
     return out
 
 
+def calendar_spine(binned: DataFrame, key: str) -> DataFrame:
+    """(key, week_date) for every week from each series' first to last bin."""
+    return to_spine(binned.select(key, "week_date", F.lit(0.0).alias("_v")), key, "_v").select(key, "week_date")
+
+
 def resample_week_sum(df: DataFrame, key: str, ts_col: str, value_col: str, out: str = "value") -> DataFrame:
     return to_spine(resample_week(df, key, ts_col, value_col, "sum", out), key, out, zero_fill=True)
 
@@ -66,8 +85,7 @@ def interpolate_linear(df: DataFrame, key: str, value: str, order: str = "week_d
     w = _w(key, order)
     before = w.rowsBetween(Window.unboundedPreceding, 0)
     after = w.rowsBetween(0, Window.unboundedFollowing)
-    pos = F.row_number().over(w)
-    d = df.withColumn("_pos", pos)
+    d = df.withColumn("_pos", F.row_number().over(w))
     has = F.col(value).isNotNull()
     d = (d.withColumn("_pv", F.last(F.col(value), ignorenulls=True).over(before))
           .withColumn("_pp", F.last(F.when(has, F.col("_pos")), ignorenulls=True).over(before))
@@ -110,15 +128,17 @@ def holdout_split(df: DataFrame, key: str, rule: str = "B", order: str = "week_d
 
     rule A: h = 52 if n > 104 else max(4, min(12, n div 4))
     rule B: h = 52 if n > 104 else max(6, n div 4), clamped to n - 1
+
+    n and the position come from the series' shared window ordering (the
+    last h rows are those with position > n - h), so no descending sort.
     """
-    n = F.count(F.lit(1)).over(Window.partitionBy(key))
+    n = F.count(F.lit(1)).over(_whole(key, order))
     if rule == "A":
         h = F.when(n > 104, 52).otherwise(F.greatest(F.lit(4), F.least(F.lit(12), F.floor(n / 4).cast("int"))))
     else:
         h = F.when(n > 104, 52).otherwise(F.least(F.greatest(F.lit(6), F.floor(n / 4).cast("int")), n - 1))
-    rdesc = F.row_number().over(Window.partitionBy(key).orderBy(F.col(order).desc()))
     return (df.withColumn("n_points", n.cast("bigint")).withColumn("h", h.cast("int"))
-            .withColumn("is_test", rdesc <= F.col("h")))
+            .withColumn("is_test", F.row_number().over(_w(key, order)) > F.col("n_points") - F.col("h")))
 
 
 # ---------------------------------------------------------------- analogues
@@ -126,21 +146,28 @@ def holdout_split(df: DataFrame, key: str, rule: str = "B", order: str = "week_d
 def region_case_series(spark: SparkSession, d: str) -> DataFrame:
     """Weekly cases per region (series_id = lower-cased region name), gap-free.
 
-    (ISO year, ISO week) -> ISO Monday -> weekly bin -> zero-filled spine.
+    (ISO year, ISO week) -> ISO Monday -> weekly bin, summed in one
+    aggregation (the mapping from (year, week) to its bin is a function, so
+    summing per bin directly equals summing per week first), then the
+    zero-filled spine.
     """
     v = visits(spark, d, with_cause=False)
-    by_week = (v.dropna(subset=["year", "week", "region_label"])
-               .groupBy(F.lower(F.trim("region_label")).alias("series_id"), "year", "week")
-               .agg(F.sum("total").alias("cases"))
-               .withColumn("ts", iso_week_to_monday("year", "week")))
-    return resample_week_sum(by_week, "series_id", "ts", "cases", out="cases")
+    bins = (v.dropna(subset=["year", "week", "region_label"])
+            .groupBy(F.lower(F.trim("region_label")).alias("series_id"),
+                     week_bin_monday(iso_week_to_monday("year", "week")).alias("week_date"))
+            .agg(F.sum("total").cast("double").alias("cases")))
+    return to_spine(bins, "series_id", "cases", zero_fill=True)
 
 
 def climate_monday(spark: SparkSession, d: str) -> DataFrame:
-    """Weekly climate keyed by (city, ISO Monday), averaged if several (year, week) meet."""
-    c = climate_weekly_mean_exact(readings(spark, d))
-    return (c.withColumn("week_date", week_bin_monday(iso_week_to_monday("year", "week")))
-            .groupBy(F.col("city").alias("series_id"), "week_date")
+    """Weekly mean temperature keyed by (city, ISO Monday), one aggregation over readings.
+
+    ISO (year, week) keys map one-to-one to their Monday, so the mean per
+    Monday equals the mean per ISO week.
+    """
+    r = readings(spark, d).dropna(subset=["reading_ts", "temperature", "city"])
+    monday = week_bin_monday(iso_week_to_monday(iso_year("reading_ts"), iso_week("reading_ts")))
+    return (r.groupBy(F.lower(F.trim("city")).alias("series_id"), monday.alias("week_date"))
             .agg(F.avg("temperature").alias("temperature")))
 
 
@@ -175,7 +202,3 @@ def round_cols(df: DataFrame, cols, nd: int = 4) -> DataFrame:
     for c in cols:
         df = df.withColumn(c, round_half_up(F.col(c), nd))
     return df
-
-
-def col_or(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c

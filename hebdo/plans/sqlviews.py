@@ -191,7 +191,10 @@ WHERE c.cases IS NOT NULL AND m.temperature IS NOT NULL
 
 def r4(expr: str, nd: int = 4) -> str:
     """SQL twin of ``round_half_up``."""
-    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,10)), {nd}) AS DOUBLE)"
+    inner = f"CAST({expr} AS DECIMAL(38,10))"
+    if nd < 6:
+        inner = f"ROUND({inner}, 6)"
+    return f"CAST(ROUND({inner}, {nd}) AS DOUBLE)"
 
 
 def with_views(body: str, *names: str, extra: dict[str, str] | None = None) -> str:

@@ -9,11 +9,11 @@ stood in for by views over the driver's TPC-H-like tables:
   name plays the city and the order price the temperature.
 
 Join strategy: nation (25 rows) and region (5 rows) are fixed-size by the
-TPC-H spec, so they are broadcast explicitly. supplier, customer and part
-grow with the scale factor; they are left to the planner/AQE, which
-broadcasts them only when their measured size is under
-``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles both sides
-on the key. The small dimension chain (supplier -> nation -> region) is
+TPC-H spec and always broadcast. supplier, customer and part grow with the
+scale factor: they are broadcast only after a row-count check against
+``hebdo.broadcast.maxRows`` (see ``sizing``), and otherwise joined by
+shuffling both sides on the key. The fact side (lineitem, orders) is never
+broadcast. The small dimension chain (supplier -> nation -> region) is
 resolved first, so lineitem meets a single pre-joined geography table.
 """
 
@@ -23,10 +23,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hebdo.functions.calendar import iso_week, iso_year, time_key
+from hebdo.sources import sizing
+
+
+def path_of(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(path_of(sf_dir, name))
 
 
 def geography(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
@@ -64,6 +69,13 @@ def cause_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("cause_code", F.dense_rank().over(Window.orderBy("cause")).cast("bigint")))
 
 
+def causes_by_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(p_partkey, cause, cause_code); at most one row per part."""
+    part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("cause"))
+    n_part = sizing.table_rows(spark, path_of(sf_dir, "part"))
+    return part.join(sizing.dimension(cause_codes(spark, sf_dir), n_part), "cause")
+
+
 def visits(spark: SparkSession, sf_dir: str, with_cause: bool = True) -> DataFrame:
     """The visit-level analogue table (internal schema).
 
@@ -72,8 +84,10 @@ def visits(spark: SparkSession, sf_dir: str, with_cause: bool = True) -> DataFra
     join entirely.
     """
     l = table(spark, sf_dir, "lineitem")
+    n_supp = sizing.table_rows(spark, path_of(sf_dir, "supplier"))
+    est = sizing.dimension(establishments(spark, sf_dir), n_supp)
     qty = F.col("l_quantity").cast("bigint")
-    v = (l.join(establishments(spark, sf_dir), l.l_suppkey == F.col("estab_code"))
+    v = (l.join(est, l.l_suppkey == F.col("estab_code"))
          .withColumn("visit_id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
          .withColumn("age_group", F.col("l_returnflag"))
          .withColumn("visit_ts", F.col("l_shipdate"))
@@ -87,8 +101,8 @@ def visits(spark: SparkSession, sf_dir: str, with_cause: bool = True) -> DataFra
             "commune_code", "commune_label", "service_code", "service_label",
             "age_group", "visit_ts", "year", "week", "total", "band_a", "band_n", "band_r"]
     if with_cause:
-        part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("cause"))
-        part = part.join(cause_codes(spark, sf_dir), "cause")
+        n_part = sizing.table_rows(spark, path_of(sf_dir, "part"))
+        part = sizing.dimension(causes_by_part(spark, sf_dir), n_part)
         v = v.join(part, v.l_partkey == part.p_partkey)
         cols = cols[:9] + ["cause", "cause_code"] + cols[9:]
     return v.select(*cols).withColumn("time_id", time_key("year", "week"))
@@ -100,6 +114,8 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     geo = F.broadcast(geography(spark, sf_dir, "c_nationkey").select("c_nationkey", "region_label"))
     cg = c.join(geo, "c_nationkey")
+    n_cust = sizing.table_rows(spark, path_of(sf_dir, "customer"))
+    cg = sizing.dimension(cg, n_cust)
     return (o.join(cg, o.o_custkey == cg.c_custkey)
             .select(F.col("o_orderdate").alias("reading_ts"),
                     F.col("region_label").alias("city"),
