@@ -30,8 +30,24 @@ def path_of(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(path_of(sf_dir, name))
+    """Base table reader, memoised per session and path.
+
+    Resolving a parquet relation lists files and reads footers; the resolved
+    DataFrame is immutable and reused by every query of the session (like a
+    catalog table). ``forget_tables()`` drops the memo after files change.
+    """
+    key = (id(spark), path_of(sf_dir, name))
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(key[1])
+    return _TABLES[key]
+
+
+def forget_tables() -> None:
+    _TABLES.clear()
 
 
 def geography(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
@@ -87,16 +103,16 @@ def visits(spark: SparkSession, sf_dir: str, with_cause: bool = True) -> DataFra
     n_supp = sizing.table_rows(spark, path_of(sf_dir, "supplier"))
     est = sizing.dimension(establishments(spark, sf_dir), n_supp)
     qty = F.col("l_quantity").cast("bigint")
-    v = (l.join(est, l.l_suppkey == F.col("estab_code"))
-         .withColumn("visit_id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
-         .withColumn("age_group", F.col("l_returnflag"))
-         .withColumn("visit_ts", F.col("l_shipdate"))
-         .withColumn("year", iso_year("l_shipdate"))
-         .withColumn("week", iso_week("l_shipdate"))
-         .withColumn("total", qty)
-         .withColumn("band_a", F.when(F.col("l_returnflag") == "A", qty).otherwise(F.lit(0).cast("bigint")))
-         .withColumn("band_n", F.when(F.col("l_returnflag") == "N", qty).otherwise(F.lit(0).cast("bigint")))
-         .withColumn("band_r", F.when(F.col("l_returnflag") == "R", qty).otherwise(F.lit(0).cast("bigint"))))
+    zero = F.lit(0).cast("bigint")
+    flag = F.col("l_returnflag")
+    v = l.join(est, l.l_suppkey == F.col("estab_code")).select(
+        "*",
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("visit_id"),
+        flag.alias("age_group"), F.col("l_shipdate").alias("visit_ts"),
+        iso_year("l_shipdate").alias("year"), iso_week("l_shipdate").alias("week"), qty.alias("total"),
+        F.when(flag == "A", qty).otherwise(zero).alias("band_a"),
+        F.when(flag == "N", qty).otherwise(zero).alias("band_n"),
+        F.when(flag == "R", qty).otherwise(zero).alias("band_r"))
     cols = ["visit_id", "estab_code", "estab_label", "region_code", "region_label",
             "commune_code", "commune_label", "service_code", "service_label",
             "age_group", "visit_ts", "year", "week", "total", "band_a", "band_n", "band_r"]
@@ -105,7 +121,7 @@ def visits(spark: SparkSession, sf_dir: str, with_cause: bool = True) -> DataFra
         part = sizing.dimension(causes_by_part(spark, sf_dir), n_part)
         v = v.join(part, v.l_partkey == part.p_partkey)
         cols = cols[:9] + ["cause", "cause_code"] + cols[9:]
-    return v.select(*cols).withColumn("time_id", time_key("year", "week"))
+    return v.select(*cols, time_key("year", "week").alias("time_id"))
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
