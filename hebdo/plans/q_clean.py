@@ -12,7 +12,7 @@ from hebdo.operators import joins as J
 from hebdo.operators import profile as PR
 from hebdo.operators import star as ST
 from hebdo.plans.registry import register
-from hebdo.plans.sqlviews import r4, with_views
+from hebdo.plans.sqlviews import iso_monday_sql, r4, week_bin_sql, with_views
 from hebdo.sources import files as FS
 from hebdo.sources.tables import readings, table, visits
 
@@ -291,7 +291,11 @@ def q_detect_delimiter(spark, d):
     return FS.detect_delimiter(FS.delimiter_profile(spark, path))
 
 
-@register("bad_line_quarantine", "2.1")
+@register("bad_line_quarantine", "2.1", with_views("""
+SELECT CAST(year AS VARCHAR) || ';' || CAST(week AS VARCHAR) AS raw_line
+FROM (SELECT DISTINCT year, week, lower(trim(region_label)) AS city FROM visits_nc
+      WHERE year IS NOT NULL AND week IS NOT NULL AND region_label IS NOT NULL) t
+WHERE week = 53""", "visits_nc"))
 def q_bad_line_quarantine(spark, d):
     """Lines of week 53 are written truncated; they come back quarantined, the rest typed."""
     cw = A.cases_by_city_week(visits(spark, d, with_cause=False))
@@ -312,3 +316,19 @@ def q_file_line_counts(spark, d):
                     "dim_cause": ST.dim_cause(v)}.items():
         FS.write_table(t, f"{folder}/{name}", fmt="csv")
     return FS.file_line_counts(spark, folder, "*/*.csv")
+
+
+# ------------------------------------------------------------------ streaming refresh
+
+@register("weekly_refresh_stream", "2.7", with_views(f"""
+SELECT lower(trim(region_label)) AS series_id, {week_bin_sql(iso_monday_sql('year', 'week'))} AS week_date,
+       CAST(SUM(total) AS BIGINT) AS cases
+FROM visits_nc WHERE visit_ts IS NOT NULL GROUP BY 1, 2""", "visits_nc"))
+def q_weekly_refresh_stream(spark, d):
+    """Incremental refresh: the line-item files consumed as a stream (available-now
+    trigger), per-batch weekly partial sums written idempotently, then combined."""
+    from hebdo.streaming.refresh import read_weekly, start_weekly_refresh
+    base = FS.scratch_path(spark, "weekly_refresh")
+    q = start_weekly_refresh(spark, d, f"{d.rstrip('/')}/lineitem*.parquet", f"{base}/weekly", f"{base}/_checkpoint")
+    q.awaitTermination()
+    return read_weekly(spark, f"{base}/weekly")

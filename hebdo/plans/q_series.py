@@ -392,3 +392,18 @@ SELECT year, week, city, {r4('temperature')} AS temperature, {r4('temperature -
 def q_climate_report(spark, d):
     from hebdo.operators import reports as RP
     return RP.climate_report(A.climate_weekly_mean_exact(readings(spark, d)))
+
+
+@register("append_log", "2.1", with_views(f"""
+SELECT run, series_id, mae, rmse, n_test FROM ({_METRICS}) m, (SELECT 1 AS run UNION ALL SELECT 2) r""",
+                                          "case_series", extra=_NAIVE))
+def q_append_log(spark, d):
+    """Two refresh runs append their metrics rows to one history table (created on first append)."""
+    from hebdo.session import checkpoint_dir
+    from hebdo.sources import files as FS
+    checkpoint_dir(spark)
+    path = FS.scratch_path(spark, "metrics_log")
+    m = T.holdout_metrics(_naive(spark, d))
+    for run in (1, 2):
+        FS.append_log(m.select(F.lit(run).alias("run"), "*"), path)
+    return spark.read.parquet(path)
