@@ -263,21 +263,17 @@ def sarima_grid(series: DataFrame, key: str = "series_id", value: str = "cases",
     fits: one row per (series, candidate) with coefficients, sigma^2, AIC,
     error text. predictions: holdout steps and ``horizon`` future steps.
     """
+    from hebdo.session import checkpoint_dir
+    checkpoint_dir(series.sparkSession)
     prep = _prepare(series, key, value, exog, rule)
-    resid = _with_residuals(prep, _stage1(prep, key), key)
-    resid = resid.checkpoint() if _has_ckpt(series) else resid
-    fits = _stage2(resid, key, grid, exog is not None)
+    # residuals, fits and predictions are each read by several consumers:
+    # materialise them once in the shared checkpoint folder (lineage cut)
+    resid = _with_residuals(prep, _stage1(prep, key), key).checkpoint()
+    fits = _stage2(resid, key, grid, exog is not None).checkpoint()
     tail_cols = [key, "week_date", "y", "w", "e", "is_test"] + (["xw"] if exog else [])
     tails = resid.filter(F.col("is_test") | (F.col("pos") > F.col("n_train") - (SEASON + 2))).select(*tail_cols)
-    preds = _forecast(tails, fits, key, exog is not None, horizon)
-    return fits, preds, prep.select(key, "week_date", "y", "is_test")
-
-
-def _has_ckpt(df: DataFrame) -> bool:
-    try:
-        return bool(df.sparkSession.sparkContext.getCheckpointDir())
-    except Exception:  # noqa: BLE001
-        return False
+    preds = _forecast(tails, fits, key, exog is not None, horizon).checkpoint()
+    return fits, preds, resid.select(key, "week_date", "y", "is_test")
 
 
 def holdout_scores(preds: DataFrame, actual: DataFrame, key: str = "series_id") -> DataFrame:

@@ -19,16 +19,23 @@ from hebdo.sources import files as FS
 KEY = "series_id"
 
 
-def _grid(spark, d, grid=FC.GRID, rule="B", exog=False):
+def _series(spark, d, exog=False):
+    """Weekly case series (with aligned climate when exog), checkpointed once in the
+    shared checkpoint folder: every candidate family of one run reads it from there."""
     checkpoint_dir(spark)
+    s = S.aligned_cases_climate(spark, d) if exog else S.region_case_series(spark, d)
+    return s.checkpoint()
+
+
+def _grid(spark, d, grid=FC.GRID, rule="B", exog=False, series=None):
+    s = series if series is not None else _series(spark, d, exog)
     if exog:
-        s = S.aligned_cases_climate(spark, d)
         return FC.sarima_grid(s, KEY, "cases", exog="temperature", grid=grid, rule=rule)
-    return FC.sarima_grid(S.region_case_series(spark, d), KEY, "cases", grid=grid, rule=rule)
+    return FC.sarima_grid(s, KEY, "cases", grid=grid, rule=rule)
 
 
-def _table(spark, d, grid=FC.GRID, rule="B", exog=False, model="SARIMAX"):
-    fits, preds, actual = _grid(spark, d, grid, rule, exog)
+def _table(spark, d, grid=FC.GRID, rule="B", exog=False, model="SARIMAX", series=None):
+    fits, preds, actual = _grid(spark, d, grid, rule, exog, series)
     return FC.candidates_table(fits, FC.holdout_scores(preds, actual), KEY, model), fits, preds
 
 
@@ -68,8 +75,8 @@ def q_model_report_metrics(spark, d):
     return RP.model_report_metrics(RP.metrics_pair(_comparison(spark, d)))
 
 
-def _harmonic_row(spark, d):
-    pred = FC.harmonic_candidate(S.region_case_series(spark, d))
+def _harmonic_row(spark, d, series=None):
+    pred = FC.harmonic_candidate(series if series is not None else S.region_case_series(spark, d))
     err = F.col("y") - F.col("yhat")
     return (pred.groupBy(KEY).agg(R(F.avg(F.abs(err))).alias("mae"), R(F.sqrt(F.avg(err * err))).alias("rmse"),
                                   F.max("error").alias("error"))
@@ -84,8 +91,8 @@ def q_harmonic_candidate(spark, d):
     return _harmonic_row(spark, d)
 
 
-def _naive_row(spark, d):
-    m = ST.holdout_metrics(ST.seasonal_naive(S.region_case_series(spark, d)))
+def _naive_row(spark, d, series=None):
+    m = ST.holdout_metrics(ST.seasonal_naive(series if series is not None else S.region_case_series(spark, d)))
     return m.select(KEY, F.lit("Naive52").alias("model"), F.lit(None).cast("int").alias("candidate_id"),
                     *[F.lit(None).cast("int").alias(c) for c in ("p", "q", "sp", "sq")],
                     F.lit("-").alias("order"), F.lit("-").alias("seasonal"),
@@ -93,9 +100,10 @@ def _naive_row(spark, d):
 
 
 def _leaderboard(spark, d):
-    cands, fits, preds = _table(spark, d)
-    lb = RP.leaderboard(_naive_row(spark, d).unionByName(cands).unionByName(_harmonic_row(spark, d)), KEY)
-    return lb, fits, preds
+    series = _series(spark, d)
+    cands, fits, preds = _table(spark, d, series=series)
+    rows = _naive_row(spark, d, series).unionByName(cands).unionByName(_harmonic_row(spark, d, series))
+    return RP.leaderboard(rows, KEY), fits, preds
 
 
 @register("leaderboard", "2.7")
