@@ -69,6 +69,15 @@ def best_lag(lag_corr: DataFrame, key: str = "series_id") -> DataFrame:
                                         R(F.col("_m.corr")).alias("best_corr"))
 
 
+def correlation_summary(lag_corr: DataFrame, key: str = "series_id") -> DataFrame:
+    """Lag-0 correlation, best lag and its correlation, from one lag table, one aggregate."""
+    best = F.min(F.when(F.col("corr").isNotNull(),
+                        F.struct((-F.abs(F.col("corr"))).alias("_a"), F.col("lag"), F.col("corr"))))
+    return lag_corr.groupBy(key).agg(
+        F.max(F.when(F.col("lag") == 0, F.col("corr"))).alias("corr_lag0"),
+        best.getField("lag").alias("best_lag"), best.getField("corr").alias("best_corr"))
+
+
 def linear_trend(weekly: DataFrame, key: str, x: str, y: str) -> DataFrame:
     """OLS y ~ x per series: slope, intercept, R^2 and fitted values.
 

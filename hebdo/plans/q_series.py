@@ -358,9 +358,7 @@ SELECT c.series_id, {r4(pearson_sql('cases', 'temperature'))} AS corr_lag0,
 FROM inner_aligned c LEFT JOIN ({_BEST}) b ON c.series_id = b.series_id GROUP BY c.series_id""",
                                                    "inner_aligned"))
 def q_correlation_summary(spark, d):
-    a = S.inner_aligned(spark, d)
-    return (T.corr_lag0(a).withColumnRenamed("corr", "corr_lag0")
-            .join(T.best_lag(T.lag_correlation(a)), "series_id", "left"))
+    return T.correlation_summary(T.lag_correlation(S.inner_aligned(spark, d)))
 
 
 @register("peaks_report_rows", "2.8", with_views(f"""

@@ -33,16 +33,19 @@ def build_session(master: str | None = None, app: str = "hebdo",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
+    """The shared checkpoint folder, as the cluster names it.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is. Only when it is unset (local tests) do we create one.
+    Order: the directory already set on the context (Spark sets it from
+    ``spark.checkpoint.dir`` at start-up), then ``spark.checkpoint.dir`` from
+    the session or context configuration. Only when none is set (local
+    tests) is a scratch folder created and registered.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not d:
         d = tempfile.mkdtemp(prefix="hebdo-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
