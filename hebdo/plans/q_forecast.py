@@ -103,7 +103,8 @@ def _leaderboard(spark, d):
     series = _series(spark, d)
     cands, fits, preds = _table(spark, d, series=series)
     rows = _naive_row(spark, d, series).unionByName(cands).unionByName(_harmonic_row(spark, d, series))
-    return RP.leaderboard(rows, KEY), fits, preds
+    # read by several consumers (best model, forecasts, refresh log): materialise once
+    return RP.leaderboard(rows, KEY).checkpoint(), fits, preds, series
 
 
 @register("leaderboard", "2.7")
@@ -117,7 +118,7 @@ def q_best_model(spark, d):
 
 
 def _best_preds(spark, d):
-    lb, fits, preds = _leaderboard(spark, d)
+    lb, fits, preds, _ = _leaderboard(spark, d)
     best = RP.best_model(lb, KEY).select(KEY, "candidate_id")
     return preds.join(best, [KEY, "candidate_id"]), best, fits
 
@@ -153,12 +154,12 @@ def q_model_params_table(spark, d):
 @register("monthly_refresh", "2.7")
 def q_monthly_refresh(spark, d):
     """Refit with the selected order, write the forecast, append a monitoring row per series."""
-    lb, fits, preds = _leaderboard(spark, d)
+    lb, fits, preds, series = _leaderboard(spark, d)
     best = RP.best_model(lb, KEY)
     fut = preds.join(best.select(KEY, "candidate_id"), [KEY, "candidate_id"]).filter("is_future")
     base = FS.scratch_path(spark, "refresh")
     FS.write_table(fut.select(KEY, "week_date", "yhat", "lo95", "hi95"), f"{base}/forecast")
-    n_points = S.region_case_series(spark, d).groupBy(KEY).agg(F.count(F.lit(1)).alias("n_points"))
+    n_points = series.groupBy(KEY).agg(F.count(F.lit(1)).alias("n_points"))
     log = (best.join(n_points, KEY)
            .select(F.current_timestamp().alias("run_ts"), KEY, "order", "seasonal", "mae", "rmse", "n_points"))
     FS.append_log(log, f"{base}/monitoring_log")
