@@ -9,14 +9,15 @@ which is closed-form and splits into work Spark does well:
    partitioned by series (one sort per series, weekly grain).
 2. Stage 1: a long autoregression of ``w`` on lags {1..6, 52, 53}; its Gram
    matrix ``sum(z_i z_j)`` is a grouped Spark aggregate; the 8x8 solve runs
-   per series in ``applyInPandas``. Residuals ``e`` are a column expression.
+   over Arrow batches of Gram rows (``mapInPandas``, one row per series,
+   stacked numpy solves). Residuals ``e`` are a column expression.
 3. Stage 2: ``w`` on its AR lags and the lagged residuals. All 7 candidates
    use the same estimation sample, so one Gram matrix of the feature
    superset per series serves every candidate (each candidate's system is a
-   sub-matrix). Solves (k <= 7) run in ``applyInPandas``.
+   sub-matrix). Solves (k <= 7) are stacked per batch in ``mapInPandas``.
 4. Forecast recursion (holdout steps and 26 future steps) runs per
-   (series, candidate) over the last 54 training weeks plus the holdout rows
-   only, so each group is bounded by the season length, not by the data.
+   (series, candidate) row over the last 54 training weeks plus the holdout,
+   packed into arrays by Spark (bounded by the season length, not the data).
 
 Documented differences from the source: the AIC is m*ln(sigma^2) + 2k on the
 common sample (comparable within one leaderboard, not to a likelihood AIC);
@@ -26,6 +27,7 @@ stationarity/invertibility constraints (as in the source).
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 import numpy as np
@@ -77,20 +79,31 @@ def _gram_aggs(feats: list[str], target: str) -> list:
     return aggs
 
 
-def _gram_to_numpy(row: pd.Series, feats: list[str]):
-    k = len(feats)
-    G = np.empty((k, k))
+def _gram_stack(pdf: pd.DataFrame, feats: list[str]):
+    """(n, k, k) Gram matrices and (n, k) cross products from a batch of Gram rows."""
+    n, k = len(pdf), len(feats)
+    G = np.empty((n, k, k))
     for i, a in enumerate(feats):
         for j in range(i, k):
-            G[i, j] = G[j, i] = row[f"g__{a}__{feats[j]}"]
-    xy = np.array([row[f"xy__{a}"] for a in feats], dtype=float)
+            col = pdf[f"g__{a}__{feats[j]}"].to_numpy(dtype=float)
+            G[:, i, j] = col
+            G[:, j, i] = col
+    xy = np.stack([pdf[f"xy__{a}"].to_numpy(dtype=float) for a in feats], axis=1)
     return G, xy
 
 
-def _solve(G: np.ndarray, xy: np.ndarray):
-    if not np.all(np.isfinite(G)) or np.linalg.matrix_rank(G) < G.shape[0]:
-        return None
-    return np.linalg.solve(G, xy)
+def _solve_batch(G: np.ndarray, xy: np.ndarray) -> list:
+    """Solve a stack of small systems at once; singular or non-finite ones give None."""
+    n, k = xy.shape
+    out: list = [None] * n
+    idx = np.flatnonzero(np.isfinite(G).all(axis=(1, 2)) & np.isfinite(xy).all(axis=1))
+    if len(idx):
+        good = idx[np.linalg.matrix_rank(G[idx]) == k]
+        if len(good):
+            sol = np.linalg.solve(G[good], xy[good][..., None])[..., 0]
+            for r, beta in zip(good, sol):
+                out[r] = beta
+    return out
 
 
 def _prepare(series: DataFrame, key: str, value: str, exog: str | None, rule: str) -> DataFrame:
@@ -113,13 +126,14 @@ def _stage1(prep: DataFrame, key: str) -> DataFrame:
     gram = rows.groupBy(key).agg(*_gram_aggs(feats, "w"))
     out_schema = T.StructType([gram.schema[key], T.StructField("phi", T.ArrayType(T.DoubleType()))])
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        r = pdf.iloc[0]
-        G, xy = _gram_to_numpy(r, feats)
-        b = _solve(G, xy)
-        return pd.DataFrame({key: [r[key]], "phi": [None if b is None else b.tolist()]})
+    # one Gram row per series: no grouping needed, solve whole Arrow batches at once
+    def solve(batches):
+        for pdf in batches:
+            G, xy = _gram_stack(pdf, feats)
+            yield pd.DataFrame({key: pdf[key].to_numpy(),
+                                "phi": [None if b is None else b.tolist() for b in _solve_batch(G, xy)]})
 
-    return gram.groupBy(key).applyInPandas(solve, out_schema)
+    return gram.mapInPandas(solve, out_schema)
 
 
 def _with_residuals(prep: DataFrame, phi: DataFrame, key: str) -> DataFrame:
@@ -149,35 +163,44 @@ def _stage2(resid: DataFrame, key: str, grid, exog: bool) -> DataFrame:
         T.StructField("m", T.LongType()), T.StructField("n_train", T.LongType()),
         T.StructField("error", T.StringType())])
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        r = pdf.iloc[0]
-        out = []
-        for cid, (p, q, P, Q) in enumerate(grid):
-            feats = candidate_features(p, q, P, Q, exog)
-            rec = {key: r[key], "candidate_id": cid, "p": p, "q": q, "sp": P, "sq": Q, "features": feats,
-                   "coef": None, "sigma2": None, "aic": None, "m": None, "n_train": int(r["n_train"]),
-                   "error": ""}
-            m = r.get("m")
-            if int(r["n_train"]) < MIN_TRAIN:
-                rec["error"] = "series too short"
-            elif int(r["stage1_failed"]) == 1:
-                rec["error"] = "singular design"
-            elif m is None or pd.isna(m) or m <= len(feats):
-                rec["error"] = "series too short"
-            else:
-                G, xy = _gram_to_numpy(r, feats)
-                b = _solve(G, xy)
-                if b is None:
-                    rec["error"] = "singular design"
-                else:
-                    ssr = float(r["yty"] - 2 * b @ xy + b @ G @ b)
-                    s2 = max(ssr / m, 1e-300)
-                    rec.update(coef=b.tolist(), sigma2=s2, aic=float(m * np.log(s2) + 2 * len(feats)),
-                               m=int(m))
-            out.append(rec)
-        return pd.DataFrame(out)
-
-    return gram.groupBy(key).applyInPandas(solve, schema)
+    def solve(batches):
+        for pdf in batches:
+            n = len(pdf)
+            m = pdf["m"].to_numpy(dtype=float)
+            n_train = pdf["n_train"].to_numpy(dtype=float)
+            failed = pdf["stage1_failed"].fillna(0).to_numpy(dtype=float) == 1
+            yty = pdf["yty"].to_numpy(dtype=float)
+            keys = pdf[key].to_numpy()
+            out = []
+            for cid, (p, q, P, Q) in enumerate(grid):
+                feats = candidate_features(p, q, P, Q, exog)
+                k = len(feats)
+                enough = np.isfinite(m) & (m > k)
+                usable = (n_train >= MIN_TRAIN) & ~failed & enough
+                sols: list = [None] * n
+                rows = np.flatnonzero(usable)
+                if len(rows):
+                    G, xy = _gram_stack(pdf.iloc[rows], feats)
+                    for r, beta, g, c in zip(rows, _solve_batch(G, xy), G, xy):
+                        sols[r] = (beta, g, c)
+                for r in range(n):
+                    rec = {key: keys[r], "candidate_id": cid, "p": p, "q": q, "sp": P, "sq": Q,
+                           "features": feats, "coef": None, "sigma2": None, "aic": None, "m": None,
+                           "n_train": int(n_train[r]), "error": ""}
+                    if n_train[r] < MIN_TRAIN or (not failed[r] and not enough[r]):
+                        rec["error"] = "series too short"
+                    elif failed[r] or sols[r] is None or sols[r][0] is None:
+                        rec["error"] = "singular design"
+                    else:
+                        beta, g, c = sols[r]
+                        ssr = float(yty[r] - 2 * beta @ c + beta @ g @ beta)
+                        s2 = max(ssr / m[r], 1e-300)
+                        rec.update(coef=beta.tolist(), sigma2=s2, aic=float(m[r] * np.log(s2) + 2 * k),
+                                   m=int(m[r]))
+                    out.append(rec)
+            yield pd.DataFrame(out, columns=[f.name for f in schema.fields])
+
+    return gram.mapInPandas(solve, schema)
 
 
 def _ar_poly(coef: dict[str, float]) -> np.ndarray:
@@ -194,7 +217,8 @@ def _ar_poly(coef: dict[str, float]) -> np.ndarray:
 
 
 def _psi(coef: dict[str, float], n: int) -> np.ndarray:
-    ar = _ar_poly(coef)
+    """MA(infinity) weights of the full model (differences included), n terms."""
+    ar = _ar_poly(coef)[1:]                       # coefficients of B^1.. of the AR side
     theta = np.zeros(n)
     for name, c in coef.items():
         if name.startswith("e") and int(name[1:]) < n:
@@ -202,58 +226,76 @@ def _psi(coef: dict[str, float], n: int) -> np.ndarray:
     psi = np.zeros(n)
     psi[0] = 1.0
     for j in range(1, n):
-        acc = theta[j]
-        for i in range(1, min(j, len(ar) - 1) + 1):
-            acc -= ar[i] * psi[j - i]
-        psi[j] = acc
+        m = min(j, len(ar))
+        psi[j] = theta[j] - ar[:m] @ psi[j - 1::-1][:m]
     return psi
 
 
+def _one_forecast(t: dict, coef: dict[str, float], sigma2: float, exog: bool, horizon: int):
+    """Recursion of one fitted candidate over one series' tail (training weeks + holdout)."""
+    is_test = np.asarray(t["is_test"], dtype=bool)
+    y = [float(v) for v in np.asarray(t["y"])[~is_test]]
+    w = [float(v) for v in np.asarray(t["w"])[~is_test]]
+    e = [0.0 if v is None or np.isnan(v) else float(v) for v in np.asarray(t["e"], dtype=float)[~is_test]]
+    xw_test = list(np.asarray(t["xw"], dtype=float)[is_test]) if exog else []
+    h = int(is_test.sum())
+    steps = h + horizon
+    terms = [(name[0], 0 if name == "xw" else int(name[1:]), c) for name, c in coef.items()]
+    for k in range(steps):
+        wt = 0.0
+        for kind, lag, c in terms:
+            if kind == "x":
+                # holdout uses the observed regressor; the future has none (as the source)
+                wt += c * (xw_test[k] if k < h and not np.isnan(xw_test[k]) else 0.0)
+            elif kind == "w":
+                wt += c * w[-lag]
+            else:
+                wt += c * e[-lag]
+        y.append(wt + y[-1] + y[-SEASON] - y[-SEASON - 1])
+        w.append(wt)
+        e.append(0.0)
+    yhat = np.array(y[-steps:])
+    se = np.sqrt(sigma2 * np.cumsum(_psi(coef, steps) ** 2))
+    last = max(np.asarray(t["week_date"])[~is_test])
+    dates = [last + dt.timedelta(days=7 * (k + 1)) for k in range(steps)]
+    return steps, h, dates, yhat, se
+
+
 def _forecast(tails: DataFrame, fits: DataFrame, key: str, exog: bool, horizon: int) -> DataFrame:
-    d = tails.join(fits.filter(F.col("error") == ""), key)
+    """Each series' tail (<= 54 training weeks + holdout, bounded by the season) is
+    packed into arrays by Spark, joined to its fitted candidates, and the recursion
+    runs row by row over Arrow batches (no per-group DataFrame overhead)."""
+    cols = ["week_date", "y", "w", "e", "is_test"] + (["xw"] if exog else [])
+    packed = (tails.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*cols))).alias("_t"))
+              .select(key, *[F.col(f"_t.{c}").alias(c) for c in cols]))
+    ok = fits.filter(F.col("error") == "").select(key, "candidate_id", "features", "coef", "sigma2")
+    d = ok.join(packed, key)
     schema = T.StructType([
         tails.schema[key], T.StructField("candidate_id", T.IntegerType()), T.StructField("step", T.IntegerType()),
         T.StructField("week_date", T.DateType()), T.StructField("is_future", T.BooleanType()),
         T.StructField("yhat", T.DoubleType()), T.StructField("lo95", T.DoubleType()),
         T.StructField("hi95", T.DoubleType())])
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("week_date")
-        r = pdf.iloc[0]
-        coef = dict(zip(r["features"], r["coef"]))
-        train = pdf[~pdf["is_test"]]
-        test = pdf[pdf["is_test"]]
-        h = len(test)
-        steps = h + horizon
-        y = list(train["y"].astype(float))
-        w = list(train["w"].astype(float))
-        e = list(train["e"].fillna(0.0).astype(float))
-        xw_test = list(test["xw"].astype(float)) if exog else []
-        for k in range(steps):
-            wt = 0.0
-            for name, c in coef.items():
-                if name == "xw":
-                    # holdout uses the observed regressor; the future has none (as the source)
-                    wt += c * (xw_test[k] if k < h and not np.isnan(xw_test[k]) else 0.0)
-                elif name[0] == "w":
-                    wt += c * w[-int(name[1:])]
-                else:
-                    wt += c * e[-int(name[1:])]
-            yt = wt + y[-1] + y[-SEASON] - y[-SEASON - 1]
-            w.append(wt)
-            e.append(0.0)
-            y.append(yt)
-        yhat = np.array(y[-steps:])
-        psi = _psi(coef, steps)
-        se = np.sqrt(float(r["sigma2"]) * np.cumsum(psi ** 2))
-        last = pd.Timestamp(train["week_date"].max())
-        dates = [(last + pd.Timedelta(days=7 * (k + 1))).date() for k in range(steps)]
-        return pd.DataFrame({key: r[key], "candidate_id": int(r["candidate_id"]),
-                             "step": np.arange(1, steps + 1, dtype=np.int32), "week_date": dates,
-                             "is_future": np.arange(1, steps + 1) > h, "yhat": yhat,
-                             "lo95": yhat - 1.96 * se, "hi95": yhat + 1.96 * se})
-
-    return d.groupBy(key, "candidate_id").applyInPandas(run, schema)
+    names = [f.name for f in schema.fields]
+
+    def run(batches):
+        for pdf in batches:
+            parts = {c: [] for c in names}
+            for r in pdf.to_dict("records"):
+                coef = dict(zip(list(r["features"]), list(r["coef"])))
+                steps, h, dates, yhat, se = _one_forecast(r, coef, float(r["sigma2"]), exog, horizon)
+                parts[key].extend([r[key]] * steps)
+                parts["candidate_id"].extend([int(r["candidate_id"])] * steps)
+                parts["step"].extend(range(1, steps + 1))
+                parts["week_date"].extend(dates)
+                parts["is_future"].extend(k > h for k in range(1, steps + 1))
+                parts["yhat"].extend(yhat)
+                parts["lo95"].extend(yhat - 1.96 * se)
+                parts["hi95"].extend(yhat + 1.96 * se)
+            out = pd.DataFrame(parts, columns=names)
+            yield out.astype({"candidate_id": "int32", "step": "int32", "is_future": bool,
+                              "yhat": "float64", "lo95": "float64", "hi95": "float64"})
+
+    return d.mapInPandas(run, schema)
 
 
 def sarima_grid(series: DataFrame, key: str = "series_id", value: str = "cases", exog: str | None = None,
@@ -317,13 +359,15 @@ def harmonic_candidate(series: DataFrame, key: str = "series_id", value: str = "
     schema = T.StructType([gram.schema[key], T.StructField("beta", T.ArrayType(T.DoubleType())),
                            T.StructField("error", T.StringType())])
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        r = pdf.iloc[0]
-        G, xy = _gram_to_numpy(r, feats)
-        b = _solve(G, xy) if r["m"] > len(feats) else None
-        return pd.DataFrame({key: [r[key]], "beta": [None if b is None else b.tolist()],
-                             "error": ["" if b is not None else "singular or too short"]})
+    def solve(batches):
+        for pdf in batches:
+            G, xy = _gram_stack(pdf, feats)
+            enough = pdf["m"].to_numpy(dtype=float) > len(feats)
+            sols = [b if ok else None for b, ok in zip(_solve_batch(G, xy), enough)]
+            yield pd.DataFrame({key: pdf[key].to_numpy(),
+                                "beta": [None if b is None else b.tolist() for b in sols],
+                                "error": ["" if b is not None else "singular or too short" for b in sols]})
 
-    beta = gram.groupBy(key).applyInPandas(solve, schema)
+    beta = gram.mapInPandas(solve, schema)
     fit = reduce(lambda a, b: a + b, [F.col("beta")[i] * F.col(f) for i, f in enumerate(feats)])
     return (x.filter("is_test").join(beta, key).select(key, "week_date", "y", fit.alias("yhat"), "error"))

@@ -167,3 +167,18 @@ def q_monthly_refresh(spark, d):
 
 
 __all__ = ["Window"]
+
+
+@register("sarima_candidates_by_establishment", "2.7")
+def q_sarima_candidates_by_establishment(spark, d):
+    """The same candidate grid with one series per establishment (many-series scale-out)."""
+    from hebdo.functions.calendar import iso_week_to_monday, week_bin_monday
+    from hebdo.sources.tables import visits
+    checkpoint_dir(spark)
+    v = visits(spark, d, with_cause=False).dropna(subset=["year", "week", "estab_code"])
+    bins = (v.groupBy(F.col("estab_code").cast("string").alias(KEY),
+                      week_bin_monday(iso_week_to_monday("year", "week")).alias("week_date"))
+            .agg(F.sum("total").cast("double").alias("cases")))
+    series = S.to_spine(bins, KEY, "cases", zero_fill=True).checkpoint()
+    fits, preds, actual = FC.sarima_grid(series, KEY, "cases")
+    return FC.candidates_table(fits, FC.holdout_scores(preds, actual), KEY)
