@@ -21,6 +21,11 @@ def build_session(master: str | None = None, app: str = "hebdo",
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
+         # weekly series are hash-partitioned by series key for their windows; let
+         # joins on (series key, week) reuse that partitioning instead of re-shuffling
+         # both sides (only weekly-grain tables are joined on such keys; raw-level
+         # joins are broadcasts of size-checked dimensions)
+         .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.ui.enabled", "false")
