@@ -305,8 +305,9 @@ def sarima_grid(series: DataFrame, key: str = "series_id", value: str = "cases",
     fits: one row per (series, candidate) with coefficients, sigma^2, AIC,
     error text. predictions: holdout steps and ``horizon`` future steps.
     """
-    from hebdo.session import checkpoint_dir
+    from hebdo.session import checkpoint_dir, ship_package
     checkpoint_dir(series.sparkSession)
+    ship_package(series.sparkSession)
     prep = _prepare(series, key, value, exog, rule)
     # residuals, fits and predictions are each read by several consumers:
     # materialise them once in the shared checkpoint folder (lineage cut)
@@ -346,6 +347,8 @@ def harmonic_candidate(series: DataFrame, key: str = "series_id", value: str = "
                        rule: str = "B") -> DataFrame:
     """Trend + K yearly Fourier pairs (period 365.25 days), least squares on the
     training weeks; predictions for the holdout weeks. Gram in Spark, solve per series."""
+    from hebdo.session import ship_package
+    ship_package(series.sparkSession)
     s = holdout_split(series.select(key, "week_date", F.col(value).cast("double").alias("y")), key, rule)
     t0 = F.min("week_date").over(Window.partitionBy(key))
     s = s.withColumn("t_days", F.datediff("week_date", t0).cast("double"))

@@ -54,3 +54,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = tempfile.mkdtemp(prefix="hebdo-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``hebdo`` importable on every Python worker (once per context).
+
+    Grouped-map / map-in-pandas functions are pickled by reference to this
+    package, so executors need its code: it is zipped and distributed with
+    ``addPyFile`` (Spark copies it to every executor), whatever directory
+    the driver runs from.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    fd, path = tempfile.mkstemp(prefix="hebdo-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
