@@ -8,7 +8,7 @@ from hebdo.operators import aggregates as A
 from hebdo.operators import series as S
 from hebdo.plans.registry import register
 from hebdo.plans.sqlviews import r4, with_views
-from hebdo.sources.tables import readings, visits
+from hebdo.sources.tables import establishment_week_fact, readings, visits
 
 
 def V(spark, d, cause=False):
@@ -25,7 +25,7 @@ FROM (SELECT *, month(make_date(year, 1, 1) + to_days(CAST(week * 7 AS INTEGER))
 GROUP BY 1
 """, "fact_flag"))
 def q_season_report(spark, d):
-    return A.season_report(A.with_peak_flag(A.fact_week_estab(V(spark, d))))
+    return A.season_report(A.with_peak_flag(establishment_week_fact(spark, d)))
 
 
 @register("cases_by_date", "2.3", with_views("""
@@ -127,14 +127,14 @@ def q_fact_week_estab_cause(spark, d):
 
 @register("fact_week_estab", "2.3", with_views("SELECT * FROM fact_we", "fact_we"))
 def q_fact_week_estab(spark, d):
-    return A.fact_week_estab(V(spark, d))
+    return establishment_week_fact(spark, d)
 
 
 @register("estab_p90_threshold", "2.3", with_views(f"""
 SELECT estab_code, {r4("quantile_cont(total, 0.9)")} AS p90 FROM fact_we GROUP BY estab_code
 """, "fact_we"))
 def q_estab_p90_threshold(spark, d):
-    return A.estab_p90_threshold(A.fact_week_estab(V(spark, d)))
+    return A.estab_p90_threshold(establishment_week_fact(spark, d))
 
 
 @register("seasonal_profile", "2.3", with_views(f"""

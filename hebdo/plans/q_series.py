@@ -15,7 +15,7 @@ from hebdo.operators import stats as T
 from hebdo.plans.registry import register
 from hebdo.plans.sqlviews import (ffill_bfill_sql, interpolate_sql, iso_monday_sql, r4, spine_sql,
                                   week_bin_sql, with_views)
-from hebdo.sources.tables import readings, table, visits
+from hebdo.sources.tables import establishment_week_fact, readings, table, visits
 
 
 def V(spark, d):
@@ -203,7 +203,7 @@ SELECT f.time_id, f.estab_code, f.total, {r4('t.p90')} AS p90, CASE WHEN f.total
 FROM fact_we f JOIN (SELECT estab_code, quantile_cont(total, 0.9) AS p90 FROM fact_we GROUP BY 1) t
   ON f.estab_code = t.estab_code""", "fact_we"))
 def q_peak_flag(spark, d):
-    f = A.with_peak_flag(A.fact_week_estab(V(spark, d)))
+    f = A.with_peak_flag(establishment_week_fact(spark, d))
     return f.select("time_id", "estab_code", "total", R(F.col("p90")).alias("p90"), "is_peak")
 
 
@@ -381,7 +381,7 @@ WHERE f.is_peak = 1""", "fact_flag", "visits_nc"))
 def q_peak_alert_report(spark, d):
     from hebdo.operators import reports as RP
     v = V(spark, d)
-    return RP.peak_alert_report(A.with_peak_flag(A.fact_week_estab(v)), ST.dim_establishment_unique(v))
+    return RP.peak_alert_report(A.with_peak_flag(establishment_week_fact(spark, d)), ST.dim_establishment_unique(v))
 
 
 @register("climate_report", "2.8", with_views(f"""

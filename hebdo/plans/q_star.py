@@ -12,7 +12,7 @@ from hebdo.operators import series as S
 from hebdo.operators import star as ST
 from hebdo.plans.registry import register
 from hebdo.plans.sqlviews import r4, with_views
-from hebdo.sources.tables import establishments, readings, table, visits
+from hebdo.sources.tables import establishment_week_fact, establishments, readings, table, visits
 
 
 def V(spark, d, cause=False):
@@ -178,7 +178,7 @@ FROM fact_flag f LEFT JOIN ({_ESTAB_UNIQUE_SQL}) u ON f.estab_code = u.estab_cod
 WHERE f.is_peak = 1""", "fact_flag", "visits_nc"))
 def q_peaks_left_names(spark, d):
     v = V(spark, d)
-    flagged = A.with_peak_flag(A.fact_week_estab(v))
+    flagged = A.with_peak_flag(establishment_week_fact(spark, d))
     return J.peaks_left_names(flagged, ST.dim_establishment_unique(v))
 
 
@@ -188,7 +188,7 @@ FROM fact_flag f LEFT JOIN ({_dim_time_season_sql('visits_nc')}) s ON f.time_id
                                                 "fact_flag", "visits_nc"))
 def q_fact_left_season(spark, d):
     v = V(spark, d)
-    return J.fact_left_season(A.with_peak_flag(A.fact_week_estab(v)), ST.dim_time_season(v))
+    return J.fact_left_season(A.with_peak_flag(establishment_week_fact(spark, d)), ST.dim_time_season(v))
 
 
 @register("climate_semi_time", "2.5", with_views(f"""
@@ -206,7 +206,7 @@ SELECT f.time_id, f.estab_code, f.total, {r4('COALESCE(t.p90, 9999)')} AS thresh
 FROM fact_we f LEFT JOIN (SELECT estab_code, quantile_cont(total, 0.9) AS p90 FROM fact_we GROUP BY 1) t
   ON f.estab_code = t.estab_code""", "fact_we"))
 def q_threshold_lookup(spark, d):
-    fact = A.fact_week_estab(V(spark, d))
+    fact = establishment_week_fact(spark, d)
     thr = fact.groupBy("estab_code").agg(F.percentile("total", 0.9).alias("p90"))
     return J.threshold_lookup(fact, thr)
 

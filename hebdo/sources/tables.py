@@ -136,3 +136,24 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("o_orderdate").alias("reading_ts"),
                     F.col("region_label").alias("city"),
                     F.col("o_totalprice").alias("temperature")))
+
+
+def establishment_week_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fact_week_estab`` over ``visits``, aggregated *before* the dimension join.
+
+    Line items are summed per (establishment key, ISO year, ISO week) first
+    (partial aggregation on the map side, then one shuffle of partial sums);
+    only then is the establishment dimension consulted, as a semi join that
+    keeps the inner-join semantics of ``visits``. When the dimension is too
+    large to broadcast, the shuffle for that join moves one row per
+    (establishment, week) instead of every raw line.
+    """
+    l = table(spark, sf_dir, "lineitem")
+    year, week = iso_year("l_shipdate"), iso_week("l_shipdate")
+    agg = (l.filter(F.col("l_suppkey").isNotNull() & F.col("l_shipdate").isNotNull())
+           .groupBy(F.col("l_suppkey").alias("estab_code"), year.alias("year"), week.alias("week"))
+           .agg(F.coalesce(F.sum(F.col("l_quantity").cast("bigint")), F.lit(0)).cast("bigint").alias("total")))
+    n_supp = sizing.table_rows(spark, path_of(sf_dir, "supplier"))
+    keys = sizing.dimension(establishments(spark, sf_dir).select("estab_code"), n_supp)
+    return (agg.join(keys, "estab_code", "left_semi")
+            .select("year", "week", "estab_code", "total", time_key("year", "week").alias("time_id")))
