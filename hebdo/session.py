@@ -42,8 +42,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Order: the directory already set on the context (Spark sets it from
     ``spark.checkpoint.dir`` at start-up), then ``spark.checkpoint.dir`` from
-    the session or context configuration. Only when none is set (local
-    tests) is a scratch folder created and registered.
+    the session or context configuration. Only when none is set on a local
+    master (tests) is a scratch folder created and registered; on a cluster
+    a machine-local folder would not survive executor loss, so an unset
+    directory is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +53,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at a shared folder "
+                               "(HDFS/S3/ABFS) readable by every executor")
         d = tempfile.mkdtemp(prefix="hebdo-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
