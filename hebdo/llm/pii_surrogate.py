@@ -182,7 +182,7 @@ def entities(docs: DataFrame) -> DataFrame:
         F.min("m.mention").alias("mention"))
 
 
-def collisions(found: DataFrame, key: str, rounds: int = 12) -> DataFrame:
+def collisions(found: DataFrame, key: str, rounds: int = 30) -> DataFrame:
     """(type, norm, bump) of the entities whose surrogate needs a counter above 0.
 
     Of entities with one surrogate, that with the least hash of its normal form keeps it;

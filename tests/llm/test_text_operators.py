@@ -210,8 +210,8 @@ def test_surrogates_stay_distinct(spark):
 
 
 def test_forced_collisions_are_resolved(spark, monkeypatch):
-    """With a two-syllable space most names clash at first; every entity still ends with its own surrogate."""
-    monkeypatch.setitem(pii.SYLLABLES, "latin", ["ba"] * 15 + ["den"])
+    """With sixteen names for six entities most names clash at first; every entity still ends with its own surrogate."""
+    monkeypatch.setitem(pii.SYLLABLES, "latin", ["ba", "den"] * 8)
     rows = [(i, f"Mr. {c}ool and Mr. {c}ool") for i, c in enumerate("ABCDEF")]
     exceptions = pii.collisions(pii.entities(docs(spark, rows)), "k")
     assert exceptions.count() > 0
