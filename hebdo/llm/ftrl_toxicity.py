@@ -61,10 +61,10 @@ class Hasher:
 
 @dataclass(frozen=True)
 class Ftrl:
-    alpha: float = 0.15
+    alpha: float = 1.0
     beta: float = 1.0
-    l1: float = 0.6
-    l2: float = 0.5
+    l1: float = 3.0
+    l2: float = 0.0
 
     def weights(self, z: np.ndarray, n: np.ndarray) -> np.ndarray:
         w = (np.sign(z) * self.l1 - z) / ((self.beta + np.sqrt(n)) / self.alpha + self.l2)
@@ -92,7 +92,7 @@ class ToxicModel:
         return w
 
 
-def fit(sample: DataFrame, bits: int = BITS, passes: int = 3, shard_rows: int = 4_000, min_docs: int = 3,
+def fit(sample: DataFrame, bits: int = BITS, passes: int = 4, shard_rows: int = 4_000, min_docs: int = 3,
         rule: Ftrl = Ftrl()) -> ToxicModel:
     """FTRL with state averaging over (doc_id, text, label) rows; ``sample`` must be bounded.
 

@@ -81,7 +81,7 @@ def test_toxicity_edges(spark):
 
 
 def test_ftrl_step_is_the_per_coordinate_rule():
-    rule, z, n = tox.Ftrl(), np.zeros(4), np.zeros(4)
+    rule, z, n = tox.Ftrl(alpha=0.15, l1=0.6, l2=0.5), np.zeros(4), np.zeros(4)
     rule.step(z, n, np.array([1, 3]), 1.0)
     assert z.tolist() == [0, -0.5, 0, -0.5] and n.tolist() == [0, 0.25, 0, 0.25]
     assert rule.weights(z, n).tolist() == [0, 0, 0, 0]  # within the L1 bound
