@@ -28,7 +28,7 @@ from hebdo.llm.common import id_bucket, labelled_sample, stage, with_workers
 
 #: Bound on the labelled rows the model is fitted on.
 MAX_TRAIN = 30_000
-BITS = 20
+BITS = 18
 WORD = re.compile(r"[^\W_]+")
 PAIR, SKIP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
