@@ -48,8 +48,11 @@ def coerce_datetime(c, formats=DAYFIRST_FORMATS) -> Column:
 
 
 def fill_zero_int(c) -> Column:
-    """Count metric: numeric, NULL -> 0, truncated to BIGINT."""
-    return F.coalesce(F.trim(_c(c).cast("string")).try_cast("double"), F.lit(0.0)).cast("bigint")
+    """Count metric as BIGINT: whole numbers exactly, others truncated; NULL, NaN, bad text and
+    values beyond BIGINT -> 0."""
+    text = F.trim(_c(c).cast("string"))
+    return F.coalesce(text.try_cast("bigint"), text.try_cast("decimal(38,6)").try_cast("bigint"),
+                      F.nanvl(text.try_cast("double"), F.lit(None).cast("double")).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def clamp_nonnegative(c) -> Column:

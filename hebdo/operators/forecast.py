@@ -1,23 +1,23 @@
 """Seasonal ARIMA candidate grid, harmonic regression and forecasts for many series.
 
 Model: regression with SARIMA(p,1,q)(P,1,Q,52) errors. The source fits it by
-exact state-space maximum likelihood; here it is estimated by the
-Hannan-Rissanen two-stage least squares method (Hannan & Rissanen 1982),
-which is closed-form and splits into work Spark does well:
-
-1. ``w = (1-B)(1-B^52) y`` and all lagged copies come from window functions
-   partitioned by series (one sort per series, weekly grain).
-2. Stage 1: a long autoregression of ``w`` on lags {1..6, 52, 53}; its Gram
-   matrix ``sum(z_i z_j)`` is a grouped Spark aggregate; the 8x8 solve runs
-   over Arrow batches of Gram rows (``mapInPandas``, one row per series,
-   stacked numpy solves). Residuals ``e`` are a column expression.
-3. Stage 2: ``w`` on its AR lags and the lagged residuals. All 7 candidates
-   use the same estimation sample, so one Gram matrix of the feature
-   superset per series serves every candidate (each candidate's system is a
-   sub-matrix). Solves (k <= 7) are stacked per batch in ``mapInPandas``.
-4. Forecast recursion (holdout steps and 26 future steps) runs per
-   (series, candidate) row over the last 54 training weeks plus the holdout,
-   packed into arrays by Spark (bounded by the season length, not the data).
+exact state-space maximum likelihood; here it is estimated by conditional
+least squares: values and residuals before the first differenced week are 0,
+and the sum of squared one-step residuals is minimised by Gauss-Newton steps
+with halving. A long autoregression gives the first residuals.
+
+1. ``w = (1-B)(1-B^52) y`` comes from window functions partitioned by series
+   (one sort per series, weekly grain); each series' weeks are packed into
+   one row by a grouped aggregate (bounded by the calendar, not the data).
+2. ``mapInPandas`` over Arrow batches fits all candidates and runs the
+   forecast recursion for every series of the batch at once: series are stacked
+   right-aligned, padded in front with zeros (which the zero start
+   values make exact), and every recursion is a loop over weeks on
+   (series, coefficient) arrays.
+3. Every series gets a forecast: where no candidate has more weeks than
+   coefficients, or all designs are singular, the row says so in ``error`` and
+   the fallback (candidate -1, seasonal naive: the week a year before, or the last
+   value in the first year) stands in.
 
 Documented differences from the source: the AIC is m*ln(sigma^2) + 2k on the
 common sample (comparable within one leaderboard, not to a likelihood AIC);
@@ -27,7 +27,6 @@ stationarity/invertibility constraints (as in the source).
 
 from __future__ import annotations
 
-import datetime as dt
 from functools import reduce
 
 import numpy as np
@@ -41,7 +40,7 @@ from hebdo.operators.series import holdout_split
 
 SEASON = 52
 HORIZON = 26
-MIN_TRAIN = 190
+FALLBACK = -1
 
 # The candidate orders (p, q, P, Q); d = D = 1, s = 52.
 GRID = (
@@ -55,9 +54,9 @@ GRID = (
 )
 DEFAULT_ORDER = (1, 1, 1, 0)          # (1,1,1)(1,1,0,52): the single default fit
 
-STAGE1_LAGS = (1, 2, 3, 4, 5, 6, 52, 53)
-W_LAGS = (1, 2, 52, 53, 54)
-E_LAGS = (1, 2, 52, 53, 54)
+#: Lags of the long autoregression that gives the first residuals.
+START_LAGS = (1, 2, 3, 4, 5, 6, 52, 53, 104)
+STEPS = 25
 
 
 def candidate_features(p: int, q: int, P: int, Q: int, exog: bool) -> list[str]:
@@ -106,101 +105,104 @@ def _solve_batch(G: np.ndarray, xy: np.ndarray) -> list:
     return out
 
 
-def _prepare(series: DataFrame, key: str, value: str, exog: str | None, rule: str) -> DataFrame:
-    """Split, double difference, lags of w (training rows keep their position)."""
+def _packed(series: DataFrame, key: str, value: str, exog: str | None, rule: str) -> DataFrame:
+    """One row per series: arrays of its weeks in order, with the double difference of the training weeks."""
     s = holdout_split(series.select(key, "week_date", F.col(value).cast("double").alias("y"),
                                     *([F.col(exog).cast("double").alias("x")] if exog else [])), key, rule)
     w = Window.partitionBy(key).orderBy("week_date")
-    s = s.withColumn("pos", F.row_number().over(w)).withColumn("n_train", F.col("n_points") - F.col("h"))
     dd = lambda c: F.col(c) - F.lag(c, 1).over(w) - F.lag(c, SEASON).over(w) + F.lag(c, SEASON + 1).over(w)
-    s = s.withColumn("w", F.when(~F.col("is_test"), dd("y")))
-    if exog:
-        s = s.withColumn("xw", dd("x"))
-    lags = sorted(set(STAGE1_LAGS) | set(W_LAGS))
-    return s.select("*", *[F.lag("w", l).over(w).alias(f"w{l}") for l in lags])
+    cols = ["week_date", "y", "is_test", F.when(~F.col("is_test"), dd("y")).alias("w")] + ([dd("x").alias("xw")] if exog else [])
+    s = s.select(key, *cols)
+    names = [c for c in s.columns if c != key]
+    return (s.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*names))).alias("_t"))
+            .select(key, *[F.col(f"_t.{c}").alias(c) for c in names]))
 
 
-def _stage1(prep: DataFrame, key: str) -> DataFrame:
-    feats = [f"w{l}" for l in STAGE1_LAGS]
-    rows = prep.filter(F.col("w").isNotNull()).dropna(subset=feats)
-    gram = rows.groupBy(key).agg(*_gram_aggs(feats, "w"))
-    out_schema = T.StructType([gram.schema[key], T.StructField("phi", T.ArrayType(T.DoubleType()))])
+# ---- conditional least squares on stacks of series: arrays are (week, series[, coefficient]) ----
 
-    # one Gram row per series: no grouping needed, solve whole Arrow batches at once
-    def solve(batches):
-        for pdf in batches:
-            G, xy = _gram_stack(pdf, feats)
-            yield pd.DataFrame({key: pdf[key].to_numpy(),
-                                "phi": [None if b is None else b.tolist() for b in _solve_batch(G, xy)]})
-
-    return gram.mapInPandas(solve, out_schema)
-
-
-def _with_residuals(prep: DataFrame, phi: DataFrame, key: str) -> DataFrame:
-    d = prep.join(phi, key, "left")
-    fit = reduce(lambda a, b: a + b, [F.col("phi")[i] * F.col(f"w{l}") for i, l in enumerate(STAGE1_LAGS)])
-    d = d.withColumn("e", F.when(F.col("w").isNotNull(), F.col("w") - fit))
-    w = Window.partitionBy(key).orderBy("week_date")
-    return d.select("*", *[F.lag("e", l).over(w).alias(f"e{l}") for l in E_LAGS])
+def _shift(a: np.ndarray, lag: int) -> np.ndarray:
+    out = np.zeros_like(a)
+    if lag < len(a):
+        out[lag:] = a[:len(a) - lag]
+    return out
 
 
-def _stage2(resid: DataFrame, key: str, grid, exog: bool) -> DataFrame:
-    superset = [f"w{l}" for l in W_LAGS] + [f"e{l}" for l in E_LAGS] + (["xw"] if exog else [])
-    rows = resid.filter(F.col("w").isNotNull()).dropna(subset=superset)
-    gram = rows.groupBy(key).agg(*_gram_aggs(superset, "w"))
-    # series without enough history still need an (error) row per candidate
-    info = resid.groupBy(key).agg(F.max("n_train").alias("n_train"), F.max("n_points").alias("n_points"),
-                                  F.max(F.col("phi").isNull().cast("int")).alias("stage1_failed"))
-    gram = info.join(gram, key, "left")
-    grid = list(grid)
-    schema = T.StructType([
-        gram.schema[key], T.StructField("candidate_id", T.IntegerType()),
-        T.StructField("p", T.IntegerType()), T.StructField("q", T.IntegerType()),
-        T.StructField("sp", T.IntegerType()), T.StructField("sq", T.IntegerType()),
-        T.StructField("features", T.ArrayType(T.StringType())),
-        T.StructField("coef", T.ArrayType(T.DoubleType())),
-        T.StructField("sigma2", T.DoubleType()), T.StructField("aic", T.DoubleType()),
-        T.StructField("m", T.LongType()), T.StructField("n_train", T.LongType()),
-        T.StructField("error", T.StringType())])
-
-    def solve(batches):
-        for pdf in batches:
-            n = len(pdf)
-            m = pdf["m"].to_numpy(dtype=float)
-            n_train = pdf["n_train"].to_numpy(dtype=float)
-            failed = pdf["stage1_failed"].fillna(0).to_numpy(dtype=float) == 1
-            yty = pdf["yty"].to_numpy(dtype=float)
-            keys = pdf[key].to_numpy()
-            out = []
-            for cid, (p, q, P, Q) in enumerate(grid):
-                feats = candidate_features(p, q, P, Q, exog)
-                k = len(feats)
-                enough = np.isfinite(m) & (m > k)
-                usable = (n_train >= MIN_TRAIN) & ~failed & enough
-                sols: list = [None] * n
-                rows = np.flatnonzero(usable)
-                if len(rows):
-                    G, xy = _gram_stack(pdf.iloc[rows], feats)
-                    for r, beta, g, c in zip(rows, _solve_batch(G, xy), G, xy):
-                        sols[r] = (beta, g, c)
-                for r in range(n):
-                    rec = {key: keys[r], "candidate_id": cid, "p": p, "q": q, "sp": P, "sq": Q,
-                           "features": feats, "coef": None, "sigma2": None, "aic": None, "m": None,
-                           "n_train": int(n_train[r]), "error": ""}
-                    if n_train[r] < MIN_TRAIN or (not failed[r] and not enough[r]):
-                        rec["error"] = "series too short"
-                    elif failed[r] or sols[r] is None or sols[r][0] is None:
-                        rec["error"] = "singular design"
-                    else:
-                        beta, g, c = sols[r]
-                        ssr = float(yty[r] - 2 * beta @ c + beta @ g @ beta)
-                        s2 = max(ssr / m[r], 1e-300)
-                        rec.update(coef=beta.tolist(), sigma2=s2, aic=float(m[r] * np.log(s2) + 2 * k),
-                                   m=int(m[r]))
-                    out.append(rec)
-            yield pd.DataFrame(out, columns=[f.name for f in schema.fields])
-
-    return gram.mapInPandas(solve, schema)
+def _terms(feats: list[str]) -> list[tuple[str, int]]:
+    return [("x", 0) if f == "xw" else (f[0], int(f[1:])) for f in feats]
+
+
+def _filtered(u: np.ndarray, ma: list[tuple[int, np.ndarray]]) -> np.ndarray:
+    """e_t = u_t - sum_j d_j e_(t - l_j), week by week for all series."""
+    e = u.copy()
+    for t in range(len(e)):
+        for lag, d in ma:
+            if lag <= t:
+                e[t] -= d * e[t - lag]
+    return e
+
+
+def _residuals(w: np.ndarray, x: np.ndarray | None, feats: list[str], beta: np.ndarray) -> np.ndarray:
+    u, ma = w.copy(), []
+    for i, (kind, lag) in enumerate(_terms(feats)):
+        if kind == "e":
+            ma.append((lag, beta[:, i]))
+        else:
+            u -= beta[:, i] * (x if kind == "x" else _shift(w, lag))
+    return _filtered(u, ma)
+
+
+def _regressors(w, x, e, feats) -> np.ndarray:
+    return np.stack([x if kind == "x" else _shift(w if kind == "w" else e, lag) for kind, lag in _terms(feats)], axis=-1)
+
+
+def _least_squares(z: np.ndarray, y: np.ndarray, ridge: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+    """Per series: coefficients of y on z, and whether the design has full rank (any design will do with a ridge)."""
+    gram = np.einsum("tsk,tsl->skl", z, z)
+    cross = np.einsum("tsk,ts->sk", z, y)
+    k = gram.shape[1]
+    fine = np.isfinite(gram).all((1, 2)) & np.isfinite(cross).all(1)
+    if not ridge and fine.any():
+        fine[fine] &= np.linalg.matrix_rank(gram[fine], hermitian=True) == k
+    scale = ridge * np.trace(np.where(fine[:, None, None], gram, 0), axis1=1, axis2=2)[:, None, None] / k
+    safe = np.where(fine[:, None, None], gram + np.where(scale > 0, scale, 0.0 if not ridge else 1.0) * np.eye(k), np.eye(k))
+    return np.linalg.solve(safe, np.where(fine[:, None], cross, 0)[..., None])[..., 0], fine
+
+
+def fit_css(w: np.ndarray, x: np.ndarray | None, feats: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(coefficients, residuals, full rank) minimising the sum of squared residuals per series."""
+    with np.errstate(all="ignore"):
+        long = np.stack([_shift(w, lag) for lag in START_LAGS], axis=-1)
+        first, _ = _least_squares(long + 0.0, w, 1e-6)
+        e0 = w - np.einsum("tsk,sk->ts", long, first)
+        beta, _ = _least_squares(_regressors(w, x, e0, feats), w, 1e-6)
+        cost = lambda e: np.where(np.isfinite(s := np.einsum("ts,ts->s", e, e)), s, np.inf)
+        e = _residuals(w, x, feats, beta)
+        best = cost(e)
+        for scale in (0.5, 0.0):
+            trial = _residuals(w, x, feats, beta * scale)
+            better = cost(trial) < best
+            beta = np.where(better[:, None], beta * scale, beta)
+            e, best = np.where(better, trial, e), np.minimum(best, cost(trial))
+        # a series that has settled stays as it is, whatever else is in its batch
+        fine, moving = np.zeros(w.shape[1], bool), np.ones(w.shape[1], bool)
+        for _ in range(STEPS):
+            ma = [(lag, beta[:, i, None]) for i, (kind, lag) in enumerate(_terms(feats)) if kind == "e"]
+            g = _filtered(-_regressors(w, x, e, feats), ma)
+            step, fine = _least_squares(g, -e)
+            before = best
+            for scale in (1.0, 0.5, 0.25, 0.1, 0.02):
+                left = moving & (best >= before)
+                if not left.any():
+                    break
+                trial_beta = beta + scale * step
+                trial = _residuals(w, x, feats, trial_beta)
+                better = left & (cost(trial) < before)
+                beta = np.where(better[:, None], trial_beta, beta)
+                e, best = np.where(better, trial, e), np.where(better, cost(trial), best)
+            moving &= best < before * (1 - 1e-8)
+            if not moving.any():
+                break
+    return beta, e, fine & np.isfinite(best)
 
 
 def _ar_poly(coef: dict[str, float]) -> np.ndarray:
@@ -231,102 +233,147 @@ def _psi(coef: dict[str, float], n: int) -> np.ndarray:
     return psi
 
 
-def _one_forecast(t: dict, coef: dict[str, float], sigma2: float, exog: bool, horizon: int):
-    """Recursion of one fitted candidate over one series' tail (training weeks + holdout)."""
-    is_test = np.asarray(t["is_test"], dtype=bool)
-    y = [float(v) for v in np.asarray(t["y"])[~is_test]]
-    w = [float(v) for v in np.asarray(t["w"])[~is_test]]
-    e = [0.0 if v is None or np.isnan(v) else float(v) for v in np.asarray(t["e"], dtype=float)[~is_test]]
-    xw_test = list(np.asarray(t["xw"], dtype=float)[is_test]) if exog else []
-    h = int(is_test.sum())
-    steps = h + horizon
-    terms = [(name[0], 0 if name == "xw" else int(name[1:]), c) for name, c in coef.items()]
+def _recursion(y: np.ndarray, w: np.ndarray, e: np.ndarray, xw: np.ndarray | None, feats: list[str],
+               beta: np.ndarray, steps: int) -> np.ndarray:
+    """(step, series) forecasts; future residuals and unknown regressors are 0."""
+    out = []
+    n = len(w)
+    w, e = np.vstack([w, np.zeros((steps, w.shape[1]))]), np.vstack([e, np.zeros((steps, w.shape[1]))])
+    tail = list(y)
     for k in range(steps):
-        wt = 0.0
-        for kind, lag, c in terms:
-            if kind == "x":
-                # holdout uses the observed regressor; the future has none (as the source)
-                wt += c * (xw_test[k] if k < h and not np.isnan(xw_test[k]) else 0.0)
-            elif kind == "w":
-                wt += c * w[-lag]
-            else:
-                wt += c * e[-lag]
-        y.append(wt + y[-1] + y[-SEASON] - y[-SEASON - 1])
-        w.append(wt)
-        e.append(0.0)
-    yhat = np.array(y[-steps:])
-    se = np.sqrt(sigma2 * np.cumsum(_psi(coef, steps) ** 2))
-    last = max(np.asarray(t["week_date"])[~is_test])
-    dates = [last + dt.timedelta(days=7 * (k + 1)) for k in range(steps)]
-    return steps, h, dates, yhat, se
-
-
-def _forecast(tails: DataFrame, fits: DataFrame, key: str, exog: bool, horizon: int) -> DataFrame:
-    """Each series' tail (<= 54 training weeks + holdout, bounded by the season) is
-    packed into arrays by Spark, joined to its fitted candidates, and the recursion
-    runs row by row over Arrow batches (no per-group DataFrame overhead)."""
-    cols = ["week_date", "y", "w", "e", "is_test"] + (["xw"] if exog else [])
-    packed = (tails.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*cols))).alias("_t"))
-              .select(key, *[F.col(f"_t.{c}").alias(c) for c in cols]))
-    ok = fits.filter(F.col("error") == "").select(key, "candidate_id", "features", "coef", "sigma2")
-    d = ok.join(packed, key)
-    schema = T.StructType([
-        tails.schema[key], T.StructField("candidate_id", T.IntegerType()), T.StructField("step", T.IntegerType()),
-        T.StructField("week_date", T.DateType()), T.StructField("is_future", T.BooleanType()),
-        T.StructField("yhat", T.DoubleType()), T.StructField("lo95", T.DoubleType()),
-        T.StructField("hi95", T.DoubleType())])
-    names = [f.name for f in schema.fields]
+        t = n + k
+        for i, (kind, lag) in enumerate(_terms(feats)):
+            past = xw[k] if kind == "x" else (w if kind == "w" else e)[t - lag] if lag <= t else 0.0
+            w[t] += beta[:, i] * past
+        tail.append(w[t] + tail[-1] + tail[-SEASON] - tail[-SEASON - 1])
+        out.append(tail[-1])
+    return np.array(out)
+
+
+def _stack(rows: list[np.ndarray], size: int) -> np.ndarray:
+    """(week, series), right-aligned, zeros in front."""
+    out = np.zeros((size, len(rows)))
+    for i, r in enumerate(rows):
+        if len(r) and size:
+            out[max(0, size - len(r)):, i] = r[-size:]
+    return out
 
-    def run(batches):
-        for pdf in batches:
-            parts = {c: [] for c in names}
-            for r in pdf.to_dict("records"):
-                coef = dict(zip(list(r["features"]), list(r["coef"])))
-                steps, h, dates, yhat, se = _one_forecast(r, coef, float(r["sigma2"]), exog, horizon)
-                parts[key].extend([r[key]] * steps)
-                parts["candidate_id"].extend([int(r["candidate_id"])] * steps)
-                parts["step"].extend(range(1, steps + 1))
-                parts["week_date"].extend(dates)
-                parts["is_future"].extend(k > h for k in range(1, steps + 1))
-                parts["yhat"].extend(yhat)
-                parts["lo95"].extend(yhat - 1.96 * se)
-                parts["hi95"].extend(yhat + 1.96 * se)
-            out = pd.DataFrame(parts, columns=names)
-            yield out.astype({"candidate_id": "int32", "step": "int32", "is_future": bool,
-                              "yhat": "float64", "lo95": "float64", "hi95": "float64"})
-
-    return d.mapInPandas(run, schema)
+
+def _naive(y: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
+    """Seasonal naive path and standard errors (null where a year of differences is missing)."""
+    n = len(y)
+    path = np.array([y[n - SEASON + k % SEASON] if n >= SEASON else y[-1] for k in range(steps)])
+    diff = y[SEASON:] - y[:-SEASON] if n > SEASON + 1 else np.empty(0)
+    se = np.std(diff) * np.sqrt(np.arange(steps) // SEASON + 1) if len(diff) else np.full(steps, np.nan)
+    return path, se
 
 
 def sarima_grid(series: DataFrame, key: str = "series_id", value: str = "cases", exog: str | None = None,
-                grid=GRID, rule: str = "B", horizon: int = HORIZON):
-    """Fit every candidate for every series; returns (fits, predictions).
+                grid=GRID, rule: str = "B", horizon: int = HORIZON, only: DataFrame | None = None):
+    """Fit every candidate for every series; returns (fits, predictions, actual).
 
-    fits: one row per (series, candidate) with coefficients, sigma^2, AIC,
-    error text. predictions: holdout steps and ``horizon`` future steps.
+    fits: one row per (series, candidate) with coefficients, sigma^2, AIC and
+    error text. predictions: holdout steps and ``horizon`` future steps of every
+    fitted candidate, and of the fallback (candidate -1) for every series.
+    ``only`` (key, candidate_id) restricts each series to one stored candidate.
     """
     from hebdo.session import checkpoint_dir, ship_package
     checkpoint_dir(series.sparkSession)
     ship_package(series.sparkSession)
-    prep = _prepare(series, key, value, exog, rule)
-    # residuals, fits and predictions are each read by several consumers:
-    # materialise them once in the shared checkpoint folder (lineage cut)
-    resid = _with_residuals(prep, _stage1(prep, key), key).checkpoint()
-    fits = _stage2(resid, key, grid, exog is not None).checkpoint()
-    tail_cols = [key, "week_date", "y", "w", "e", "is_test"] + (["xw"] if exog else [])
-    tails = resid.filter(F.col("is_test") | (F.col("pos") > F.col("n_train") - (SEASON + 2))).select(*tail_cols)
-    preds = _forecast(tails, fits, key, exog is not None, horizon).checkpoint()
-    return fits, preds, resid.select(key, "week_date", "y", "is_test")
+    packed = _packed(series, key, value, exog, rule)
+    if only is not None:
+        packed = packed.join(only.select(key, F.col("candidate_id").alias("_only")), key)
+    grid = list(grid)
+    schema = T.StructType([
+        packed.schema[key], *[T.StructField(c, T.IntegerType()) for c in ("candidate_id", "p", "q", "sp", "sq")],
+        T.StructField("features", T.ArrayType(T.StringType())), T.StructField("coef", T.ArrayType(T.DoubleType())),
+        T.StructField("sigma2", T.DoubleType()), T.StructField("aic", T.DoubleType()), T.StructField("m", T.LongType()),
+        T.StructField("n_train", T.LongType()), T.StructField("error", T.StringType()), T.StructField("h", T.IntegerType()),
+        T.StructField("last_week", T.DateType()),
+        *[T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("yhat", "lo95", "hi95")]])
+
+    def run(batches):
+        for pdf in batches:
+            yield pd.DataFrame(_fit_batch(pdf, key, grid, exog is not None, horizon), columns=schema.names)
+
+    # fits and predictions are each read by several consumers: materialised once
+    # in the shared checkpoint folder (lineage cut)
+    done = packed.mapInPandas(run, schema).checkpoint()
+    fits = done.filter(F.col("candidate_id") != FALLBACK).drop("h", "last_week", "yhat", "lo95", "hi95")
+    preds = (done.filter("error = ''").select(
+        key, "candidate_id", "h", "last_week", F.posexplode(F.arrays_zip("yhat", "lo95", "hi95")).alias("k", "v"))
+        .select(key, "candidate_id", (F.col("k") + 1).alias("step"), F.date_add("last_week", (F.col("k") + 1) * 7).alias("week_date"),
+                (F.col("k") >= F.col("h")).alias("is_future"), "v.yhat", "v.lo95", "v.hi95"))
+    actual = holdout_split(series.select(key, "week_date", F.col(value).cast("double").alias("y")), key, rule)
+    return fits, preds, actual.select(key, "week_date", "y", "is_test")
+
+
+def _fit_batch(pdf: pd.DataFrame, key: str, grid: list, exog: bool, horizon: int) -> list[tuple]:
+    """Rows of one Arrow batch: all series of the batch are fitted and forecast together, by holdout length."""
+    out = []
+    tests = [np.asarray(v, bool) for v in pdf["is_test"]]
+    ys = [np.asarray(v, float)[~t] for v, t in zip(pdf["y"], tests)]
+    ws = [a[np.isfinite(a)] for a in (np.asarray(v, float)[~t] for v, t in zip(pdf["w"], tests))]
+    last = [np.asarray(v)[~t][-1] for v, t in zip(pdf["week_date"], tests)]
+    xs = [np.nan_to_num(np.asarray(v, float)) for v in pdf["xw"]] if exog else None
+    hs, keys = np.array([int(t.sum()) for t in tests]), pdf[key].tolist()
+    for i, y in enumerate(ys):
+        path, se = _naive(y, hs[i] + horizon)
+        none = np.isnan(se).any()
+        out.append((keys[i], FALLBACK, None, None, None, None, None, None, None, None, len(ws[i]), len(y), "", hs[i], last[i], path.tolist(),
+                    [None] * len(path) if none else (path - 1.96 * se).tolist(),
+                    [None] * len(path) if none else (path + 1.96 * se).tolist()))
+    wanted = pdf["_only"].to_numpy() if "_only" in pdf else None
+    for cid, (p, q, P, Q) in enumerate(grid):
+        feats = candidate_features(p, q, P, Q, exog)
+        k = len(feats)
+        mine = [i for i in range(len(keys)) if wanted is None or wanted[i] == cid]
+        long = [i for i in mine if len(ws[i]) > k]
+        for i in set(mine) - set(long):
+            out.append(_row(keys[i], cid, (p, q, P, Q), feats, len(ys[i]), "series too short", hs[i], last[i]))
+        for h in sorted(set(hs[long].tolist())):
+            at = [i for i in long if hs[i] == h]
+            n = max(len(ws[i]) for i in at)
+            w, steps = _stack([ws[i] for i in at], n), h + horizon
+            x = future = None
+            if exog:
+                x = _stack([xs[i][:len(xs[i]) - h][-len(ws[i]):] for i in at], n)
+                future = np.vstack([_stack([xs[i][len(xs[i]) - h:] for i in at], h), np.zeros((horizon, len(at)))])
+            beta, e, fine = fit_css(w, x, feats)
+            size = max(n, SEASON + 1) + SEASON + 1
+            yhat = _recursion(_stack([ys[i] for i in at], size), w, e, future, feats, beta, steps)
+            for c, i in enumerate(at):
+                m = len(ws[i])
+                s2 = float(e[:, c] @ e[:, c]) / m
+                if not fine[c] or s2 <= 0 or not np.isfinite(yhat[:, c]).all():
+                    out.append(_row(keys[i], cid, (p, q, P, Q), feats, len(ys[i]), "singular design", hs[i], last[i]))
+                    continue
+                se = np.sqrt(s2 * np.cumsum(_psi(dict(zip(feats, beta[c])), steps) ** 2))
+                out.append((keys[i], cid, p, q, P, Q, feats, beta[c].tolist(), s2, float(m * np.log(s2) + 2 * k), m, len(ys[i]), "",
+                            h, last[i], yhat[:, c].tolist(), (yhat[:, c] - 1.96 * se).tolist(), (yhat[:, c] + 1.96 * se).tolist()))
+    return out
+
+
+def _row(key, cid, order, feats, n_train, error, h, last) -> tuple:
+    return (key, cid, *order, feats, None, None, None, None, n_train, error, h, last, None, None, None)
 
 
 def holdout_scores(preds: DataFrame, actual: DataFrame, key: str = "series_id") -> DataFrame:
     """MAE / RMSE per (series, candidate) over the holdout, computed in Spark."""
-    t = preds.filter(~F.col("is_future")).join(actual.filter("is_test").select(key, "week_date", "y"),
+    t = preds.filter(~F.col("is_future") & (F.col("candidate_id") != FALLBACK)).join(actual.filter("is_test").select(key, "week_date", "y"),
                                               [key, "week_date"])
     err = F.col("y") - F.col("yhat")
     return t.groupBy(key, "candidate_id").agg(F.avg(F.abs(err)).alias("mae"), F.sqrt(F.avg(err * err)).alias("rmse"))
 
 
+def with_fallback(preds: DataFrame, chosen: DataFrame, key: str = "series_id") -> DataFrame:
+    """Predictions of the chosen candidate of each series, else of the fallback; ``method`` says which."""
+    own = preds.join(chosen.select(key, "candidate_id"), [key, "candidate_id"]).withColumn("method", F.lit("sarima"))
+    rest = (preds.filter(F.col("candidate_id") == FALLBACK).join(own.select(key).distinct(), key, "left_anti")
+            .withColumn("method", F.lit("seasonal_naive")))
+    return own.unionByName(rest)
+
+
 def order_text(p, q, P, Q):
     return (F.format_string("(%d,1,%d)", p, q), F.format_string("(%d,1,%d,52)", P, Q))
 

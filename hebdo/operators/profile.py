@@ -15,21 +15,6 @@ from pyspark.sql import functions as F
 
 from hebdo.functions.cleaning import clean_header, fill_zero_int, round_half_up as R
 
-# Required raw columns (normalised names) of the visit table.
-REQUIRED_RAW = (
-    "establecimientocodigo", "establecimientoglosa",
-    "regioncodigo", "regionglosa",
-    "comunacodigo", "comunaglosa",
-    "serviciosaludcodigo", "serviciosaludglosa",
-    "tipoestablecimiento", "dependenciaadministrativa", "nivelatencion",
-    "tipourgencia", "nivelcomplejidad",
-    "latitud", "longitud",
-    "anio", "semanaestadistica",
-    "ordencausa", "causa",
-    "numtotal", "nummenor1anio", "num1a4anios",
-    "num5a14anios", "num15a64anios", "num65omas",
-)
-
 # Alias candidates per analysis role (first existing column
 # wins), then regex patterns tried in order.
 ROLE_ALIASES = {
@@ -137,7 +122,7 @@ def role_completeness(raw: DataFrame, mapping=RAW_INTERNAL) -> DataFrame:
             target = "double" if kind == "count" else kind
             bad = c.isNotNull() & F.trim(c.cast("string")).try_cast(target).isNull()
             aggs.append(F.sum(F.when(bad, 1).otherwise(0)).alias(f"cf__{src}"))
-    g = df.agg(*aggs) if aggs else df.limit(1).select(F.lit(1).alias("_"))
+    g = df.agg(*(aggs or [F.count(F.lit(1)).alias("_")]))
     rows = [F.struct(F.lit(src).alias("column_name"), F.lit(present[src]).alias("present"),
                      (F.col(f"nn__{src}") if present[src] else F.lit(0)).cast("bigint").alias("non_null"),
                      (F.col(f"cf__{src}") if present[src] else F.lit(0)).cast("bigint").alias("cast_failures"))

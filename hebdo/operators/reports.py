@@ -46,9 +46,11 @@ def metrics_pair(metrics: DataFrame, key: str = "series_id") -> DataFrame:
     m = metrics.withColumn("_m", F.trim(F.col("model").cast("string")))
     is_base = F.upper("_m") == MODEL_BASE
     is_clim = F.lower("_m").contains("clima")
-    pick = lambda cond, c: F.min(F.when(cond, F.struct(F.col("_m"), F.col(c)))).getField(c)
-    return m.groupBy(key).agg(pick(is_base, "mae").alias("base_mae"), pick(is_base, "rmse").alias("base_rmse"),
-                              pick(is_clim, "mae").alias("clima_mae"), pick(is_clim, "rmse").alias("clima_rmse"))
+    # the whole first row (by label, then metrics): MAE and RMSE never come from different rows
+    pick = lambda cond: F.min(F.when(cond, F.struct("_m", F.col("mae").isNull().alias("none"), "mae", "rmse")))
+    return (m.groupBy(key).agg(pick(is_base).alias("b"), pick(is_clim).alias("c"))
+            .select(key, F.col("b.mae").alias("base_mae"), F.col("b.rmse").alias("base_rmse"),
+                    F.col("c.mae").alias("clima_mae"), F.col("c.rmse").alias("clima_rmse")))
 
 
 def metrics_pair_from_kv(kv: DataFrame, key: str = "series_id", metric: str = "metric", value: str = "value"):

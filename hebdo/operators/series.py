@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hebdo.functions.calendar import iso_week, iso_week_to_monday, iso_year, week_bin_monday
-from hebdo.functions.cleaning import round_half_up
+from hebdo.functions.cleaning import clamp_nonnegative, round_half_up
 from hebdo.sources.tables import readings, visits
 
 
@@ -156,7 +156,8 @@ def region_case_series(spark: SparkSession, d: str) -> DataFrame:
             .groupBy(F.lower(F.trim("region_label")).alias("series_id"),
                      week_bin_monday(iso_week_to_monday("year", "week")).alias("week_date"))
             .agg(F.sum("total").cast("double").alias("cases")))
-    return to_spine(bins, "series_id", "cases", zero_fill=True)
+    # a negative week is a correction in the source data: clamped to 0 as in the case series of the reports
+    return to_spine(bins.withColumn("cases", clamp_nonnegative("cases").cast("double")), "series_id", "cases", zero_fill=True)
 
 
 def climate_monday(spark: SparkSession, d: str) -> DataFrame:

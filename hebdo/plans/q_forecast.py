@@ -4,7 +4,6 @@ naive benchmark are value-checked separately (``mae``, ``rmse``)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hebdo.functions.cleaning import round_half_up as R
@@ -13,6 +12,7 @@ from hebdo.operators import reports as RP
 from hebdo.operators import series as S
 from hebdo.operators import stats as ST
 from hebdo.plans.registry import register
+from hebdo.plans.sqlviews import with_views
 from hebdo.session import checkpoint_dir
 from hebdo.sources import files as FS
 
@@ -118,16 +118,29 @@ def q_best_model(spark, d):
 
 
 def _best_preds(spark, d):
+    """Predictions of each series' best model; of the seasonal naive fallback where no candidate could be fitted."""
     lb, fits, preds, _ = _leaderboard(spark, d)
-    best = RP.best_model(lb, KEY).select(KEY, "candidate_id")
-    return preds.join(best, [KEY, "candidate_id"]), best, fits
+    best = RP.best_model(lb, KEY).select(KEY, "candidate_id", "is_default")
+    return FC.with_fallback(preds, best, KEY), best.filter(~F.col("is_default")).drop("is_default"), fits
 
 
 @register("forecast_26w", "2.7")
 def q_forecast_26w(spark, d):
     p = _best_preds(spark, d)[0].filter("is_future")
     return p.select(KEY, "week_date", R(F.col("yhat")).alias("yhat"), R(F.col("lo95")).alias("yhat_lower"),
-                    R(F.col("hi95")).alias("yhat_upper"))
+                    R(F.col("hi95")).alias("yhat_upper"), "method")
+
+
+@register("forecast_coverage", "2.7", with_views("""
+SELECT COUNT(*) AS series_in, COUNT(*) AS series_forecast, CAST(26 AS BIGINT) AS least_weeks, CAST(26 AS BIGINT) AS most_weeks
+FROM (SELECT DISTINCT series_id FROM case_series) t""", "case_series"))
+def q_forecast_coverage(spark, d):
+    """Every series that goes in comes out with 26 weeks, fitted or by the fallback."""
+    series = _series(spark, d)
+    got = q_forecast_26w(spark, d).groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
+    return (series.select(KEY).distinct().join(got, KEY, "left")
+            .agg(F.count(F.lit(1)).alias("series_in"), F.count("n").alias("series_forecast"),
+                 F.min(F.coalesce("n", F.lit(0))).alias("least_weeks"), F.max(F.coalesce("n", F.lit(0))).alias("most_weeks")))
 
 
 @register("forecast_interval_95", "2.7")
@@ -151,22 +164,30 @@ def q_model_params_table(spark, d):
     return spark.read.parquet(path)
 
 
-@register("monthly_refresh", "2.7")
+@register("monthly_refresh", "2.7", with_views("""
+SELECT run, series_id, COUNT(*) AS n_points FROM case_series, (SELECT 1 AS run UNION ALL SELECT 2) r GROUP BY 1, 2""",
+                                               "case_series"))
 def q_monthly_refresh(spark, d):
-    """Refit with the selected order, write the forecast, append a monitoring row per series."""
-    lb, fits, preds, series = _leaderboard(spark, d)
-    best = RP.best_model(lb, KEY)
-    fut = preds.join(best.select(KEY, "candidate_id"), [KEY, "candidate_id"]).filter("is_future")
+    """Two monthly runs after one model selection: each reads the stored order of every series, refits
+    that order only, overwrites the forecast and appends its rows to the one log."""
+    lb, _, _, series = _leaderboard(spark, d)
     base = FS.scratch_path(spark, "refresh")
-    FS.write_table(fut.select(KEY, "week_date", "yhat", "lo95", "hi95"), f"{base}/forecast")
+    FS.write_table(RP.best_model(lb, KEY), f"{base}/best_order")
+    for run in (1, 2):
+        refresh(spark, series, base, run)
+    return spark.read.parquet(f"{base}/monitoring_log").select("run", KEY, "n_points")
+
+
+def refresh(spark, series, base: str, run: int) -> None:
+    best = spark.read.parquet(f"{base}/best_order")
+    fits, preds, actual = FC.sarima_grid(series, KEY, "cases", only=best)
+    out = FC.with_fallback(preds, fits.filter("error = ''").select(KEY, "candidate_id"), KEY).filter("is_future")
+    FS.write_table(out.select(KEY, "week_date", "yhat", "lo95", "hi95", "method"), f"{base}/forecast")
+    scores = FC.holdout_scores(preds, actual, KEY)
     n_points = series.groupBy(KEY).agg(F.count(F.lit(1)).alias("n_points"))
-    log = (best.join(n_points, KEY)
-           .select(F.current_timestamp().alias("run_ts"), KEY, "order", "seasonal", "mae", "rmse", "n_points"))
+    log = (best.select(KEY, "candidate_id", "order", "seasonal").join(n_points, KEY).join(scores, [KEY, "candidate_id"], "left")
+           .select(F.lit(run).alias("run"), F.current_timestamp().alias("run_ts"), KEY, "order", "seasonal", "mae", "rmse", "n_points"))
     FS.append_log(log, f"{base}/monitoring_log")
-    return spark.read.parquet(f"{base}/monitoring_log")
-
-
-__all__ = ["Window"]
 
 
 @register("sarima_candidates_by_establishment", "2.7")

@@ -30,7 +30,7 @@ def path_of(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,14 +40,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     DataFrame is immutable and reused by every query of the session (like a
     catalog table). ``forget_tables()`` drops the memo after files change.
     """
-    key = (id(spark), path_of(sf_dir, name))
-    if key not in _TABLES:
+    key = (spark.sparkContext.applicationId, path_of(sf_dir, name))
+    if key not in _TABLES or _TABLES[key].sparkSession is not spark:
         _TABLES[key] = spark.read.parquet(key[1])
     return _TABLES[key]
 
 
 def forget_tables() -> None:
     _TABLES.clear()
+    sizing.forget_sizes()
 
 
 def geography(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
@@ -86,10 +87,14 @@ def cause_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def causes_by_part(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(p_partkey, cause, cause_code); at most one row per part."""
+    """(p_partkey, cause, cause_code); at most one row per part.
+
+    The cause list is joined on its own (checked) count, a few hundred names
+    whatever the number of parts, so ``part`` is not shuffled on the cause.
+    """
     part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("cause"))
-    n_part = sizing.table_rows(spark, path_of(sf_dir, "part"))
-    return part.join(sizing.dimension(cause_codes(spark, sf_dir), n_part), "cause")
+    codes = cause_codes(spark, sf_dir)
+    return part.join(sizing.dimension(codes, sizing.distinct_rows(codes, f"{path_of(sf_dir, 'part')}#cause")), "cause")
 
 
 def visits(spark: SparkSession, sf_dir: str, with_cause: bool = True) -> DataFrame:

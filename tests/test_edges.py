@@ -127,3 +127,24 @@ def test_surrogate_id_dense_in_order(spark):
                  for r in ST.surrogate_id(df, ["year", "week"], ["city"]).collect())
     assert [o[0] for o in out] == list(range(1, 13))
     assert [o[1:] for o in out] == sorted(r for r in rows)
+
+
+def test_fill_zero_int_never_raises(spark):
+    from hebdo.functions.cleaning import fill_zero_int
+    rows = [("NaN",), ("1e30",), ("9007199254740993",), (" 7 ",), ("-2.9",), ("1e3",), ("x",), (None,), ("99999999999999999999",)]
+    got = [r[0] for r in spark.createDataFrame(rows, "v string").select(fill_zero_int("v")).collect()]
+    assert got == [0, 0, 9007199254740993, 7, -2, 1000, 0, 0, 0]
+
+
+def test_metrics_pair_takes_one_row(spark):
+    from hebdo.operators.reports import metrics_pair
+    df = spark.createDataFrame([("a", "SARIMAX", 1.0, 9.0), ("a", "sarimax ", 2.0, 3.0), ("a", "X+clima", None, None)],
+                               "series_id string, model string, mae double, rmse double")
+    r = metrics_pair(df).first()
+    assert (r.base_mae, r.base_rmse) == (1.0, 9.0) and r.clima_mae is None
+
+
+def test_completeness_of_an_empty_table_without_required_columns(spark):
+    from hebdo.operators.profile import RAW_INTERNAL, role_completeness
+    got = role_completeness(spark.createDataFrame([], "other string")).collect()
+    assert len(got) == len(RAW_INTERNAL) and not any(r["present"] for r in got)

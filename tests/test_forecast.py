@@ -43,21 +43,69 @@ def test_recovers_ar_coefficient(spark):
 
 def test_error_rows_do_not_fail_the_job(spark):
     pattern = 100 + 10 * np.sin(2 * np.pi * np.arange(52) / 52)
-    flat = np.tile(pattern, 8)  # noise-free seasonal: double difference is exactly 0
-    df = _frame(spark, {"flat": flat, "short": np.arange(120.0), "ok": _sim(2)})
+    flat = np.tile(pattern, 8).round(6)  # noise-free seasonal: double difference is exactly 0
+    df = _frame(spark, {"flat": flat, "short": np.arange(30.0), "ok": _sim(2)})
     fits, preds, _ = FC.sarima_grid(df)
     errs = {(r.series_id, r.error) for r in fits.collect()}
     assert ("flat", "singular design") in errs
     assert ("short", "series too short") in errs
     assert {e for s, e in errs if s == "ok"} == {""}
     assert fits.count() == 3 * len(FC.GRID)
-    assert preds.select("series_id").distinct().collect()[0].series_id == "ok"
+    fitted = preds.filter("candidate_id <> -1").select("series_id").distinct().collect()
+    assert [r.series_id for r in fitted] == ["ok"]
+
+
+def test_no_series_is_lost(spark):
+    """Whatever its length, a series comes out with 26 future weeks, in order, by a stated method."""
+    lengths = {f"n{n}": n for n in (1, 2, 10, 53, 60, 120, 200, 240, 400)}
+    df = _frame(spark, {k: _sim(9)[:n] if n > 53 else 50 + np.arange(float(n)) for k, n in lengths.items()})
+    fits, preds, actual = FC.sarima_grid(df)
+    best = fits.filter("error = '' and candidate_id = 0")
+    out = FC.with_fallback(preds, best).filter("is_future").toPandas()
+    assert out.groupby("series_id").size().to_dict() == {k: 26 for k in lengths}
+    assert np.isfinite(out.yhat).all()
+    method = out.groupby("series_id").method.first()
+    assert method["n10"] == "seasonal_naive" and all(method[f"n{n}"] == "sarima" for n in (200, 240, 400))
+
+
+def _sim_ma(seed, n, theta=-0.4, seasonal=-0.7):
+    rng = np.random.default_rng(seed)
+    e = rng.normal(0, 1, n + 53)
+    w = e[53:] + theta * e[52:-1] + seasonal * e[1:-52] + theta * seasonal * e[:-53]
+    return w
+
+
+@pytest.mark.parametrize("n,most", [(1500, 0.05), (420, 0.12)])
+def test_recovers_moving_average_terms(n, most):
+    w = np.stack([_sim_ma(s, n) for s in range(8)], axis=1)
+    feats = FC.candidate_features(1, 1, 0, 1, False)
+    beta, e, fine = FC.fit_css(w, None, feats)
+    coef = dict(zip(feats, beta.T))
+    # (1 - phi B) is free here and near 0: compare the implied short-lag weights
+    assert fine.all()
+    for name, true in (("e52", -0.7),):
+        assert abs(coef[name].mean() - true) < most
+    assert abs((coef["w1"] + coef["e1"]).mean() + 0.4) < most
+    assert abs(e[60:].std() - 1) < 0.1
+
+
+def test_gradient_is_zero_at_the_fit():
+    """Normal equations: the derivative of every residual recursion is orthogonal to the residuals."""
+    w = np.stack([_sim_ma(s, 400) for s in range(3)], axis=1)
+    feats = FC.candidate_features(1, 2, 1, 0, False)
+    beta, e, _ = FC.fit_css(w, None, feats)
+    for i in range(len(feats)):
+        step = np.zeros_like(beta)
+        step[:, i] = 1e-4
+        up, down = FC._residuals(w, None, feats, beta + step), FC._residuals(w, None, feats, beta - step)
+        slope = ((up ** 2).sum(0) - (down ** 2).sum(0)) / 2e-4
+        assert np.all(np.abs(slope) < 1e-3 * (e ** 2).sum(0))
 
 
 def test_intervals_widen_and_future_count(spark):
     df = _frame(spark, {"a": _sim(3)})
     fits, preds, _ = FC.sarima_grid(df, grid=[(1, 1, 0, 1)])
-    p = preds.orderBy("step").toPandas()
+    p = preds.filter("candidate_id <> -1").orderBy("step").toPandas()
     width = (p.hi95 - p.lo95).to_numpy()
     assert np.all(np.diff(width) >= -1e-9)
     assert int(p.is_future.sum()) == FC.HORIZON
