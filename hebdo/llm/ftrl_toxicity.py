@@ -103,44 +103,43 @@ def fit(sample: DataFrame, bits: int = BITS, passes: int = 4, shard_rows: int =
     bias = 1 << bits  # the cell after the hashed ones
     rows = stage(sample.select("text", F.col("label").cast("double").alias("label"), F.xxhash64("doc_id").alias("h")),
                  "toxic-sample")
+    # shards follow from the rows alone, whatever the number of partitions
     shards = max(1, rows.count() // shard_rows)
+    rows = rows.withColumn("shard", F.pmod("h", F.lit(shards)))
 
-    def seen_in(batches):
+    def seen_in(pdf):
         import pandas as pd
         hasher, n = Hasher(bits), np.zeros(bias, np.int64)
-        for pdf in batches:
-            for text in pdf["text"]:
-                n[hasher.cells(text)] += 1
+        for text in pdf["text"]:
+            n[hasher.cells(text)] += 1
         at = np.flatnonzero(n)
-        yield pd.DataFrame({"cell": at, "n": n[at]})
+        return pd.DataFrame({"cell": at, "n": n[at]})
 
-    usual = (rows.select("text").mapInPandas(seen_in, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    usual = (rows.groupBy("shard").applyInPandas(seen_in, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
              .filter(F.col("n") >= min_docs).select("cell").toPandas()["cell"].to_numpy())
     usable = np.zeros(bias, bool)
     usable[usual] = True
     allowed = spark.sparkContext.broadcast(np.packbits(usable))
-    rows = rows.repartition(shards, "h").sortWithinPartitions("h", "text")
     z, n = np.zeros(bias + 1), np.zeros(bias + 1)
     for turn in range(passes):
         start = spark.sparkContext.broadcast((z.astype(np.float32), n.astype(np.float32)))
 
-        def train(batches, start=start, turn=turn):
+        def train(pdf, start=start, turn=turn):
             import pandas as pd
             z, n = (a.astype(np.float64) for a in start.value)
-            hasher, touched, seen = Hasher(bits), np.zeros(bias + 1, bool), False
+            hasher, touched = Hasher(bits), np.zeros(bias + 1, bool)
             usable = np.unpackbits(allowed.value).astype(bool)
-            for pdf in batches:
-                order = np.argsort([hash((int(x), turn)) for x in pdf["h"]], kind="stable")
-                for text, label in zip(pdf["text"].to_numpy()[order], pdf["label"].to_numpy()[order]):
-                    cells = hasher.cells(text)
-                    cells = np.append(cells[usable[cells]], bias)
-                    rule.step(z, n, cells, label)
-                    touched[cells] = seen = True
-            if seen:
-                at = np.flatnonzero(touched)
-                yield pd.DataFrame({"cell": at, "z": z[at], "n": n[at]})
-
-        state = (rows.mapInPandas(train, "cell long, z double, n double")
+            pdf = pdf.sort_values(["h", "text"], kind="stable")
+            order = np.argsort([hash((int(x), turn)) for x in pdf["h"]], kind="stable")
+            for text, label in zip(pdf["text"].to_numpy()[order], pdf["label"].to_numpy()[order]):
+                cells = hasher.cells(text)
+                cells = np.append(cells[usable[cells]], bias)
+                rule.step(z, n, cells, label)
+                touched[cells] = True
+            at = np.flatnonzero(touched)
+            return pd.DataFrame({"cell": at, "z": z[at], "n": n[at]})
+
+        state = (rows.groupBy("shard").applyInPandas(train, "cell long, z double, n double")
                  .groupBy("cell").agg(F.avg("z").alias("z"), F.avg("n").alias("n")).toPandas())
         z, n = z.copy(), n.copy()
         z[state["cell"]], n[state["cell"]] = state["z"], state["n"]
