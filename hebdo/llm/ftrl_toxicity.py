@@ -124,7 +124,7 @@ def fit(sample: DataFrame, bits: int = BITS, passes: int = 4, shard_rows: int =
     for turn in range(passes):
         start = spark.sparkContext.broadcast((z.astype(np.float32), n.astype(np.float32)))
 
-        def train(pdf, start=start, turn=turn):
+        def train(pdf):
             import pandas as pd
             z, n = (a.astype(np.float64) for a in start.value)
             hasher, touched = Hasher(bits), np.zeros(bias + 1, bool)
