@@ -53,20 +53,18 @@ SELECT CAST(estab_code AS VARCHAR) AS establecimientocodigo, estab_label AS esta
 FROM visits"""}
 
 
-def _conform_sql() -> str:
-    sel = []
-    present = {r.replace("﻿", "").strip().lower() for r, _ in _RAW_HEADERS}
-    for src, (dst, kind) in PR.RAW_INTERNAL.items():
-        if src not in present:
-            continue
-        if kind == "count":
-            e = f"CAST(COALESCE(TRY_CAST(trim({src}) AS DOUBLE), 0) AS BIGINT)"
-        elif kind == "string":
-            e = src
-        else:
-            e = f"TRY_CAST(trim({src}) AS {'INTEGER' if kind == 'int' else kind.upper()})"
-        sel.append(f"{e} AS {dst}")
-    return "SELECT " + ", ".join(sel) + " FROM raw"
+_CONFORM_SQL = """
+SELECT TRY_CAST(trim(establecimientocodigo) AS BIGINT) AS estab_code, establecimientoglosa AS estab_label,
+       TRY_CAST(trim(regioncodigo) AS BIGINT) AS region_code, regionglosa AS region_label,
+       TRY_CAST(trim(comunacodigo) AS BIGINT) AS commune_code, comunaglosa AS commune_label,
+       TRY_CAST(trim(serviciosaludcodigo) AS BIGINT) AS service_code, serviciosaludglosa AS service_label,
+       TRY_CAST(trim(anio) AS INTEGER) AS year, TRY_CAST(trim(semanaestadistica) AS INTEGER) AS week,
+       TRY_CAST(trim(ordencausa) AS BIGINT) AS cause_code, causa AS cause,
+       COALESCE(TRY_CAST(trim(numtotal) AS BIGINT), 0) AS total,
+       COALESCE(TRY_CAST(trim(nummenor1anio) AS BIGINT), 0) AS band_under1,
+       COALESCE(TRY_CAST(trim(num1a4anios) AS BIGINT), 0) AS band_1_4,
+       COALESCE(TRY_CAST(trim(num5a14anios) AS BIGINT), 0) AS band_5_14
+FROM raw"""
 
 
 def _completeness_sql() -> str:
@@ -87,7 +85,7 @@ def _completeness_sql() -> str:
 
 # ------------------------------------------------------------------ §2.2
 
-@register("conform_table", "2.2", with_views(_conform_sql(), "visits", extra=_RAW_SQL))
+@register("conform_table", "2.2", with_views(_CONFORM_SQL, "visits", extra=_RAW_SQL))
 def q_conform_table(spark, d):
     return PR.conform_table(raw_visits(spark, d))
 
@@ -276,46 +274,69 @@ def q_write_table(spark, d):
     return spark.read.parquet(path)
 
 
-@register("delimiter_profile", "2.1")
+_CITY_LINES = {"cw": """
+SELECT year, week, lower(trim(region_label)) AS city, CAST(SUM(total) AS BIGINT) AS cases
+FROM visits_nc WHERE year IS NOT NULL AND week IS NOT NULL AND region_label IS NOT NULL GROUP BY 1, 2, 3""",
+               "widths": """
+SELECT s.rank, s.sep, len(string_split(concat_ws(';', year, week, city, cases), s.sep)) AS n_fields, COUNT(*) AS n_lines
+FROM cw, (VALUES (0, ','), (1, ';'), (2, chr(9)), (3, '|')) AS s(rank, sep) GROUP BY 1, 2, 3"""}
+
+
+def _city_lines(spark, d) -> str:
+    """The weekly city table as ';' text without header lines, so counts do not depend on the number of files."""
+    path = FS.scratch_path(spark, "delim_probe")
+    return FS.write_table(A.cases_by_city_week(visits(spark, d, with_cause=False)), path, fmt="csv", sep=";", header=False)
+
+
+@register("delimiter_profile", "2.1", with_views("SELECT * FROM widths", "visits_nc", extra=_CITY_LINES))
 def q_delimiter_profile(spark, d):
     """Fields-per-line distribution for each candidate separator over a written ';' file."""
-    path = FS.scratch_path(spark, "delim_probe")
-    FS.write_table(A.cases_by_city_week(visits(spark, d, with_cause=False)), path, fmt="csv", sep=";")
-    return FS.delimiter_profile(spark, path)
+    return FS.delimiter_profile(spark, _city_lines(spark, d))
 
 
-@register("detect_delimiter", "2.1")
+@register("detect_delimiter", "2.1", with_views("""
+SELECT sep, n_fields AS modal_fields FROM (
+  SELECT *, row_number() OVER (PARTITION BY sep ORDER BY n_lines DESC, n_fields DESC) AS k FROM widths) t
+WHERE k = 1 AND n_fields > 1 ORDER BY n_fields DESC, rank LIMIT 1""", "visits_nc", extra=_CITY_LINES))
 def q_detect_delimiter(spark, d):
-    path = FS.scratch_path(spark, "delim_probe")
-    FS.write_table(A.cases_by_city_week(visits(spark, d, with_cause=False)), path, fmt="csv", sep=";")
-    return FS.detect_delimiter(FS.delimiter_profile(spark, path))
+    return FS.detect_delimiter(FS.delimiter_profile(spark, _city_lines(spark, d)))
 
 
 @register("bad_line_quarantine", "2.1", with_views("""
-SELECT CAST(year AS VARCHAR) || ';' || CAST(week AS VARCHAR) AS raw_line
-FROM (SELECT DISTINCT year, week, lower(trim(region_label)) AS city FROM visits_nc
-      WHERE year IS NOT NULL AND week IS NOT NULL AND region_label IS NOT NULL) t
-WHERE week = 53""", "visits_nc"))
+SELECT CAST(NULL AS VARCHAR) AS raw_line, year, week, CASE WHEN week < 53 THEN city END AS city,
+       CASE WHEN week < 53 THEN cases END AS cases FROM cw WHERE week > 1
+UNION ALL
+SELECT concat_ws(';', year, week, city, cases, 'x'), NULL, NULL, NULL, NULL FROM cw WHERE week = 1""",
+                                                   "visits_nc", extra={"cw": _CITY_LINES["cw"]}))
 def q_bad_line_quarantine(spark, d):
-    """Lines of week 53 are written truncated; they come back quarantined, the rest typed."""
+    """Lines of week 53 lack two fields and come back padded; lines of week 1 have one too many
+    and come back quarantined; the rest comes back typed."""
     cw = A.cases_by_city_week(visits(spark, d, with_cause=False))
-    line = F.when(F.col("week") == 53, F.concat_ws(";", "year", "week"))\
-            .otherwise(F.concat_ws(";", "year", "week", "city", "cases"))
+    whole = ("year", "week", "city", "cases")
+    line = (F.when(F.col("week") == 53, F.concat_ws(";", "year", "week"))
+            .when(F.col("week") == 1, F.concat_ws(";", *whole, F.lit("x"))).otherwise(F.concat_ws(";", *whole)))
     path = FS.scratch_path(spark, "with_bad_lines")
     cw.select(line.alias("value")).write.text(path)
     good, bad = FS.bad_line_quarantine(spark, path, _CITY_WEEK_SCHEMA, sep=";", header=False)
-    return bad
+    return good.unionByName(bad, allowMissingColumns=True).select("raw_line", *whole)
 
 
-@register("file_line_counts", "2.1")
+@register("file_line_counts", "2.1", with_views("""
+SELECT 'dim_region' AS table_name, COUNT(*) + 1 AS n_lines
+  FROM (SELECT DISTINCT region_code, region_label FROM visits WHERE region_code IS NOT NULL) t
+UNION ALL SELECT 'dim_commune', COUNT(*) + 1
+  FROM (SELECT DISTINCT commune_code, commune_label, region_code FROM visits WHERE commune_code IS NOT NULL) t
+UNION ALL SELECT 'dim_cause', COUNT(*) + 1
+  FROM (SELECT DISTINCT cause_code, cause FROM visits WHERE cause_code IS NOT NULL) t""", "visits"))
 def q_file_line_counts(spark, d):
-    """Line count of every CSV part file written for three dimension tables."""
+    """Lines (header included) of the CSV file of three dimension tables, one file each (short vocabularies)."""
     v = visits(spark, d, with_cause=True)
     folder = FS.scratch_path(spark, "dims_csv")
     for name, t in {"dim_region": ST.dim_region(v), "dim_commune": ST.dim_commune(v),
                     "dim_cause": ST.dim_cause(v)}.items():
-        FS.write_table(t, f"{folder}/{name}", fmt="csv")
-    return FS.file_line_counts(spark, folder, "*/*.csv")
+        FS.write_table(t.repartition(1), f"{folder}/{name}", fmt="csv")
+    return FS.file_line_counts(spark, folder, "*/*.csv").select(
+        F.regexp_extract("file_path", r"/(dim_[a-z]+)/", 1).alias("table_name"), "n_lines")
 
 
 # ------------------------------------------------------------------ streaming refresh

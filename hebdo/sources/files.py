@@ -24,13 +24,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", sep: str = ",",
-                mode: str = "overwrite", partition_by: list[str] | None = None) -> str:
-    """Write with header (CSV) and overwrite; returns the path."""
+                mode: str = "overwrite", partition_by: list[str] | None = None, header: bool = True) -> str:
+    """Write (CSV: with a header unless told otherwise) and overwrite; returns the path."""
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).option("sep", sep).csv(path)
+        w.option("header", header).option("sep", sep).csv(path)
     else:
         w.format(fmt).save(path)
     return path
@@ -45,14 +45,21 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str, s
 
 def bad_line_quarantine(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",",
                         header: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(good rows, quarantined raw lines): malformed lines are kept aside, not lost."""
-    corrupt = "_corrupt_record"
-    full = T.StructType(list(schema.fields) + [T.StructField(corrupt, T.StringType(), True)])
-    df = (spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", corrupt).schema(full).csv(path))
-    df = df.cache()  # Spark requires materialising before filtering on the corrupt column
-    good = df.filter(F.col(corrupt).isNull()).drop(corrupt)
-    bad = df.filter(F.col(corrupt).isNotNull()).select(F.col(corrupt).alias("raw_line"))
+    """(good rows, quarantined raw lines): lines with too many fields are kept aside, not lost.
+
+    Short lines are padded with nulls and a value that does not parse is null.
+    Separators inside quotes do not count. Each half is one scan; nothing is cached.
+    """
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    if header:
+        first = lines.first()
+        lines = lines.filter(F.col("value") != (first["value"] if first else ""))
+    bare = F.regexp_replace("value", r'"(?:[^"]|"")*"', "")
+    lines = lines.withColumn("n_fields", F.size(F.split(bare, _regex_quote(sep))))
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    parsed = F.from_csv("value", ddl, {"sep": sep, "mode": "PERMISSIVE"})
+    good = lines.filter(F.col("n_fields") <= len(schema.fields)).select(parsed.alias("r")).select("r.*")
+    bad = lines.filter(F.col("n_fields") > len(schema.fields)).select(F.col("value").alias("raw_line"))
     return good, bad
 
 

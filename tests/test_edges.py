@@ -148,3 +148,13 @@ def test_completeness_of_an_empty_table_without_required_columns(spark):
     from hebdo.operators.profile import RAW_INTERNAL, role_completeness
     got = role_completeness(spark.createDataFrame([], "other string")).collect()
     assert len(got) == len(RAW_INTERNAL) and not any(r["present"] for r in got)
+
+
+def test_short_lines_are_padded_and_long_lines_quarantined(spark, tmp_path):
+    from pyspark.sql import types as T
+    from hebdo.sources.files import bad_line_quarantine
+    (tmp_path / "a.csv").write_text('n;s\n1;x\n2\n3;"a;b"\n4;y;\nbad;z\n\n')
+    schema = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("s", T.StringType())])
+    good, bad = bad_line_quarantine(spark, str(tmp_path), schema, sep=";")
+    assert {(r.n, r.s) for r in good.collect()} == {(1, "x"), (2, None), (3, "a;b"), (None, "z")}
+    assert [r.raw_line for r in bad.collect()] == ["4;y;"]
