@@ -49,6 +49,8 @@ def bad_line_quarantine(spark: SparkSession, path: str, schema: T.StructType, se
 
     Short lines are padded with nulls and a value that does not parse is null.
     Separators inside quotes do not count. Each half is one scan; nothing is cached.
+    With ``header``, all files share one header line, and every line equal to it is
+    a header, wherever it stands. A quoted value does not cross a line end.
     """
     lines = spark.read.text(path).filter(F.trim("value") != "")
     if header:
