@@ -7,12 +7,13 @@ not yet known are sorted, which is a depth-first walk of their trie: a word
 keeps the forward states of the prefix it shares with the one before and only
 extends them.
 
-The forward state of a prefix is the last piece of its best segmentation. For
-a model of ranked merges "best" is the segmentation that the merges yield: a
-piece may follow the state before it only if merging the two pieces' text
-gives just these two, and exactly one piece qualifies. So the pass yields the
-library's own ids. For a model with additive scores the state holds the best
-sum. Characters without a piece become byte pieces.
+The forward state of a prefix is the last piece of its best segmentation, and
+the longest end of the prefix that begins a piece, from which the pieces that
+can end next follow. The model has ranked merges, so "best" is the
+segmentation that the merges yield: a piece may follow the state before it only
+if merging the two pieces' text gives just these two, and exactly one piece
+qualifies. So the pass yields the library's own ids. Characters without a piece
+become byte pieces.
 
 Defined results: null text gives null ids and null text back; empty text
 no ids. White space other than the blank is kept as it is (its byte pieces);
@@ -24,6 +25,7 @@ Rows are encoded one by one, whole; repeated rows get equal ids.
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
@@ -37,10 +39,52 @@ MARK = "▁"
 WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
+class Ending(dict):
+    """What a prefix ends with: the longest end that begins a piece, and the pieces (with their lengths) that end it.
+
+    The longest piece comes first; a single character is always among them, as
+    without a piece it becomes byte pieces. As a dict it leads by the next character to the next ending.
+    """
+
+    def __init__(self, pieces: Pieces, begun: str, char: str):
+        self.pieces, self.begun = pieces, begun
+        ends = (begun[i:] for i in range(len(begun) - 1))
+        self.ends = [(p, len(p)) for p in ends if p in pieces.stable] + [(char, 1)]
+
+    def __missing__(self, char: str) -> Ending:
+        begun = self.begun + char
+        while begun and begun not in self.pieces.prefixes:
+            begun = begun[1:]
+        endings = self.pieces.endings
+        if (out := endings.get(begun or char)) is None:
+            out = endings[begun or char] = Ending(self.pieces, begun, char)
+        self[char] = out
+        self.pieces.grown += 1
+        return out
+
+
+class Follows(dict):
+    """Whether a piece may follow the piece ``left``: the merges leave just these two of their joint text."""
+
+    def __init__(self, pieces: Pieces, left: str):
+        self.pieces, self.left = pieces, left
+
+    def __missing__(self, piece: str) -> bool:
+        out = self[piece] = not self.left or self.pieces.merge(self.left + piece) == [self.left, piece]
+        self.pieces.grown += 1
+        return out
+
+
 class Pieces:
-    """Vocabulary of a model file, and encoding of marked words."""
+    """Vocabulary of a model file, and encoding of marked words.
+
+    Ids of a word are kept as the bytes of int32 values, so a text's ids are one join.
+    """
 
-    def __init__(self, model: bytes, memory: int = 400_000):
+    #: Words longer than this are encoded anew each time instead of being remembered.
+    LONG = 64
+
+    def __init__(self, model: bytes, memory: int = 300_000):
         import sentencepiece as sp
         m = sp.SentencePieceProcessor(model_proto=model)
         self.text = [m.id_to_piece(i) for i in range(m.get_piece_size())]
@@ -48,19 +92,24 @@ class Pieces:
         self.rank = {self.text[i]: (-m.get_score(i), i) for i in plain}
         self.byte = {int(self.text[i][3:5], 16): i for i in range(len(self.text)) if m.is_byte(i)}
         self.unknown = m.unk_id()
-        self.longest = max(map(len, self.rank))
         crossing = [p for p in self.rank if re.search(f"[^{MARK}]{MARK}", p)]
         if crossing:
             raise ValueError(f"pieces cross word marks: {crossing[:3]}")
         self.bytes_of = [bytes([int(p[3:5], 16)]) if m.is_byte(i) else b"" if m.is_control(i) else p.replace(
             MARK, " ").encode() for i, p in enumerate(self.text)]
-        self.known, self.memory = {}, memory
-        self.fits = lru_cache(1_000_000)(lambda left, right: self.merge(left + right) == [left, right])
-        self.stable = lru_cache(100_000)(lambda piece: self.merge(piece) == [piece])
+        self.code = {p: array("i", [i]).tobytes() for p, (_, i) in self.rank.items()}
+        #: pieces that the merges do yield for their own text
+        self.stable = {p for p in self.rank if len(p) == 1 or self.merge(p) == [p]}
+        self.prefixes = {p[:k] for p in self.stable for k in range(1, len(p) + 1)}
+        self.forget()
+        # words of two generations: the older one goes when the newer is full, frequent words move on
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.memory = memory
 
     # ---- segmentation of one marked word -------------------------------------------------
     def merge(self, text: str) -> list[str]:
-        """Segmentation of a short string by ranked merges, the definition that ``fits`` rests on."""
+        """Segmentation of a short string by ranked merges, the definition that ``Follows`` rests on."""
         parts = list(text)
         while len(parts) > 1:
             ranked = [(self.rank[a + b][0], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.rank]
@@ -70,54 +119,68 @@ class Pieces:
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
-    def extend(self, word: str, last: list[str]) -> None:
-        """Add the state of the prefix ``word[:len(last)]``: ``last[k]`` is the final piece of prefix k."""
-        end = len(last)
-        for start in range(max(0, end - self.longest), end):
-            piece = word[start:end]
-            if end - start > 1 and (piece not in self.rank or not self.stable(piece)):
-                continue
-            if start == 0 or self.fits(last[start], piece):
-                last.append(piece)
-                return
-        raise AssertionError("no piece ends here")
+    def forget(self) -> None:
+        """Start over with what has been learned of endings and neighbours."""
+        self.grown = 0
+        self.endings: dict[str, Ending] = {}
+        self.follows: dict[str, Follows] = {}
 
     def encode_words(self, words) -> None:
         """Encode the words not yet known, in sorted order, sharing the states of common prefixes."""
-        if len(self.known) > self.memory:
-            self.known.clear()
-        before, last = "", [""]
+        if self.grown > 1_000_000:
+            self.forget()
+        before, code, follows = "", self.code, self.follows
+        last = [""]  # last[k]: final piece of the best segmentation of the first k characters
+        after = [Follows(self, "")]  # after[k]: what may follow it
+        state = [Ending(self, "", "")]  # state[k]: what they end with
         for word in sorted(set(words).difference(self.known)):
             same = 0
             for a, b in zip(before, word):
                 if a != b:
                     break
                 same += 1
-            del last[same + 1:]
-            while len(last) <= len(word):
-                self.extend(word, last)
-            ids, end = [], len(word)
+            del last[same + 1:], after[same + 1:], state[same + 1:]
+            ending = state[same]
+            end = same
+            for char in word[same:]:
+                end += 1
+                ending = ending[char]
+                for piece, length in ending.ends:
+                    if after[end - length][piece]:
+                        break
+                else:
+                    raise AssertionError("no piece ends here")
+                if (nexts := follows.get(piece)) is None:
+                    nexts = follows[piece] = Follows(self, piece)
+                last.append(piece)
+                after.append(nexts)
+                state.append(ending)
+            ids = []
             while end:
                 piece = last[end]
-                got = self.rank.get(piece)
-                ids.extend((got[1],) if got else reversed([self.byte.get(b, self.unknown) for b in piece.encode()]))
+                ids.append(code.get(piece) or self.by_bytes(piece))
                 end -= len(piece)
-            self.known[word] = ids[::-1]
+            ids.reverse()
+            self.known[word] = b"".join(ids)
             before = word
 
+    def by_bytes(self, char: str) -> bytes:
+        """Byte pieces of a character without a piece (the unknown piece where the model has none)."""
+        return array("i", [self.byte.get(b, self.unknown) for b in char.encode()]).tobytes()
+
     # ---- texts -----------------------------------------------------------------------------
-    def encode_batch(self, texts: list[str | None]) -> list[list[int] | None]:
+    def encode_batch(self, texts: list[str | None]) -> list[bytes | None]:
+        """Ids of each text as the bytes of int32 values."""
         cut = [WORDS.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        self.encode_words(w for words in cut for w in words)
-        missing = [w for words in cut for w in words if w not in self.known]
-        if missing:
-            self.encode_words(missing)
-        out = []
-        for t, words in zip(texts, cut):
-            ids: list[int] = []
-            for w in words:
-                ids += self.known[w]
-            out.append(None if t is None else ids)
+        need = {w for words in cut for w in words}
+        if len(self.known) > self.memory:
+            self.known, self.older = {}, self.known
+        self.known.update((w, self.older[w]) for w in need.difference(self.known) if w in self.older)
+        self.encode_words(need)
+        out = [None if t is None else b"".join(map(self.known.__getitem__, words)) for t, words in zip(texts, cut)]
+        for w in need:
+            if len(w) > self.LONG:
+                del self.known[w]
         return out
 
     def decode(self, ids: list[int] | None) -> str | None:
@@ -127,6 +190,12 @@ class Pieces:
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
+@lru_cache(maxsize=2)
+def pieces_of(model: bytes) -> Pieces:
+    """One vocabulary a worker process, so that later tasks find known words."""
+    return Pieces(model)
+
+
 def model_bytes(spark, path: str = MODEL) -> bytes:
     """The model file, read through Spark so that any store will do (a fixed file of under 1 MB)."""
     return bytes(spark.read.format("binaryFile").load(path if "://" in path else f"file://{path}").first()["content"])
@@ -134,31 +203,42 @@ def model_bytes(spark, path: str = MODEL) -> bytes:
 
 def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """``docs`` with ``ids array<int>`` and ``n_ids`` added; all its other columns stay."""
-    return _mapped(docs, model, lambda p, batch: p.encode_batch(batch.column("text").to_pylist()), "ids", "array<int>",
-                   ["text"]).withColumn("n_ids", F.size("ids").cast("long"))
+    return _mapped(docs, model, _encoded, "ids", "array<int>").withColumn("n_ids", F.size("ids").cast("long"))
 
 
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     """``encoded`` with the decoded ``text_back`` added."""
-    return _mapped(encoded, model, lambda p, batch: [p.decode(i) for i in batch.column("ids").to_pylist()],
-                   "text_back", "string", ["ids"])
+    return _mapped(encoded, model, _decoded, "text_back", "string")
+
+
+def _encoded(pieces: Pieces, batch):
+    import numpy as np
+    import pyarrow as pa
+    coded = pieces.encode_batch(batch.column("text").to_pylist())
+    ends = np.cumsum([0] + [len(c) // 4 if c else 0 for c in coded], dtype=np.int32)
+    values = pa.array(np.frombuffer(b"".join(c for c in coded if c), np.int32))
+    return pa.ListArray.from_arrays(pa.array(ends), values, mask=pa.array([c is None for c in coded]))
+
+
+def _decoded(pieces: Pieces, batch):
+    import pyarrow as pa
+    return pa.array([pieces.decode(ids) for ids in batch.column("ids").to_pylist()], pa.string())
 
 
-def _mapped(df: DataFrame, model: str, work, name: str, kind: str, needs: list[str]) -> DataFrame:
+def _mapped(df: DataFrame, model: str, work, name: str, kind: str) -> DataFrame:
     spark = with_workers(df.sparkSession)
     shared = spark.sparkContext.broadcast(model_bytes(spark, model))
     df = df.drop(name)
-    step = 64  # texts turned into Python objects at once
+    most = 8 << 20  # bytes turned into Python objects at once (at least one row)
 
     def run(batches):
         import pyarrow as pa
-        pieces = Pieces(shared.value)
-        typ = pa.list_(pa.int32()) if kind == "array<int>" else pa.string()
+        pieces = pieces_of(shared.value)
         for batch in batches:
+            step = max(1, int(batch.num_rows * most / max(1, batch.nbytes)))
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(work(pieces, part), typ)],
-                                                 [*part.schema.names, name])
+                yield pa.RecordBatch.from_arrays([*part.columns, work(pieces, part)], [*part.schema.names, name])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     return df.mapInArrow(run, f"{fields}, `{name}` {kind}")
