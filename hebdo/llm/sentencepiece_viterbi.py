@@ -40,7 +40,7 @@ WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
 class Ending(dict):
-    """What a prefix ends with: the longest end that begins a piece, and the pieces (with their lengths) that end it.
+    """What a prefix ends with: the longest end that begins a piece, and (piece, length, Follows) of the pieces that end it.
 
     The longest piece comes first; a single character is always among them, as
     without a piece it becomes byte pieces. As a dict it leads by the next character to the next ending.
@@ -49,7 +49,7 @@ class Ending(dict):
     def __init__(self, pieces: Pieces, begun: str, char: str):
         self.pieces, self.begun = pieces, begun
         ends = (begun[i:] for i in range(len(begun) - 1))
-        self.ends = [(p, len(p)) for p in ends if p in pieces.stable] + [(char, 1)]
+        self.ends = [(p, len(p), pieces.after(p)) for p in [*filter(pieces.stable.__contains__, ends), char]]
 
     def __missing__(self, char: str) -> Ending:
         begun = self.begun + char
@@ -84,7 +84,7 @@ class Pieces:
     #: Words longer than this are encoded anew each time instead of being remembered.
     LONG = 64
 
-    def __init__(self, model: bytes, memory: int = 300_000):
+    def __init__(self, model: bytes, memory: int = 150_000):
         import sentencepiece as sp
         m = sp.SentencePieceProcessor(model_proto=model)
         self.text = [m.id_to_piece(i) for i in range(m.get_piece_size())]
@@ -95,8 +95,6 @@ class Pieces:
         crossing = [p for p in self.rank if re.search(f"[^{MARK}]{MARK}", p)]
         if crossing:
             raise ValueError(f"pieces cross word marks: {crossing[:3]}")
-        self.bytes_of = [bytes([int(p[3:5], 16)]) if m.is_byte(i) else b"" if m.is_control(i) else p.replace(
-            MARK, " ").encode() for i, p in enumerate(self.text)]
         self.code = {p: array("i", [i]).tobytes() for p, (_, i) in self.rank.items()}
         #: pieces that the merges do yield for their own text
         self.stable = {p for p in self.rank if len(p) == 1 or self.merge(p) == [p]}
@@ -125,39 +123,40 @@ class Pieces:
         self.endings: dict[str, Ending] = {}
         self.follows: dict[str, Follows] = {}
 
+    def after(self, piece: str) -> Follows:
+        if (out := self.follows.get(piece)) is None:
+            out = self.follows[piece] = Follows(self, piece)
+        return out
+
     def encode_words(self, words) -> None:
         """Encode the words not yet known, in sorted order, sharing the states of common prefixes."""
         if self.grown > 1_000_000:
             self.forget()
-        before, code, follows = "", self.code, self.follows
-        last = [""]  # last[k]: final piece of the best segmentation of the first k characters
-        after = [Follows(self, "")]  # after[k]: what may follow it
-        state = [Ending(self, "", "")]  # state[k]: what they end with
+        before, code = "", self.code
+        # for each prefix: its Ending, and the Follows of the last piece of its best segmentation
+        state, last = [Ending(self, "", "")], [Follows(self, "")]
         for word in sorted(set(words).difference(self.known)):
             same = 0
             for a, b in zip(before, word):
                 if a != b:
                     break
                 same += 1
-            del last[same + 1:], after[same + 1:], state[same + 1:]
+            del last[same + 1:], state[same + 1:]
             ending = state[same]
             end = same
             for char in word[same:]:
                 end += 1
                 ending = ending[char]
-                for piece, length in ending.ends:
-                    if after[end - length][piece]:
+                for piece, length, follows in ending.ends:
+                    if last[end - length][piece]:
                         break
                 else:
                     raise AssertionError("no piece ends here")
-                if (nexts := follows.get(piece)) is None:
-                    nexts = follows[piece] = Follows(self, piece)
-                last.append(piece)
-                after.append(nexts)
+                last.append(follows)
                 state.append(ending)
             ids = []
             while end:
-                piece = last[end]
+                piece = last[end].left
                 ids.append(code.get(piece) or self.by_bytes(piece))
                 end -= len(piece)
             ids.reverse()
@@ -183,17 +182,40 @@ class Pieces:
                 del self.known[w]
         return out
 
-    def decode(self, ids: list[int] | None) -> str | None:
+    def column(self, batch):
+        import numpy as np
+        import pyarrow as pa
+        coded = self.encode_batch(batch.column("text").to_pylist())
+        ends = np.cumsum([0] + [len(c) // 4 if c else 0 for c in coded], dtype=np.int32)
+        values = pa.array(np.frombuffer(b"".join(c for c in coded if c), np.int32))
+        return pa.ListArray.from_arrays(pa.array(ends), values, mask=pa.array([c is None for c in coded]))
+
+
+class Decoder:
+    """Texts of ids: the bytes of each piece in a row."""
+
+    def __init__(self, model: bytes):
+        import sentencepiece as sp
+        m = sp.SentencePieceProcessor(model_proto=model)
+        names = ((i, m.id_to_piece(i)) for i in range(m.get_piece_size()))
+        self.bytes_of = [bytes([int(p[3:5], 16)]) if m.is_byte(i) else b"" if m.is_control(i) else p.replace(
+            MARK, " ").encode() for i, p in names]
+
+    def run(self, ids: list[int] | None) -> str | None:
         if ids is None:
             return None
         raw = b"".join(map(self.bytes_of.__getitem__, ids))
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
+    def column(self, batch):
+        import pyarrow as pa
+        return pa.array([self.run(ids) for ids in batch.column("ids").to_pylist()], pa.string())
+
 
 @lru_cache(maxsize=2)
-def pieces_of(model: bytes) -> Pieces:
-    """One vocabulary a worker process, so that later tasks find known words."""
-    return Pieces(model)
+def kept(kind: type, model: bytes) -> Pieces | Decoder:
+    """One of a kind in a worker process, so that later tasks find known words."""
+    return kind(model)
 
 
 def model_bytes(spark, path: str = MODEL) -> bytes:
@@ -203,42 +225,28 @@ def model_bytes(spark, path: str = MODEL) -> bytes:
 
 def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """``docs`` with ``ids array<int>`` and ``n_ids`` added; all its other columns stay."""
-    return _mapped(docs, model, _encoded, "ids", "array<int>").withColumn("n_ids", F.size("ids").cast("long"))
+    return _mapped(docs, model, Pieces, "ids", "array<int>").withColumn("n_ids", F.size("ids").cast("long"))
 
 
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     """``encoded`` with the decoded ``text_back`` added."""
-    return _mapped(encoded, model, _decoded, "text_back", "string")
-
-
-def _encoded(pieces: Pieces, batch):
-    import numpy as np
-    import pyarrow as pa
-    coded = pieces.encode_batch(batch.column("text").to_pylist())
-    ends = np.cumsum([0] + [len(c) // 4 if c else 0 for c in coded], dtype=np.int32)
-    values = pa.array(np.frombuffer(b"".join(c for c in coded if c), np.int32))
-    return pa.ListArray.from_arrays(pa.array(ends), values, mask=pa.array([c is None for c in coded]))
-
-
-def _decoded(pieces: Pieces, batch):
-    import pyarrow as pa
-    return pa.array([pieces.decode(ids) for ids in batch.column("ids").to_pylist()], pa.string())
+    return _mapped(encoded, model, Decoder, "text_back", "string")
 
 
-def _mapped(df: DataFrame, model: str, work, name: str, kind: str) -> DataFrame:
+def _mapped(df: DataFrame, model: str, worker: type, name: str, kind: str) -> DataFrame:
     spark = with_workers(df.sparkSession)
     shared = spark.sparkContext.broadcast(model_bytes(spark, model))
     df = df.drop(name)
-    most = 8 << 20  # bytes turned into Python objects at once (at least one row)
+    most = 2 << 20  # bytes turned into Python objects at once (at least one row)
 
     def run(batches):
         import pyarrow as pa
-        pieces = pieces_of(shared.value)
+        work = kept(worker, shared.value)
         for batch in batches:
             step = max(1, int(batch.num_rows * most / max(1, batch.nbytes)))
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
-                yield pa.RecordBatch.from_arrays([*part.columns, work(pieces, part)], [*part.schema.names, name])
+                yield pa.RecordBatch.from_arrays([*part.columns, work.column(part)], [*part.schema.names, name])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     return df.mapInArrow(run, f"{fields}, `{name}` {kind}")
