@@ -52,6 +52,33 @@ def test_links_match_brute_force(spark, monkeypatch, tile):
     assert got[0]["audit_recall"] >= 0.9
 
 
+def test_rare_links_are_all_found_when_the_search_misses_them(spark, monkeypatch):
+    """A search too weak for the table: links that the audit is too small to judge, or sees missing, come from the exact pass."""
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(c) for c in rng.standard_normal(16)], int(i % 2)) for i in range(600)]
+    rows += [(1000 + i, [c * (1 + 0.02 * (k % 3)) for k, c in enumerate(rows[i][1])], rows[i][2]) for i in range(0, 600, 150)]
+    chain = [rng.standard_normal(16), rng.standard_normal(16)]
+    rows += [(2000 + i, [float(c) for c in chain[0] * np.cos(i / 9) + chain[1] * np.sin(i / 9)], 0) for i in range(12)]
+    want = sorted(brute(rows))
+    for name, value in (("BLOCK", 2), ("ORDERS", 1), ("ROUNDS", 0), ("STARTS", 2), ("WIDE", 100), ("STRIP", 30)):
+        monkeypatch.setattr(nn, name, value)
+    for need in (1000, 1):  # too few links to measure a recall; recall measured and too low
+        monkeypatch.setattr(nn, "AUDIT_LINKS", need)
+        got = nn.near_duplicates(spark.createDataFrame(rows, VECTORS)).collect()
+        assert sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in got) == want
+
+
+def test_audit_without_links_reports_no_recall(spark):
+    rows = [(i, [float(i == k) for k in range(12)], 1) for i in range(12)]
+    got = nn.near_duplicates(spark.createDataFrame(rows, VECTORS)).collect()
+    assert all(r["audit_recall"] is None and r["n_links"] == 0 for r in got)
+
+
+def test_search_grows_with_the_largest_label():
+    small, large = nn.search_size(5_000, 0.98), nn.search_size(10**8, 0.98)
+    assert small == (6, 12, 3) and all(b > a for a, b in zip(small, large))
+
+
 def test_vector_edges(spark):
     one = [1.0, 2.0]
     rows = [(1, one, 1), (2, one, None), (3, None, 1), (4, [], 1), (5, [0.0, 0.0], 1), (6, [1.0, None], 1), (7, [float("nan"), 1.0], 1),
