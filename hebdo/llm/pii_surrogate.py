@@ -12,10 +12,14 @@ collision counter:
 * names keep their form of address and get a given name of the same gender
   and script, and a made-up family name of the same script.
 
+A mention gives only its layout (separators, form of address). The country code is read from the
+normal form by the list of calling codes, and the gender is decided once for each entity: that of the
+mentions which state one, "u" where both are stated or none.
+
 The counter is 0 for nearly all entities. ``collisions`` finds, over the
 distinct entities of the corpus, those whose surrogate equals another's or a
 real entity, raises their counter and looks again until none is left; only
-these exceptions are joined back (broadcast within the checked bound, by
+these exceptions, and names whose mentions differ in the gender they state, are joined back (broadcast within the checked bound, by
 shuffle beyond it). All others are rewritten in the scan, so a hot entity
 moves no rows.
 
@@ -56,6 +60,8 @@ SYLLABLES = {
     "latin": ["ba", "den", "for", "gal", "hin", "jor", "kel", "lan", "mor", "nev", "pol", "ras", "sten", "tor", "vel", "wes"],
     "cyrillic": ["ба", "вен", "гор", "дал", "жин", "зор", "кел", "лан", "мор", "нев", "пол", "рас", "сте", "тор", "фел", "шин"],
 }
+#: Calling codes of one and two digits; all others have three.
+CALLING = (r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})")
 NAME = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
 #: type -> Java regular expression; at one place the first that matches wins.
 PATTERNS = {
@@ -79,9 +85,10 @@ def kind(mention: Column) -> Column:
 
 
 def normal_form(mention: Column, typ: Column) -> Column:
-    """What makes two mentions the same entity: digits, lower case, or the bare secret or name."""
+    """What makes two mentions the same entity: digits (with a leading +), lower case, or the bare secret or name."""
     titles = "|".join(t.replace(".", r"\.") for v in TITLES.values() for t in v)
-    return (F.when(typ.isin("card", "phone"), F.regexp_replace(mention, r"\D", ""))
+    return (F.when(typ == "card", F.regexp_replace(mention, r"\D", ""))
+            .when(typ == "phone", F.regexp_replace(mention, r"(?!^\+)\D", ""))
             .when(typ == "secret", F.regexp_replace(mention, SECRET_HEAD, "")).when(typ == "email", F.lower(mention))
             .when(typ == "name", F.regexp_replace(mention, f"^(?:{titles}) ", "")).otherwise(mention))
 
@@ -125,16 +132,22 @@ def _card(mention: Column, norm: Column, digest: Column) -> Column:
 
 def _phone(mention: Column, norm: Column, digest: Column) -> Column:
     """New digits after the country code; 0 and 1 never open the number."""
-    code = F.greatest(F.length(F.regexp_extract(mention, r"^(\+\d{1,3})(?=[ .(-])", 1)) - 1, F.lit(0))
-    new = F.transform(F.split(norm, ""), lambda c, i: F.when(i < code, c).when(
+    code = F.greatest(F.length(F.regexp_extract(norm, CALLING, 0)) - 1, F.lit(0))
+    new = F.transform(F.split(F.ltrim(norm, F.lit("+")), ""), lambda c, i: F.when(i < code, c).when(
         i == code, (_number(digest, i, 8) + 2).cast("string")).otherwise(_number(digest, i, 10).cast("string")))
     return _filled(mention, new)
 
 
-def _name(mention: Column, digest: Column) -> Column:
+def stated_gender(mention: Column) -> Column:
+    """Gender that the form of address of a name states."""
+    title = F.regexp_extract(mention, r"^(\S+) ", 1)
+    return F.when(title.isin(TITLES["f"]), "f").when(title.isin(TITLES["m"]), "m").otherwise("u")
+
+
+def _name(mention: Column, norm: Column, digest: Column, bump: Column, gender: Column) -> Column:
+    """Form of address of the mention, name from the entity alone."""
     title = F.regexp_extract(mention, r"^(\S+) ", 1)
-    cyr = F.regexp_replace(mention, r"^\S+ ", "").rlike(r"^\p{IsCyrillic}")
-    gender = F.when(title.isin(TITLES["f"]), "f").when(title.isin(TITLES["m"]), "m").otherwise("u")
+    cyr = norm.rlike(r"^\p{IsCyrillic}")
     arr = lambda values: F.array(*[F.lit(v) for v in values])
 
     def parts(script):
@@ -142,8 +155,9 @@ def _name(mention: Column, digest: Column) -> Column:
             digest, 0, len(GIVEN[g, script])) + 1)).otherwise(rest), ("f", "m"),
             F.element_at(arr(GIVEN["u", script]), _number(digest, 0, len(GIVEN["u", script])) + 1))
         syl = arr(SYLLABLES[script])
-        family = F.initcap(F.concat(*[F.element_at(syl, _number(digest, k, 16) + 1) for k in (1, 2, 3, 4)]))
-        two = F.size(F.split(mention, " ")) > 2
+        one = lambda k: F.element_at(syl, _number(digest, k, 16) + 1)
+        family = F.initcap(F.concat(*[one(k) for k in (1, 2, 3, 4)]))
+        two = norm.contains(" ")
         return F.when(two, F.concat_ws(" ", title, given, family)).otherwise(F.concat_ws(" ", title, family))
 
     return F.when(cyr, parts("cyrillic")).otherwise(parts("latin"))
@@ -153,8 +167,8 @@ def digest_of(typ: Column, norm: Column, bump: Column, key: str) -> Column:
     return F.sha2(F.concat_ws("\x1f", F.lit(key), typ, norm, bump.cast("string")), 512)
 
 
-def surrogate(mention: Column, typ: Column, norm: Column, digest: Column) -> Column:
-    """Replacement for a mention, of its type and form, from its keyed digest."""
+def surrogate(mention: Column, typ: Column, norm: Column, digest: Column, bump: Column, gender: Column) -> Column:
+    """Replacement for a mention, of its type and layout; its normal form follows from the other arguments alone."""
     alphabet = "abcdefghijklmnopqrstuvwxyz"
     hexa = norm.rlike("^[0-9a-f]+$|^[0-9A-F]+$")
     bare = F.when(hexa, _mapped(norm, digest, "abcdef")).otherwise(_mapped(norm, digest, alphabet))
@@ -163,7 +177,7 @@ def surrogate(mention: Column, typ: Column, norm: Column, digest: Column) -> Col
     octets = F.array_join(F.transform(F.split(mention, r"\."), lambda c, i: (
         _number(digest, i, 254) + 1).cast("string")), ".")
     return (F.when(typ == "email", mail).when(typ == "ip", octets).when(typ == "card", _card(mention, norm, digest))
-            .when(typ == "phone", _phone(mention, norm, digest)).when(typ == "name", _name(mention, digest))
+            .when(typ == "phone", _phone(mention, norm, digest)).when(typ == "name", _name(mention, norm, digest, bump, gender))
             .otherwise(F.concat(F.regexp_extract(mention, SECRET_HEAD, 0), bare)))
 
 
@@ -176,14 +190,21 @@ def mentions(text: Column) -> Column:
 
 
 def entities(docs: DataFrame) -> DataFrame:
-    """Distinct (type, norm) of the corpus with one mention each, reduced before the shuffle."""
+    """Distinct (type, norm) of the corpus with one mention each, reduced before the shuffle.
+
+    ``gender`` is the entity's; ``mixed`` says that not every mention states it and a given name depends on it.
+    """
     found = docs.select(F.explode(mentions(F.col("text").cast("string"))).alias("m"))
-    return found.groupBy(F.col("m.type").alias("type"), F.col("m.norm").alias("norm")).agg(
-        F.min("m.mention").alias("mention"))
+    states = lambda g: F.max((stated_gender(F.col("m.mention")) == g).cast("int")).alias(g)
+    found = found.groupBy(F.col("m.type").alias("type"), F.col("m.norm").alias("norm")).agg(
+        F.min("m.mention").alias("mention"), states("f"), states("m"), states("u"))
+    gender = F.when(F.col("f") > F.col("m"), "f").when(F.col("m") > F.col("f"), "m").otherwise("u")
+    mixed = (F.col("type") == "name") & F.col("norm").contains(" ") & (F.col("f") + F.col("m") + F.col("u") > 1)
+    return found.select("type", "norm", "mention", gender.alias("gender"), mixed.alias("mixed"))
 
 
 def collisions(found: DataFrame, key: str, rounds: int = 30) -> DataFrame:
-    """(type, norm, bump) of the entities whose surrogate needs a counter above 0.
+    """(type, norm, bump, gender) of the entities whose surrogate needs a counter above 0 or whose mentions are ``mixed``.
 
     Of entities with one surrogate, that with the least hash of its normal form keeps it;
     a surrogate that is itself an entity of the corpus goes to nobody. Each
@@ -195,10 +216,10 @@ def collisions(found: DataFrame, key: str, rounds: int = 30) -> DataFrame:
     for _ in range(rounds):
         now = found if bumped is None else found.join(small_side(bumped), ["type", "norm"], "left")
         bump = F.lit(0) if bumped is None else F.coalesce("bump", F.lit(0))
-        now = now.select("type", "norm", "mention", bump.alias("bump")).withColumn(
+        now = now.select("type", "norm", "mention", "gender", bump.alias("bump")).withColumn(
             "digest", digest_of(F.col("type"), F.col("norm"), F.col("bump"), key))
         now = now.select("type", "norm", "bump", normal_form(surrogate(
-            F.col("mention"), F.col("type"), F.col("norm"), F.col("digest")), F.col("type")).alias("new"))
+            F.col("mention"), F.col("type"), F.col("norm"), F.col("digest"), F.col("bump"), F.col("gender")), F.col("type")).alias("new"))
         now = stage(now, "pii-surrogates")
         order = F.struct(F.xxhash64("norm"), "norm")
         keep = now.groupBy("type", "new").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
@@ -213,9 +234,12 @@ def collisions(found: DataFrame, key: str, rounds: int = 30) -> DataFrame:
         old = bumped.join(again, ["type", "norm"], "left_anti") if bumped is not None else None
         bumped = stage(raised if old is None else raised.unionByName(old), "pii-bumps")
     else:
-        raise RuntimeError(f"surrogates still collide after {rounds} rounds: too few names or digits for the entities")
-    return bumped if bumped is not None else stage(
-        found.select("type", "norm", F.lit(0).alias("bump")).filter("false"), "pii-bumps")
+        raise RuntimeError(f"surrogates still collide after {rounds} rounds: too few letters or digits for the entities")
+    if bumped is None:
+        found = found.filter("mixed").withColumn("bump", F.lit(0))
+    else:
+        found = found.join(small_side(bumped), ["type", "norm"], "left").filter("mixed or bump is not null")
+    return stage(found.select("type", "norm", F.coalesce("bump", F.lit(0)).alias("bump"), "gender"), "pii-exceptions")
 
 
 def replace(docs: DataFrame, key: str) -> DataFrame:
@@ -225,13 +249,16 @@ def replace(docs: DataFrame, key: str) -> DataFrame:
     work = docs.withColumn("_m", mentions(text))
     n = exceptions.count()
     if n == 0:
-        bump = lambda m: F.lit(0)
+        own = lambda m: F.lit(None).cast("struct<bump:int,gender:string>")
     else:
         bound = F.concat_ws("\x1f", "type", "norm")
-        work = _with_bumps(work, exceptions.select(bound.alias("_e"), F.col("bump").alias("_b")), n)
-        bump = lambda m: F.coalesce(F.element_at("_bumps", F.concat_ws("\x1f", m["type"], m["norm"])), F.lit(0))
-    keyed = F.transform("_m", lambda m: m.withField("digest", digest_of(m["type"], m["norm"], bump(m), key)))
-    new = F.transform(keyed, lambda m: surrogate(m["mention"], m["type"], m["norm"], m["digest"]))
+        work = _with_bumps(work, exceptions.select(bound.alias("_e"), F.struct("bump", "gender").alias("_b")), n)
+        own = lambda m: F.element_at("_bumps", F.concat_ws("\x1f", m["type"], m["norm"]))
+    bump = lambda m: F.coalesce(own(m)["bump"], F.lit(0))
+    keyed = F.transform("_m", lambda m: m.withField("bump", bump(m)).withField(
+        "gender", F.coalesce(own(m)["gender"], stated_gender(m["mention"]))).withField(
+        "digest", digest_of(m["type"], m["norm"], bump(m), key)))
+    new = F.transform(keyed, lambda m: surrogate(m["mention"], m["type"], m["norm"], m["digest"], m["bump"], m["gender"]))
     gaps = F.split(text, ANY, -1)
     out = F.array_join(F.zip_with(gaps, F.concat(new, F.array(F.lit(""))), lambda g, s: F.concat(g, s)), "")
     return (work.withColumn("text", F.when(F.size("_m") > 0, out).otherwise(text))

@@ -219,6 +219,19 @@ def test_forced_collisions_are_resolved(spark, monkeypatch):
     assert all(t.split(" and ")[0] == t.split(" and ")[1] for t in got) and len(set(got)) == 6
 
 
+def test_one_entity_gets_one_surrogate_in_every_form(spark):
+    rows = [(1, "+1 (415) 555-2671"), (2, "+14155552671"), (3, "+1-415-555-2671"), (4, "Mr. John Smith"), (5, "Dr. John Smith"),
+            (6, "Dr. Ann Lee"), (7, "Prof. Ann Lee"), (8, "Mrs. Kim Roe"), (9, "Mr. Kim Roe"), (10, "Dr. Kim Roe"), (11, "Mr. Al Po")]
+    got = {r["doc_id"]: r["text"] for r in pii.replace(docs(spark, rows), "k").collect()}
+    digits = {re.sub(r"\D", "", got[i]) for i in (1, 2, 3)}
+    assert len(digits) == 1 and digits.pop()[0] == "1" and got[2].startswith("+1") and len(got[2]) == 12
+    name = {i: got[i].split(" ", 1)[1] for i in range(4, 12)}
+    assert name[4] == name[5] and name[6] == name[7] and name[8] == name[9] == name[10] and len(set(name.values())) == 4
+    for i, gender in ((5, "m"), (6, "u"), (8, "u"), (11, "m")):
+        assert name[i].split()[0] in pii.GIVEN[gender, "latin"]
+    assert all(got[i].split()[0] == t.split()[0] for i, t in rows[3:])
+
+
 def test_pii_edges(spark):
     rows = edge_rows()
     df = docs(spark, rows, clash=True)
