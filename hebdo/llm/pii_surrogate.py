@@ -145,7 +145,7 @@ def stated_gender(mention: Column) -> Column:
 
 
 def _name(mention: Column, norm: Column, digest: Column, bump: Column, gender: Column) -> Column:
-    """Form of address of the mention, name from the entity alone."""
+    """Form of address of the mention, name from the entity alone; each count of the counter adds a syllable."""
     title = F.regexp_extract(mention, r"^(\S+) ", 1)
     cyr = norm.rlike(r"^\p{IsCyrillic}")
     arr = lambda values: F.array(*[F.lit(v) for v in values])
@@ -156,7 +156,8 @@ def _name(mention: Column, norm: Column, digest: Column, bump: Column, gender: C
             F.element_at(arr(GIVEN["u", script]), _number(digest, 0, len(GIVEN["u", script])) + 1))
         syl = arr(SYLLABLES[script])
         one = lambda k: F.element_at(syl, _number(digest, k, 16) + 1)
-        family = F.initcap(F.concat(*[one(k) for k in (1, 2, 3, 4)]))
+        more = F.when(bump > 0, F.array_join(F.transform(F.sequence(F.lit(5), bump + 4), one), "")).otherwise("")
+        family = F.initcap(F.concat(*[one(k) for k in (1, 2, 3, 4)], more))
         two = norm.contains(" ")
         return F.when(two, F.concat_ws(" ", title, given, family)).otherwise(F.concat_ws(" ", title, family))
 

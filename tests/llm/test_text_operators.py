@@ -232,6 +232,14 @@ def test_one_entity_gets_one_surrogate_in_every_form(spark):
     assert all(got[i].split()[0] == t.split()[0] for i, t in rows[3:])
 
 
+def test_more_names_than_four_syllables_hold_are_resolved(spark, monkeypatch):
+    """Two syllables give 16 family names of four; 60 entities need longer ones."""
+    monkeypatch.setitem(pii.SYLLABLES, "latin", ["ba", "den"] * 8)
+    rows = [(i, f"Mr. {a}{b}") for i, (a, b) in enumerate(itertools.product("ABCDEFGHIJ", ["ool", "ill", "ock", "arn", "eft", "und"]))]
+    got = [r["text"] for r in pii.replace(docs(spark, rows), "k").collect()]
+    assert len(set(got)) == len(rows) == 60 and all(t.startswith("Mr. ") for t in got) and not set(got) & {t for _, t in rows}
+
+
 def test_pii_edges(spark):
     rows = edge_rows()
     df = docs(spark, rows, clash=True)
