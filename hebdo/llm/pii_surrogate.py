@@ -1,7 +1,9 @@
 """Personal data: keyed surrogates of the same type and form, in SQL functions only.
 
 Detected: secrets after a key word, e-mail addresses, payment card numbers, IPv4 addresses,
-telephone numbers, and names behind a form of address. Each distinct entity (its normal form) gets one
+telephone numbers (after + and a country code in any groups; without one in North American groups, French pairs,
+German area code and number, or Spanish groups; not a bare run of digits that opens with 1 to 9), and names behind a
+form of address. Each distinct entity (its normal form) gets one
 surrogate in the whole corpus, from SHA-512 over key, type, normal form and a
 collision counter:
 
@@ -69,7 +71,12 @@ PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "card": r"(?<![\d.])\d(?:[ -]?\d){12,18}(?!\d)",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)|(?<![\w+])\+\d{8,15}(?!\d)",
+    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)"
+             # country code and 7 to 14 digits in any groups
+             r"|(?<![\w+])\+\d(?:(?:[ ./-]|[ .-]?\(|\)[ .-]?)?\d){7,14}(?!\d)"
+             # national: pairs after 0 (French), 0 and area code before one long part (German), 0 unbroken, 9 digits with pairs (Spanish)
+             r"|(?<![\w+.,/-])(?:0[1-9](?<gap>[ .-])\d\d(?:\k<gap>\d\d){3}|0[1-9]\d{1,4}[ /-]\d{5,9}|\(0[1-9]\d{1,4}\) ?\d{5,9}"
+             r"|0[1-9]\d{8,10}|(?:[89]\d[ .-]\d{3}|[6-9]\d\d[ .-]\d\d)(?:[ .-]\d\d){2})(?!\d)",
     "key": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|[0-9a-f]{40}|[0-9a-f]{64})(?![A-Za-z0-9])",
     "name": r"(?<!\p{L})(?:%s) %s(?: %s)?" % ("|".join(
         t.replace(".", r"\.") for t in sorted((t for v in TITLES.values() for t in v), key=lambda t: (-len(t), t))), NAME, NAME),
@@ -131,8 +138,8 @@ def _card(mention: Column, norm: Column, digest: Column) -> Column:
 
 
 def _phone(mention: Column, norm: Column, digest: Column) -> Column:
-    """New digits after the country code; 0 and 1 never open the number."""
-    code = F.greatest(F.length(F.regexp_extract(norm, CALLING, 0)) - 1, F.lit(0))
+    """New digits after the country code or the leading 0; 0 and 1 never open the number."""
+    code = F.greatest(F.length(F.regexp_extract(norm, CALLING, 0)) - 1, norm.startswith("0").cast("int"))
     new = F.transform(F.split(F.ltrim(norm, F.lit("+")), ""), lambda c, i: F.when(i < code, c).when(
         i == code, (_number(digest, i, 8) + 2).cast("string")).otherwise(_number(digest, i, 10).cast("string")))
     return _filled(mention, new)

@@ -232,6 +232,28 @@ def test_one_entity_gets_one_surrogate_in_every_form(spark):
     assert all(got[i].split()[0] == t.split()[0] for i, t in rows[3:])
 
 
+@pytest.mark.parametrize("number", ["+33 1 23 45 67 89", "06 12 34 56 78", "01.23.45.67.89", "0612345678", "+49 30 12345678", "0171 2345678",
+                                    "030/12345678", "(030) 12345678", "+49 (0)30 123456", "+34 91 123 45 67", "912 345 678", "612 34 56 78",
+                                    "91 123 45 67"])
+def test_telephone_forms_of_four_languages(number):
+    typed = [t for t in ("secret", "email", "card", "ip", "phone") if _java(pii.PATTERNS[t]).fullmatch(number)]
+    assert typed == ["phone"]
+    hits = [m[0] for m in _java(pii.PATTERNS["phone"]).finditer(f"Tel. {number}, 01.02.2003 10:30, 2003-01-02 04:05, 3.0612345678, 12 345 67")]
+    assert hits == [number]
+
+
+def _java(pattern):
+    return re.compile(pattern.replace("(?<gap>", "(?P<gap>").replace("\\k<gap>", "(?P=gap)"))
+
+
+def test_telephone_surrogates_keep_code_and_layout(spark):
+    rows = [(1, "call +33 1 23 45 67 89."), (2, "call 06 12 34 56 78."), (3, "call 0171 2345678."), (4, "+33123456789"), (5, "on 01.02.2003 10:30")]
+    got = {r["doc_id"]: r["text"] for r in pii.replace(docs(spark, rows), "k").collect()}
+    assert re.fullmatch(r"call \+33 \d(?: \d\d){4}\.", got[1]) and re.fullmatch(r"call 0\d(?: \d\d){4}\.", got[2])
+    assert re.fullmatch(r"call 0\d{3} \d{7}\.", got[3]) and re.sub(r"\D", "", got[1]) == got[4][1:] and got[5] == rows[4][1]
+    assert all(got[i] != t for i, t in rows[:4])
+
+
 def test_more_names_than_four_syllables_hold_are_resolved(spark, monkeypatch):
     """Two syllables give 16 family names of four; 60 entities need longer ones."""
     monkeypatch.setitem(pii.SYLLABLES, "latin", ["ba", "den"] * 8)
