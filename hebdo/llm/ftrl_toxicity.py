@@ -1,14 +1,14 @@
 """Toxicity classifier: FTRL-proximal logistic regression on hashed word features.
 
 Features of a text are the set of its lower-cased words, adjacent word pairs,
-and pairs with one word between, hashed into ``2**bits`` cells. Training keeps FTRL state
-(z, n) per cell: per-coordinate rates fall with the squared gradients seen,
+and pairs with one word between, hashed into ``2**bits`` cells. The cells that enough texts have are
+numbered densely, and training keeps FTRL state (z, n) for them only: per-coordinate rates fall with the squared gradients seen,
 and the L1 term leaves most weights exactly 0, so the model is a short list of
 cells that is cheap to broadcast (never more than ``2**bits`` weights).
 
 The bounded labelled sample is dealt into shards; each runs FTRL over its rows
 from the common state, the states are averaged per cell in Spark, and the next
-pass starts from the average. Scoring is a ``mapInArrow`` over whole texts.
+pass starts from the average. States travel as packed arrays, one row for a range of cells. Scoring is a ``mapInArrow`` over whole texts.
 
 Defined results: null texts, empty texts and texts without words have no features; their score
 is the bias alone. Rows are scored one by one, so ties and repeats get equal scores.
@@ -28,7 +28,9 @@ from hebdo.llm.common import id_bucket, labelled_sample, stage, with_workers
 
 #: Bound on the labelled rows the model is fitted on.
 MAX_TRAIN = 30_000
-BITS = 18
+BITS = 20
+#: Ranges of cells that travel as one row.
+RANGES = 64
 WORD = re.compile(r"[^\W_]+")
 PAIR, SKIP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -92,6 +94,21 @@ class ToxicModel:
         return w
 
 
+def packed(shard: int, at: np.ndarray, size: int, *values: np.ndarray):
+    """Values at the sorted places ``at`` below ``size``: a row (shard, part, at, a, b ...) of bytes for each range of places."""
+    import pandas as pd
+    edges = np.searchsorted(at, np.arange(RANGES + 1) * -(-size // RANGES))
+    return pd.DataFrame([(int(shard), k, at[i:j].astype(np.int32).tobytes(), *(v[i:j].tobytes() for v in values))
+                         for k, (i, j) in enumerate(zip(edges, edges[1:])) if i < j],
+                        columns=["shard", "part", "at", *"ab"[:len(values)]])
+
+
+def unpacked(rows, kind: str, *names: str) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Places and values of packed rows, one after the other."""
+    join = lambda c, k: np.frombuffer(b"".join(rows[c]), k)
+    return join("at", "i4"), [join(c, kind) for c in names]
+
+
 def fit(sample: DataFrame, bits: int = BITS, passes: int = 4, shard_rows: int = 4_000, min_docs: int = 3,
         rule: Ftrl = Ftrl()) -> ToxicModel:
     """FTRL with state averaging over (doc_id, text, label) rows; ``sample`` must be bounded.
@@ -100,53 +117,67 @@ def fit(sample: DataFrame, bits: int = BITS, passes: int = 4, shard_rows: int =
     one text alone has would only learn that text by heart.
     """
     spark = with_workers(sample.sparkSession)
-    bias = 1 << bits  # the cell after the hashed ones
     rows = stage(sample.select("text", F.col("label").cast("double").alias("label"), F.xxhash64("doc_id").alias("h")),
                  "toxic-sample")
     # shards follow from the rows alone, whatever the number of partitions
     shards = max(1, rows.count() // shard_rows)
-    rows = rows.withColumn("shard", F.pmod("h", F.lit(shards)))
+    rows = rows.withColumn("shard", F.pmod("h", F.lit(shards)).cast("int"))
 
     def seen_in(pdf):
-        import pandas as pd
-        hasher, n = Hasher(bits), np.zeros(bias, np.int64)
+        hasher, n = Hasher(bits), np.zeros(1 << bits, np.int32)
         for text in pdf["text"]:
             n[hasher.cells(text)] += 1
         at = np.flatnonzero(n)
-        return pd.DataFrame({"cell": at, "n": n[at]})
-
-    usual = (rows.groupBy("shard").applyInPandas(seen_in, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-             .filter(F.col("n") >= min_docs).select("cell").toPandas()["cell"].to_numpy())
-    usable = np.zeros(bias, bool)
-    usable[usual] = True
-    allowed = spark.sparkContext.broadcast(np.packbits(usable))
-    z, n = np.zeros(bias + 1), np.zeros(bias + 1)
+        return packed(pdf["shard"].iloc[0], at, 1 << bits, n[at])
+
+    def usual_in(pdf):
+        at, (n,) = unpacked(pdf, "i4", "a")
+        cells, place = np.unique(at, return_inverse=True)
+        return packed(0, cells[np.bincount(place, n, len(cells)) >= min_docs], 1 << bits)
+
+    def collected(found, kind, *names):
+        out = found.collect()
+        return unpacked({c: [r[c] for r in out] for c in ("at", *names)}, kind, *names)
+
+    cells, _ = collected(rows.groupBy("shard").applyInPandas(seen_in, "shard int, part int, at binary, a binary")
+                         .groupBy("part").applyInPandas(usual_in, "shard int, part int, at binary").select("at"), "i4")
+    cells = np.sort(cells)  # dense number of a cell: its place here
+    bias = len(cells)       # the number after them
+    allowed = spark.sparkContext.broadcast(cells)
+    z, n = np.zeros(bias + 1, np.float32), np.zeros(bias + 1, np.float32)
     for turn in range(passes):
-        start = spark.sparkContext.broadcast((z.astype(np.float32), n.astype(np.float32)))
+        start = spark.sparkContext.broadcast((z, n))
 
         def train(pdf):
-            import pandas as pd
             z, n = (a.astype(np.float64) for a in start.value)
             hasher, touched = Hasher(bits), np.zeros(bias + 1, bool)
-            usable = np.unpackbits(allowed.value).astype(bool)
+            number = np.full(1 << bits, -1, np.int32)
+            number[allowed.value] = np.arange(bias)
             pdf = pdf.sort_values(["h", "text"], kind="stable")
             order = np.argsort([hash((int(x), turn)) for x in pdf["h"]], kind="stable")
             for text, label in zip(pdf["text"].to_numpy()[order], pdf["label"].to_numpy()[order]):
-                cells = hasher.cells(text)
-                cells = np.append(cells[usable[cells]], bias)
-                rule.step(z, n, cells, label)
-                touched[cells] = True
+                at = number[hasher.cells(text)]
+                at = np.append(at[at >= 0], bias)
+                rule.step(z, n, at, label)
+                touched[at] = True
             at = np.flatnonzero(touched)
-            return pd.DataFrame({"cell": at, "z": z[at], "n": n[at]})
+            return packed(pdf["shard"].iloc[0], at, bias + 1, z[at].astype(np.float32), n[at].astype(np.float32))
+
+        def averaged(pdf):
+            at, (z, n) = unpacked(pdf.sort_values("shard"), "f4", "a", "b")
+            cells, place, times = np.unique(at, return_inverse=True, return_counts=True)
+            z, n = ((np.bincount(place, v, len(cells)) / times).astype(np.float32) for v in (z, n))
+            return packed(0, cells, bias + 1, z, n)
 
-        state = (rows.groupBy("shard").applyInPandas(train, "cell long, z double, n double")
-                 .groupBy("cell").agg(F.avg("z").alias("z"), F.avg("n").alias("n")).toPandas())
+        state = "shard int, part int, at binary, a binary, b binary"
+        at, (new_z, new_n) = collected(rows.groupBy("shard").applyInPandas(train, state).groupBy("part")
+                                       .applyInPandas(averaged, state).select("at", "a", "b"), "f4", "a", "b")
         z, n = z.copy(), n.copy()
-        z[state["cell"]], n[state["cell"]] = state["z"], state["n"]
+        z[at], n[at] = new_z, new_n
         start.unpersist()
-    w = rule.weights(z, n)
+    w = rule.weights(z.astype(np.float64), n.astype(np.float64))
     at = np.flatnonzero(w)
-    return ToxicModel(at, w[at].astype(np.float32), bits)
+    return ToxicModel(np.append(cells, 1 << bits)[at], w[at].astype(np.float32), bits)
 
 
 def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, bits: int = BITS) -> ToxicModel:

@@ -80,6 +80,20 @@ def test_toxicity_edges(spark):
     assert len(got) == len(edge_rows()) and all(r["score"] == 0.5 for r in got)
 
 
+def test_a_long_text_sets_few_of_the_cells():
+    """A clean text of 20,000 words meets few weights of strangers by chance."""
+    text = " ".join(f"w{i}" for i in range(20_000))
+    assert len(tox.Hasher(tox.BITS).cells(text)) < 0.06 * (1 << tox.BITS)
+
+
+def test_packed_state_comes_back():
+    at = np.array([0, 3, 4, 999])
+    rows = tox.packed(2, at, 1000, at.astype(np.float32), -at.astype(np.float32))
+    back, (a, b) = tox.unpacked(rows, "f4", "a", "b")
+    assert back.tolist() == at.tolist() == a.tolist() and (b == -a).all() and set(rows["shard"]) == {2} and len(rows) == 2
+    assert tox.unpacked(tox.packed(0, at[:0], 1000), "f4")[0].size == 0
+
+
 def test_ftrl_step_is_the_per_coordinate_rule():
     rule, z, n = tox.Ftrl(alpha=0.15, l1=0.6, l2=0.5), np.zeros(4), np.zeros(4)
     rule.step(z, n, np.array([1, 3]), 1.0)
