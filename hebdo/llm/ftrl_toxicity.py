@@ -21,6 +21,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,18 +96,23 @@ class ToxicModel:
 
 
 def packed(shard: int, at: np.ndarray, size: int, *values: np.ndarray):
-    """Values at the sorted places ``at`` below ``size``: a row (shard, part, at, a, b ...) of bytes for each range of places."""
+    """Values at the sorted places ``at`` below ``size``: a row (shard, part, mask, a, b) for each range of places that has any."""
     import pandas as pd
-    edges = np.searchsorted(at, np.arange(RANGES + 1) * -(-size // RANGES))
-    return pd.DataFrame([(int(shard), k, at[i:j].astype(np.int32).tobytes(), *(v[i:j].tobytes() for v in values))
-                         for k, (i, j) in enumerate(zip(edges, edges[1:])) if i < j],
-                        columns=["shard", "part", "at", *"ab"[:len(values)]])
+    width, out = -(-size // RANGES), []
+    edges = np.searchsorted(at, np.arange(RANGES + 1) * width)
+    for k, (i, j) in enumerate(zip(edges, edges[1:])):
+        if i < j:
+            mask = np.zeros(width, bool)
+            mask[at[i:j] - k * width] = True
+            out.append((int(shard), k, np.packbits(mask).tobytes(), *(v[i:j].tobytes() for v in values)))
+    return pd.DataFrame(out, columns=["shard", "part", "mask", *"ab"[:len(values)]])
 
 
-def unpacked(rows, kind: str, *names: str) -> tuple[np.ndarray, list[np.ndarray]]:
+def unpacked(rows, size: int, kind: str, *names: str) -> tuple[np.ndarray, list[np.ndarray]]:
     """Places and values of packed rows, one after the other."""
-    join = lambda c, k: np.frombuffer(b"".join(rows[c]), k)
-    return join("at", "i4"), [join(c, kind) for c in names]
+    width = -(-size // RANGES)
+    at = [k * width + np.flatnonzero(np.unpackbits(np.frombuffer(m, np.uint8), count=width)) for k, m in zip(rows["part"], rows["mask"])]
+    return np.concatenate([np.empty(0, np.int64), *at]), [np.frombuffer(b"".join(rows[c]), kind) for c in names]
 
 
 def fit(sample: DataFrame, bits: int = BITS, passes: int = 4, shard_rows: int = 4_000, min_docs: int = 3,
@@ -121,7 +127,8 @@ def fit(sample: DataFrame, bits: int = BITS, passes: int = 4, shard_rows: int =
                  "toxic-sample")
     # shards follow from the rows alone, whatever the number of partitions
     shards = max(1, rows.count() // shard_rows)
-    rows = rows.withColumn("shard", F.pmod("h", F.lit(shards)).cast("int"))
+    # dealt once: every pass reads the texts where they are
+    rows = rows.withColumn("shard", F.pmod("h", F.lit(shards)).cast("int")).repartitionByRange(2 * shards, "shard").persist(StorageLevel.DISK_ONLY)
 
     def seen_in(pdf):
         hasher, n = Hasher(bits), np.zeros(1 << bits, np.int32)
@@ -131,16 +138,16 @@ def fit(sample: DataFrame, bits: int = BITS, passes: int = 4, shard_rows: int =
         return packed(pdf["shard"].iloc[0], at, 1 << bits, n[at])
 
     def usual_in(pdf):
-        at, (n,) = unpacked(pdf, "i4", "a")
+        at, (n,) = unpacked(pdf, 1 << bits, "i4", "a")
         cells, place = np.unique(at, return_inverse=True)
         return packed(0, cells[np.bincount(place, n, len(cells)) >= min_docs], 1 << bits)
 
-    def collected(found, kind, *names):
-        out = found.collect()
-        return unpacked({c: [r[c] for r in out] for c in ("at", *names)}, kind, *names)
+    def collected(found, size, kind, *names):
+        out = found.select("part", "mask", *names).collect()
+        return unpacked({c: [r[c] for r in out] for c in ("part", "mask", *names)}, size, kind, *names)
 
-    cells, _ = collected(rows.groupBy("shard").applyInPandas(seen_in, "shard int, part int, at binary, a binary")
-                         .groupBy("part").applyInPandas(usual_in, "shard int, part int, at binary").select("at"), "i4")
+    cells, _ = collected(rows.groupBy("shard").applyInPandas(seen_in, "shard int, part int, mask binary, a binary")
+                         .groupBy("part").applyInPandas(usual_in, "shard int, part int, mask binary"), 1 << bits, "i4")
     cells = np.sort(cells)  # dense number of a cell: its place here
     bias = len(cells)       # the number after them
     allowed = spark.sparkContext.broadcast(cells)
@@ -164,17 +171,18 @@ def fit(sample: DataFrame, bits: int = BITS, passes: int = 4, shard_rows: int =
             return packed(pdf["shard"].iloc[0], at, bias + 1, z[at].astype(np.float32), n[at].astype(np.float32))
 
         def averaged(pdf):
-            at, (z, n) = unpacked(pdf.sort_values("shard"), "f4", "a", "b")
+            at, (z, n) = unpacked(pdf.sort_values("shard"), bias + 1, "f4", "a", "b")
             cells, place, times = np.unique(at, return_inverse=True, return_counts=True)
             z, n = ((np.bincount(place, v, len(cells)) / times).astype(np.float32) for v in (z, n))
             return packed(0, cells, bias + 1, z, n)
 
-        state = "shard int, part int, at binary, a binary, b binary"
+        state = "shard int, part int, mask binary, a binary, b binary"
         at, (new_z, new_n) = collected(rows.groupBy("shard").applyInPandas(train, state).groupBy("part")
-                                       .applyInPandas(averaged, state).select("at", "a", "b"), "f4", "a", "b")
+                                       .applyInPandas(averaged, state), bias + 1, "f4", "a", "b")
         z, n = z.copy(), n.copy()
         z[at], n[at] = new_z, new_n
         start.unpersist()
+    rows.unpersist()
     w = rule.weights(z.astype(np.float64), n.astype(np.float64))
     at = np.flatnonzero(w)
     return ToxicModel(np.append(cells, 1 << bits)[at], w[at].astype(np.float32), bits)

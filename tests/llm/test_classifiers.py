@@ -89,9 +89,9 @@ def test_a_long_text_sets_few_of_the_cells():
 def test_packed_state_comes_back():
     at = np.array([0, 3, 4, 999])
     rows = tox.packed(2, at, 1000, at.astype(np.float32), -at.astype(np.float32))
-    back, (a, b) = tox.unpacked(rows, "f4", "a", "b")
+    back, (a, b) = tox.unpacked(rows, 1000, "f4", "a", "b")
     assert back.tolist() == at.tolist() == a.tolist() and (b == -a).all() and set(rows["shard"]) == {2} and len(rows) == 2
-    assert tox.unpacked(tox.packed(0, at[:0], 1000), "f4")[0].size == 0
+    assert tox.unpacked(tox.packed(0, at[:0], 1000), 1000, "f4")[0].size == 0
 
 
 def test_ftrl_step_is_the_per_coordinate_rule():
