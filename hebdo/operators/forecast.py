@@ -27,6 +27,7 @@ stationarity/invertibility constraints (as in the source).
 
 from __future__ import annotations
 
+from datetime import timedelta
 from functools import reduce
 
 import numpy as np
@@ -260,8 +261,10 @@ def _stack(rows: list[np.ndarray], size: int) -> np.ndarray:
 
 
 def _naive(y: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
-    """Seasonal naive path and standard errors (null where a year of differences is missing)."""
+    """Seasonal naive path (null without a week) and standard errors (null where a year of differences is missing)."""
     n = len(y)
+    if not n:
+        return np.full(steps, np.nan), np.full(steps, np.nan)
     path = np.array([y[n - SEASON + k % SEASON] if n >= SEASON else y[-1] for k in range(steps)])
     diff = y[SEASON:] - y[:-SEASON] if n > SEASON + 1 else np.empty(0)
     se = np.std(diff) * np.sqrt(np.arange(steps) // SEASON + 1) if len(diff) else np.full(steps, np.nan)
@@ -314,13 +317,14 @@ def _fit_batch(pdf: pd.DataFrame, key: str, grid: list, exog: bool, horizon: int
     tests = [np.asarray(v, bool) for v in pdf["is_test"]]
     ys = [np.asarray(v, float)[~t] for v, t in zip(pdf["y"], tests)]
     ws = [a[np.isfinite(a)] for a in (np.asarray(v, float)[~t] for v, t in zip(pdf["w"], tests))]
-    last = [np.asarray(v)[~t][-1] for v, t in zip(pdf["week_date"], tests)]
+    # without a training week the steps still start at the first week of the series
+    last = [np.asarray(v)[~t][-1] if not t.all() else np.asarray(v)[0] - timedelta(7) for v, t in zip(pdf["week_date"], tests)]
     xs = [np.nan_to_num(np.asarray(v, float)) for v in pdf["xw"]] if exog else None
     hs, keys = np.array([int(t.sum()) for t in tests]), pdf[key].tolist()
     for i, y in enumerate(ys):
         path, se = _naive(y, hs[i] + horizon)
         none = np.isnan(se).any()
-        out.append((keys[i], FALLBACK, None, None, None, None, None, None, None, None, len(ws[i]), len(y), "", hs[i], last[i], path.tolist(),
+        out.append((keys[i], FALLBACK, None, None, None, None, None, None, None, None, len(ws[i]), len(y), "", hs[i], last[i], path.tolist() if len(y) else [None] * len(path),
                     [None] * len(path) if none else (path - 1.96 * se).tolist(),
                     [None] * len(path) if none else (path + 1.96 * se).tolist()))
     wanted = pdf["_only"].to_numpy() if "_only" in pdf else None

@@ -68,6 +68,22 @@ def test_no_series_is_lost(spark):
     assert method["n10"] == "seasonal_naive" and all(method[f"n{n}"] == "sarima" for n in (200, 240, 400))
 
 
+@pytest.mark.parametrize("exog", [None, "heat"])
+def test_rule_a_without_training_weeks(spark, exog):
+    """Rule A holds out at least 4 weeks: such series get their error rows and a null fallback, the others are fitted."""
+    from pyspark.sql import functions as F
+    lengths = {f"n{n}": n for n in (1, 2, 3, 4, 5, 300)}
+    df = _frame(spark, {k: _sim(9)[:n] for k, n in lengths.items()}).withColumn("heat", F.dayofyear("week_date").cast("double"))
+    fits, preds, _ = FC.sarima_grid(df, grid=[FC.DEFAULT_ORDER], rule="A", exog=exog)
+    errs = {r.series_id: (r.error, r.n_train) for r in fits.collect()}
+    assert errs == {k: ("series too short", max(0, n - 4)) if n < 300 else ("", 248) for k, n in lengths.items()}
+    out = FC.with_fallback(preds, fits.filter("error = ''")).toPandas()
+    for k, n in lengths.items():
+        mine = out[out.series_id == k].sort_values("step")
+        assert mine.is_future.sum() == 26 and mine.yhat.isna().all() == (n <= 4) and mine.yhat.notna().all() == (n > 4)
+        assert mine.week_date.iloc[0] == dt.date(2010, 1, 4) + dt.timedelta(7 * (max(0, n - 4) if n < 300 else 248))
+
+
 def _sim_ma(seed, n, theta=-0.4, seasonal=-0.7):
     rng = np.random.default_rng(seed)
     e = rng.normal(0, 1, n + 53)
