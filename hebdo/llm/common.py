@@ -43,6 +43,18 @@ def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n <= bound else df
 
 
+def row_runs(batch, column: str, most: int):
+    """Slices of an Arrow batch whose texts in ``column`` sum to ``most`` bytes at most (at least one row each)."""
+    import numpy as np
+    import pyarrow.compute as pc
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    at = 0
+    while at < batch.num_rows:
+        step = max(1, int(np.searchsorted(np.cumsum(size[at:], dtype=np.int64), most, "right")))
+        yield batch.slice(at, step)
+        at += step
+
+
 def id_bucket(doc_id: str | Column, mod: int) -> Column:
     """crc32 of the id's decimal text, modulo ``mod`` (null ids: null)."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % mod

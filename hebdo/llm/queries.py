@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hebdo.llm import (bayes_jaccard, chat_prefix, ftrl_toxicity, nn_descent, phrase_index, pii_surrogate, rules_quality,
-                       sentencepiece_viterbi, svm_language, warc_writer)
+from hebdo.llm import (bayes_jaccard, best_fit_packing, chat_prefix, fill_in_middle, ftrl_toxicity, hard_negatives, nn_descent,
+                       phrase_index, pii_surrogate, rules_quality, sentencepiece_viterbi, svm_language, warc_writer)
 from hebdo.llm.common import read, stage
 
 #: Key of the registered PII query; a deployment passes its own secret.
@@ -73,9 +73,28 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "ids", "n_ids", F.col("text").eqNullSafe(F.col("text_back")).alias("round_trip"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_in_middle.transform(read(spark, sf_dir, "documents"), unit="line", seed=7, rate=100, spm_rate=50)
+    return cut.select("doc_id", F.col("n_units").alias("n"), "form", "prefix_chars", "middle_chars",
+                      F.sha2(F.col("output"), 256).alias("output_sha256"),
+                      F.sha2(fill_in_middle.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = best_fit_packing.pack(read(spark, sf_dir, "documents"), length=4096, end=1)
+    return packed.select("doc_id", F.col("piece").cast("int").alias("piece"), "start", "length",
+                         F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_nn_descent, op2_warc_writer, op3_ftrl_toxicity, op4_phrase_index, op5_chat_prefix, op6_svm_language,
-    op7_bayes_jaccard, op8_pii_surrogate, op9_rules_quality, op10_sentencepiece)}
+    op7_bayes_jaccard, op8_pii_surrogate, op9_rules_quality, op10_sentencepiece,
+    op11_fill_in_middle, op12_best_fit_packing, op13_hard_negatives)}
 
 ORACLE: dict[str, str] = {
     "op2_warc_writer": """
@@ -120,6 +139,38 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN p ON d.k = p.k LEFT JOIN z ON d.k = z.k""".replace("\\\\", "\\"),
+    "op11_fill_in_middle": """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+     l AS (SELECT *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS u,
+                  CAST('0x' || d[1:8] AS BIGINT) AS h1, CAST('0x' || d[9:16] AS BIGINT) AS h2, CAST('0x' || d[25:32] AS BIGINT) AS h4 FROM t),
+     c AS (SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+                  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+                       WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM l),
+     p AS (SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle,
+                  array_to_string(u[b + 1:n], '') AS suffix FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p""",
+    "op13_hard_negatives": """
+WITH q AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT a.id AS anchor, a.label AS own, r.id, r.label, CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+           FROM q a JOIN q r ON a.id % 100 = 0 AND a.id <> r.id AND len(a.v) = len(r.v)),
+     p AS (SELECT anchor, id AS positive_id, score AS positive_score FROM s WHERE label = own
+           QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5)
+SELECT anchor AS anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, id AS negative_id, positive_score,
+       score AS negative_score
+FROM p JOIN s USING (anchor)
+WHERE label <> own AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor, positive_id ORDER BY score DESC, id)
+QUALIFY rank <= 5""",
 }
 
 
