@@ -16,7 +16,7 @@ their number. Each sequence's pieces then still lie gapless from 0.
 
 Tokens: where the tokenizer drops white space before splitting, texts are cut at blanks and
 newlines, and each distinct word is encoded once in a worker and remembered, in two generations of
-bounded size. Ids equal the library's for the whole text. Other tokenizers get whole texts.
+bounded size; a word of Latin letters and punctuation goes to the tokenizer's model run by run. Ids equal the library's for the whole text. Other tokenizers get whole texts.
 
 Defined results: a null text counts as empty, and an empty text is the end id alone; null
 and repeated ids, and equal rows, are documents of their own; every row is packed, none cut but
@@ -28,6 +28,7 @@ places, since they follow from its rows in order.
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
@@ -38,6 +39,15 @@ from hebdo.llm.common import row_runs, small_side, stage, with_workers
 #: Tokenizer of the registered query, by its file name; the same place on every executor.
 TOKENIZER = "word_bpe_49k.json"
 LENGTH, END, OPEN = 4096, 1, 512
+# The parts of a tokenizer whose words are lower-cased and split into runs of letters, digits and
+# other characters. A word of Latin letters and a run of punctuation then meets its model run by run.
+LOWER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+                                             {"type": "Lowercase"}]}
+LETTER_RUNS = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-;=?-@\[-`{}~]*)")
 #: Sequences of one task's rests that one merging task takes, on average.
 RESTS = 4096
 
@@ -49,43 +59,72 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class Words:
-    """Ids of texts, word by word, as the bytes of little-endian unsigned 32-bit values."""
+class Words(dict):
+    """Ids of words, found when first asked for, as the bytes of little-endian unsigned 32-bit values."""
 
     #: Words longer than this are encoded anew each time.
     LONG = 64
 
     def __init__(self, path: str, memory: int = 400_000):
+        import json
+
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        whole, *apart = self.ids(["a b\nc", "a", "b", "c"])
-        self.by_word = whole == b"".join(apart)
-        self.known: dict[str, bytes] = {"": b""}
+        self.code = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.by_word = self.ids("a b\nc") == b"".join(map(self.ids, "abc"))
+        parts = json.loads(self.tokenizer.to_str())
+        self.letters = parts["normalizer"] == LOWER and parts["pre_tokenizer"] == LETTER_RUNS and parts["model"]["type"] == "BPE"
+        if self.letters:
+            from tokenizers.pre_tokenizers import ByteLevel
+            byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
+            self.bytes_of = str.maketrans({c: byte_level.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100)) if c != "÷"})
+        self[""] = b""
         self.older: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {"": b""}
         self.memory = memory
 
-    def ids(self, words: list[str]) -> list[bytes]:
-        from array import array
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def ids(self, text: str) -> bytes:
+        return b"".join(map(self.code.__getitem__, self.tokenizer.encode(text, add_special_tokens=False).ids))
+
+    def run(self, letters: str) -> bytes:
+        """Ids of a run of lower-case letters, which the tokenizer hands to its model as one piece."""
+        tokens = self.tokenizer.model.tokenize(letters if letters.isascii() else letters.translate(self.bytes_of))
+        return b"".join([self.code[t.id] for t in tokens])
+
+    def __missing__(self, word: str) -> bytes:
+        out = self.older.get(word)
+        if out is None:
+            plain = PLAIN.fullmatch(word) if self.letters else None
+            if plain is None:
+                out = self.ids(word)
+            else:
+                letters, marks = plain[1].lower(), plain[2]
+                if (out := self.runs.get(letters)) is None:
+                    out = self.run(letters)
+                    if len(letters) <= self.LONG:
+                        self.runs[letters] = out
+                if marks:
+                    out += self.marks(marks)
+        if len(word) <= self.LONG:
+            self[word] = out
+        return out
+
+    def marks(self, marks: str) -> bytes:
+        out = self.runs.get(marks) or self.ids(marks)
+        if len(marks) <= self.LONG:
+            self.runs[marks] = out
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
-            return self.ids(texts)
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        need = set().union(*cut) if cut else set()
-        if len(self.known) > self.memory:
-            self.known, self.older = {"": b""}, self.known
-        new = need.difference(self.known)
-        self.known.update((w, self.older[w]) for w in new if w in self.older)
-        new = sorted(new.difference(self.known))
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            self.known.update(zip(part, self.ids(part)))
-        out = [b"".join(map(self.known.__getitem__, words)) for words in cut]
-        for w in new:
-            if len(w) > self.LONG:
-                del self.known[w]
-        return out
+            return [self.ids(t) for t in texts]
+        if len(self) > self.memory:
+            self.older = dict(self)
+            self.clear()
+            self[""] = b""
+        if len(self.runs) > self.memory // 2:
+            self.runs = {"": b""}
+        return [b"".join(map(self.__getitem__, t.replace("\n", " ").split(" "))) for t in texts]
 
 
 @lru_cache(maxsize=1)
