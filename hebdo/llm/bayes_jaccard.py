@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hebdo.llm.common import small_side, stage, with_workers
+from hebdo.llm.common import fresh, small_side, stage, with_workers
 from hebdo.llm.graph import components
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -265,17 +265,16 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with one row of each near-duplicate component, all its columns unchanged."""
     found = near_duplicates(docs, threshold)
-    work = docs.withColumn("_class", F.md5(F.col("text").cast("string")))
-    side = found.select(F.col("class").alias("_class"), F.col("best").alias("_best"), F.col("component_id").alias("_id"))
-    out = work.join(small_side(side), "_class", "left").filter(
-        F.col("_best").isNull() | ((F.col("_class") == F.col("_best"))
-                                   & F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))))
+    cls, best, least = fresh(docs, "_class", "_best", "_id")
+    work = docs.withColumn(cls, F.md5(F.col("text").cast("string")))
+    side = found.select(F.col("class").alias(cls), F.col("best").alias(best), F.col("component_id").alias(least))
+    stays = (F.col(cls) == F.col(best)) & F.col("doc_id").cast("long").eqNullSafe(F.col(least))
+    out = work.join(small_side(side), cls, "left").filter(F.col(best).isNull() | stays)
     # rows repeated with one id: only then is a second look needed, at the rows that stay
-    twice = (work.select("_class", F.col("doc_id").cast("long").alias("_id")).join(
-        small_side(side.filter("_class = _best").select("_class", "_id")), ["_class", "_id"])
-        .groupBy("_class").count().filter("count > 1"))
+    twice = (work.select(cls, F.col("doc_id").cast("long").alias(least)).join(
+        small_side(side.filter(F.col(cls) == F.col(best)).select(cls, least)), [cls, least])
+        .groupBy(cls).count().filter("count > 1"))
     if twice.isEmpty():
         return out.select(*docs.columns)
-    single = out.filter("_best is null")
-    return single.select(*docs.columns).unionByName(
-        out.filter("_best is not null").dropDuplicates(["_class"]).select(*docs.columns))
+    return out.filter(F.col(best).isNull()).select(*docs.columns).unionByName(
+        out.filter(F.col(best).isNotNull()).dropDuplicates([cls]).select(*docs.columns))

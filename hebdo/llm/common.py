@@ -43,6 +43,18 @@ def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n <= bound else df
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that ``df`` does not have (case aside)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def row_runs(batch, column: str, most: int):
     """Slices of an Arrow batch whose texts in ``column`` sum to ``most`` bytes at most (at least one row each)."""
     import numpy as np

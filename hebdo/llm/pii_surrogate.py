@@ -18,7 +18,9 @@ A mention gives only its layout (separators, form of address). The country code
 normal form by the list of calling codes, and the gender is decided once for each entity: that of the
 mentions which state one, "u" where both are stated or none.
 
-The counter is 0 for nearly all entities. ``collisions`` finds, over the
+The counter is 0 for nearly all entities. Each count draws anew and, where the layout alone may
+not hold enough values, grows the surrogate: names by a syllable, addresses and secrets by a character from
+the second count on, telephone numbers by a digit from the tenth. ``collisions`` finds, over the
 distinct entities of the corpus, those whose surrogate equals another's or a
 real entity, raises their counter and looks again until none is left; only
 these exceptions, and names whose mentions differ in the gender they state, are joined back (broadcast within the checked bound, by
@@ -27,7 +29,9 @@ moves no rows.
 
 Defined results: null text stays null, empty text empty; texts without
 entities are unchanged. Equal entities get equal surrogates everywhere, unequal
-ones unequal. Repeated rows are rewritten alike. Extra columns stay.
+ones unequal. Repeated rows are rewritten alike. An empty table gives an empty one. All
+other columns stay, whatever their names; only an input column ``n_entities`` is replaced. A very long text is one
+row of one task, in time in proportion to its length: no pattern recurses or rereads a run.
 """
 
 from __future__ import annotations
@@ -37,7 +41,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hebdo.llm.common import small_side, stage
+from hebdo.llm.common import fresh, small_side, stage
 
 # Forms of address by the gender they state (any: "u").
 TITLES = {
@@ -64,11 +68,14 @@ SYLLABLES = {
 }
 #: Calling codes of one and two digits; all others have three.
 CALLING = (r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})")
-NAME = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
+TITLE = "|".join(t.replace(".", r"\.") for t in sorted((t for v in TITLES.values() for t in v), key=lambda t: (-len(t), t)))
+#: A word of a name; a form of address is none.
+NAME = r"(?!(?:%s)(?!\p{L}))\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?" % TITLE
 #: type -> Java regular expression; at one place the first that matches wins.
 PATTERNS = {
     "secret": r"""(?i:\b(?:token|secret|password|passwd|api[_-]?key)\b)["']?\s*[:=]\s*["']?[A-Za-z0-9_/+.-]{8,}""",
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    # the domain is one character class: a repeated group recurses once a label in Java, and a long text would end the JVM
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-][A-Za-z0-9.-]*\.[A-Za-z]{2,}",
     "card": r"(?<![\d.])\d(?:[ -]?\d){12,18}(?!\d)",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)"
@@ -78,8 +85,7 @@ PATTERNS = {
              r"|(?<![\w+.,/-])(?:0[1-9](?<gap>[ .-])\d\d(?:\k<gap>\d\d){3}|0[1-9]\d{1,4}[ /-]\d{5,9}|\(0[1-9]\d{1,4}\) ?\d{5,9}"
              r"|0[1-9]\d{8,10}|(?:[89]\d[ .-]\d{3}|[6-9]\d\d[ .-]\d\d)(?:[ .-]\d\d){2})(?!\d)",
     "key": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|[0-9a-f]{40}|[0-9a-f]{64})(?![A-Za-z0-9])",
-    "name": r"(?<!\p{L})(?:%s) %s(?: %s)?" % ("|".join(
-        t.replace(".", r"\.") for t in sorted((t for v in TITLES.values() for t in v), key=lambda t: (-len(t), t))), NAME, NAME),
+    "name": r"(?<!\p{L})(?:%s) %s(?: %s)?" % (TITLE, NAME, NAME),
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 SECRET_HEAD = r"""^(?i:[a-z_-]+)["']?\s*[:=]\s*["']?"""
@@ -93,11 +99,10 @@ def kind(mention: Column) -> Column:
 
 def normal_form(mention: Column, typ: Column) -> Column:
     """What makes two mentions the same entity: digits (with a leading +), lower case, or the bare secret or name."""
-    titles = "|".join(t.replace(".", r"\.") for v in TITLES.values() for t in v)
     return (F.when(typ == "card", F.regexp_replace(mention, r"\D", ""))
             .when(typ == "phone", F.regexp_replace(mention, r"(?!^\+)\D", ""))
             .when(typ == "secret", F.regexp_replace(mention, SECRET_HEAD, "")).when(typ == "email", F.lower(mention))
-            .when(typ == "name", F.regexp_replace(mention, f"^(?:{titles}) ", "")).otherwise(mention))
+            .when(typ == "name", F.regexp_replace(mention, f"^(?:{TITLE}) ", "")).otherwise(mention))
 
 
 def _number(digest: Column, i: Column | int, mod: int) -> Column:
@@ -137,12 +142,22 @@ def _card(mention: Column, norm: Column, digest: Column) -> Column:
     return _filled(mention, F.when(_luhn(norm) % 10 == 0, F.concat(body, F.array(check.cast("string")))).otherwise(new))
 
 
-def _phone(mention: Column, norm: Column, digest: Column) -> Column:
-    """New digits after the country code or the leading 0; 0 and 1 never open the number."""
+def _grown(digest: Column, n: Column, alphabet: str) -> Column:
+    """``n`` further characters, none for 0 or less: what a short layout grows by where its values are used up."""
+    pick = lambda i: F.substr(F.lit(alphabet), _number(F.sha2(digest, 512), i, len(alphabet)) + 1, F.lit(1))
+    return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(1), n), pick), "")).otherwise("")
+
+
+def _phone(mention: Column, norm: Column, digest: Column, bump: Column) -> Column:
+    """New digits after the country code or the leading 0; 0 and 1 never open the number.
+
+    From the tenth count on each adds a digit at the end.
+    """
     code = F.greatest(F.length(F.regexp_extract(norm, CALLING, 0)) - 1, norm.startswith("0").cast("int"))
     new = F.transform(F.split(F.ltrim(norm, F.lit("+")), ""), lambda c, i: F.when(i < code, c).when(
         i == code, (_number(digest, i, 8) + 2).cast("string")).otherwise(_number(digest, i, 10).cast("string")))
-    return _filled(mention, new)
+    last = F.concat(F.element_at(new, -1), _grown(digest, bump - 9, "0123456789"))
+    return _filled(mention, F.concat(F.slice(new, F.lit(1), F.size(new) - 1), F.array(last)))
 
 
 def stated_gender(mention: Column) -> Column:
@@ -182,11 +197,12 @@ def surrogate(mention: Column, typ: Column, norm: Column, digest: Column, bump:
     bare = F.when(hexa, _mapped(norm, digest, "abcdef")).otherwise(_mapped(norm, digest, alphabet))
     tail = F.regexp_extract(norm, r"(\.[a-z]{2,})$", 1)
     mail = F.concat(_mapped(F.substr(norm, F.lit(1), F.length(norm) - F.length(tail)), digest, alphabet), tail)
+    mail = F.concat(F.substring_index(mail, "@", 1), _grown(digest, bump - 1, alphabet), F.lit("@"), F.substring_index(mail, "@", -1))
     octets = F.array_join(F.transform(F.split(mention, r"\."), lambda c, i: (
         _number(digest, i, 254) + 1).cast("string")), ".")
     return (F.when(typ == "email", mail).when(typ == "ip", octets).when(typ == "card", _card(mention, norm, digest))
-            .when(typ == "phone", _phone(mention, norm, digest)).when(typ == "name", _name(mention, norm, digest, bump, gender))
-            .otherwise(F.concat(F.regexp_extract(mention, SECRET_HEAD, 0), bare)))
+            .when(typ == "phone", _phone(mention, norm, digest, bump)).when(typ == "name", _name(mention, norm, digest, bump, gender))
+            .otherwise(F.concat(F.regexp_extract(mention, SECRET_HEAD, 0), bare, _grown(digest, bump - 1, "0123456789"))))
 
 
 def mentions(text: Column) -> Column:
@@ -211,12 +227,15 @@ def entities(docs: DataFrame) -> DataFrame:
     return found.select("type", "norm", "mention", gender.alias("gender"), mixed.alias("mixed"))
 
 
-def collisions(found: DataFrame, key: str, rounds: int = 30) -> DataFrame:
+def collisions(found: DataFrame, key: str, rounds: int = 60) -> DataFrame:
     """(type, norm, bump, gender) of the entities whose surrogate needs a counter above 0 or whose mentions are ``mixed``.
 
     Of entities with one surrogate, that with the least hash of its normal form keeps it;
     a surrogate that is itself an entity of the corpus goes to nobody. Each
-    round looks at all entities again with the counters of the last.
+    round looks at all entities again with the counters of the last. Names, addresses,
+    secrets and telephone numbers grow with the counter, so they always resolve;
+    card numbers and octets keep their length, and their values run out only where the
+    corpus holds most of all card numbers of a length, or of all addresses.
     """
     found = stage(found, "pii-entities")
     own = found.select(F.col("type").alias("t"), F.col("norm").alias("n"))
@@ -242,7 +261,7 @@ def collisions(found: DataFrame, key: str, rounds: int = 30) -> DataFrame:
         old = bumped.join(again, ["type", "norm"], "left_anti") if bumped is not None else None
         bumped = stage(raised if old is None else raised.unionByName(old), "pii-bumps")
     else:
-        raise RuntimeError(f"surrogates still collide after {rounds} rounds: too few letters or digits for the entities")
+        raise RuntimeError(f"surrogates still collide after {rounds} rounds: the corpus holds most card numbers of a length or most addresses")
     if bumped is None:
         found = found.filter("mixed").withColumn("bump", F.lit(0))
     else:
@@ -254,31 +273,34 @@ def replace(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with ``text`` rewritten and ``n_entities`` added."""
     exceptions = collisions(entities(docs), key)
     text = F.col("text").cast("string")
-    work = docs.withColumn("_m", mentions(text))
+    found, bumps = fresh(docs, "_m", "_bumps")
+    work = docs.withColumn(found, mentions(text))
     n = exceptions.count()
     if n == 0:
         own = lambda m: F.lit(None).cast("struct<bump:int,gender:string>")
     else:
         bound = F.concat_ws("\x1f", "type", "norm")
-        work = _with_bumps(work, exceptions.select(bound.alias("_e"), F.struct("bump", "gender").alias("_b")), n)
-        own = lambda m: F.element_at("_bumps", F.concat_ws("\x1f", m["type"], m["norm"]))
+        work = _with_bumps(work, exceptions.select(bound.alias("_e"), F.struct("bump", "gender").alias("_b")), n, found, bumps)
+        own = lambda m: F.element_at(bumps, F.concat_ws("\x1f", m["type"], m["norm"]))
     bump = lambda m: F.coalesce(own(m)["bump"], F.lit(0))
-    keyed = F.transform("_m", lambda m: m.withField("bump", bump(m)).withField(
+    keyed = F.transform(found, lambda m: m.withField("bump", bump(m)).withField(
         "gender", F.coalesce(own(m)["gender"], stated_gender(m["mention"]))).withField(
         "digest", digest_of(m["type"], m["norm"], bump(m), key)))
     new = F.transform(keyed, lambda m: surrogate(m["mention"], m["type"], m["norm"], m["digest"], m["bump"], m["gender"]))
     gaps = F.split(text, ANY, -1)
     out = F.array_join(F.zip_with(gaps, F.concat(new, F.array(F.lit(""))), lambda g, s: F.concat(g, s)), "")
-    return (work.withColumn("text", F.when(F.size("_m") > 0, out).otherwise(text))
-            .withColumn("n_entities", F.coalesce(F.size("_m"), F.lit(0)).cast("long"))
-            .drop("_m", "_bumps"))
+    return (work.withColumn("text", F.when(F.size(found) > 0, out).otherwise(text))
+            .withColumn("n_entities", F.coalesce(F.size(found), F.lit(0)).cast("long"))
+            .drop(found, bumps))
 
 
-def _with_bumps(work: DataFrame, exceptions: DataFrame, n: int) -> DataFrame:
-    """Attach map ``_bumps`` of the row's own exceptions: one row per distinct text with mentions takes part."""
+def _with_bumps(work: DataFrame, exceptions: DataFrame, n: int, found: str, bumps: str) -> DataFrame:
+    """Attach map ``bumps`` of the row's own exceptions: one row per distinct text with mentions takes part."""
     key = F.sha2(F.col("text").cast("string"), 256)
-    pairs = (work.filter(F.size("_m") > 0).select(key.alias("_k"), F.explode(F.array_distinct(F.transform(
-        "_m", lambda m: F.concat_ws("\x1f", m["type"], m["norm"])))).alias("_e")).distinct()
+    (name,) = fresh(work, "_k")
+    pairs = (work.filter(F.size(found) > 0).select(key.alias("_k"), F.explode(F.array_distinct(F.transform(
+        found, lambda m: F.concat_ws("\x1f", m["type"], m["norm"])))).alias("_e")).distinct()
         .join(small_side(exceptions, n), "_e"))
-    maps = stage(pairs.groupBy("_k").agg(F.map_from_entries(F.collect_set(F.struct("_e", "_b"))).alias("_bumps")), "pii-maps")
-    return work.withColumn("_k", key).join(small_side(maps), "_k", "left").drop("_k")
+    maps = stage(pairs.groupBy(F.col("_k").alias(name)).agg(
+        F.map_from_entries(F.collect_set(F.struct("_e", "_b"))).alias(bumps)), "pii-maps")
+    return work.withColumn(name, key).join(small_side(maps), name, "left").drop(name)

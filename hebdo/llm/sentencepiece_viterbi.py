@@ -19,7 +19,8 @@ Defined results: null text gives null ids and null text back; empty text
 no ids. White space other than the blank is kept as it is (its byte pieces);
 the mark character itself decodes to a blank, as in the library.
 Ids of control pieces found in ids decode to nothing.
-Rows are encoded one by one, whole; repeated rows get equal ids.
+Rows are encoded one by one, whole; repeated rows get equal ids. An empty table gives an empty one.
+All other columns stay; only input columns named ``ids``, ``n_ids`` or ``text_back`` are replaced.
 """
 
 from __future__ import annotations

@@ -8,9 +8,11 @@ inside a family, are fitted by sub-gradient descent, each pair as one Spark
 task on a bounded sample. Prediction votes among families first, then among the
 languages of that family only.
 
-Defined results: a text that is null or has no letter is ``und`` with score 0;
+Defined results: a text that is null or has no letter (Unicode category L; numerals such as a half or a
+Roman eight are none) is ``und`` with score 0;
 with no training rows every text is ``und``. Ties go to the larger summed
-margin, then the smaller name. Rows are judged one by one.
+margin, then the smaller name. Rows are judged one by one, repeated ones alike, very long texts whole; an empty
+table gives no rows. Only the id, text and language columns are read; other columns are neither used nor returned.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ from hebdo.llm.common import id_bucket, stage, with_workers
 
 #: Bound on the training documents of each language.
 MAX_PER_LANGUAGE = 600
+#: Bound on the languages learned, the most frequent ones: every pair of a family gets a machine.
+MAX_LANGUAGES = 256
 CELLS = 1 << 12
 GAP = re.compile(r"[\W\d_]+")
 
@@ -34,7 +38,7 @@ GAP = re.compile(r"[\W\d_]+")
 def profile(text: str | None) -> np.ndarray | None:
     """Unit-length vector of damped gram counts; None without letters."""
     s = GAP.sub(" ", text.lower()).strip() if text else ""
-    if not s:
+    if not any(map(str.isalpha, s)):
         return None
     c = np.frombuffer(f" {s} ".encode("utf-32-le"), np.uint32)
     one = c * np.uint32(2654435761)
@@ -113,13 +117,15 @@ def make_families(centroids: dict[str, np.ndarray]) -> tuple:
     return tuple(sorted(tuple(v for v in names if group[v] == g) for g in set(group.values())))
 
 
-def train(docs: DataFrame, held_mod: int = 4, held_rest: int = 2, per_language: int = MAX_PER_LANGUAGE) -> LanguageModel:
+def train(docs: DataFrame, held_mod: int = 4, held_rest: int = 2, per_language: int = MAX_PER_LANGUAGE,
+          languages: int = MAX_LANGUAGES) -> LanguageModel:
     """Families and pairwise SVMs from a bounded hashed sample outside the held-out fold."""
     import pandas as pd
     spark = with_workers(docs.sparkSession)
     known = docs.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
                         & (id_bucket("doc_id", held_mod) != held_rest))
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    most = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
+    counts = {r["lang"]: r["count"] for r in most.collect()}
     if not counts:
         return LanguageModel((), (), np.zeros((0, CELLS + 1)))
     grain = 1_000_000

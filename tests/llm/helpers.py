@@ -6,7 +6,8 @@ DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text"
                      T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
                      T.StructField("n_chars", T.LongType())])
 #: Extra columns whose names operators use themselves.
-CLASH = ("score", "class", "ids", "key", "node", "block", "_m", "component", "label", "n_links")
+CLASH = ("score", "class", "ids", "key", "node", "block", "_m", "_k", "_key", "_class", "_best", "_id", "_bumps",
+         "component", "label", "n_links")
 
 
 def docs(spark, rows, clash=False):

@@ -120,6 +120,40 @@ def test_language_edges(spark, tables):
     assert {r["lang_pred"] for r in lang.predict(docs(spark, edge_rows()), none).collect()} == {"und"}
 
 
+@pytest.mark.parametrize("text", ["½", "²³ ²", "Ⅷ", "٣٤", "12 ½ ___ !"])
+def test_numerals_are_no_letters(text):
+    assert lang.profile(text) is None and lang.profile(text + " a") is not None
+
+
+def test_predictions_match_a_plain_vote(spark, tables):
+    """Every document's language by counting the pairwise margins in plain Python."""
+    d, _ = tables
+    model = lang.train(d)
+    at = {p: w for p, w in zip(model.pairs, model.weights.astype(np.float32))}
+
+    def winner(options, x):
+        wins = {o: [0, 0.0] for o in options}
+        for (a, b), w in at.items():
+            if a in wins and b in wins:
+                m = float(x @ w[:-1] + w[-1])
+                wins[a if m > 0 else b][0] += 1
+                wins[a][1] += m
+                wins[b][1] -= m
+        return min(options, key=lambda o: (-wins[o][0], -wins[o][1], o))
+
+    got = {r["doc_id"]: r["lang_pred"] for r in lang.predict(d, model).collect()}
+    for r in d.collect():
+        x = lang.profile(r["text"])
+        want = "und" if x is None else winner([(v,) for v in winner(model.families, x)], x)[0]
+        assert got[r["doc_id"]] == want
+
+
+def test_languages_learned_are_bounded(spark):
+    rows = docs(spark, [(i, f"some words in tongue {chr(97 + i % 7) * 4}") for i in range(200)])
+    many = rows.withColumn("lang", F.concat(F.lit("l"), (F.col("doc_id") % 7).cast("string")))
+    assert sum(map(len, lang.train(many, languages=3).families)) == 3
+
+
 def test_language_steps():
     near = {"a": np.array([1.0, 0, 0]), "b": np.array([0.9, 0.1, 0]), "c": np.array([0, 0, 1.0]), "d": np.array([0, 0.1, 0.9])}
     assert lang.make_families(near) == (("a", "b"), ("c", "d"))

@@ -262,12 +262,78 @@ def test_more_names_than_four_syllables_hold_are_resolved(spark, monkeypatch):
     assert len(set(got)) == len(rows) == 60 and all(t.startswith("Mr. ") for t in got) and not set(got) & {t for _, t in rows}
 
 
+def test_every_address_of_a_full_layout_is_replaced(spark):
+    """All 676 addresses of one short layout: no value of the layout is free, so the surrogates grow."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, f"write to {a}@{b}.de") for i, (a, b) in enumerate(itertools.product(letters, letters))]
+    rows += [(1000 + i, f"token = {i:08d}") for i in range(40)]
+    got = [r["text"] for r in pii.replace(docs(spark, rows), "k").collect()]
+    mails = [re.search(r"\S+@\S+", t)[0] for t in got if "@" in t]
+    assert len(set(mails)) == 676 and not {f"write to {m}" for m in mails} & {t for _, t in rows}
+    assert all(re.fullmatch(r"[a-z]+@[a-z]\.de", m) for m in mails)
+
+
+@pytest.mark.parametrize("piece,n", [("a@", 1), ("b.", 500_000), ("a@b.", 250_000), ("1 ", 500_000), ("1-", 500_000), ("+1 ", 300_000),
+                                     ("token ", 160_000), ("token=", 160_000), ("Mr ", 330_000), ("Frau Ä", 160_000), ("Xx-", 330_000),
+                                     ("1.", 500_000), ("a" * 40 + " ", 25_000), ("(0", 500_000), ("@", 1_000_000), ("x", 1_000_000)])
+def test_long_adversarial_texts_end(spark, piece, n):
+    few = piece * (n // 20)
+    for text in (piece * n, "a@" + few, "password: " + few, "Mr. " + few):
+        out = spark.createDataFrame([(text,)], "text string").select(F.size(pii.mentions(F.col("text"))).alias("n")).first()
+        assert out["n"] >= 0
+
+
+def test_a_form_of_address_is_no_name(spark):
+    text = "Frau Müller Herr Schmidt kamen. Mr Smith Ms Jones came. Mr. Frau Weber. Dr. Dr. Lang and Miss Missy Sr."
+    new = one_text(spark, text)["text"]
+    for name in ("Müller", "Schmidt", "Smith", "Jones", "Weber", "Lang", "Missy"):
+        assert name not in new
+    assert re.fullmatch(r"Frau \w+ Herr \w+ kamen\. Mr \w+ Ms \w+ came\. Mr\. Frau \w+\. Dr\. Dr\. \w+ and Miss \w+ Sr\.", new)
+
+
+def test_surrogates_match_a_plain_version(spark):
+    """Which spans are replaced, and the digit and letter rule, in plain Python."""
+    import hashlib
+    rows = [(r["doc_id"], r["text"]) for r in read(spark, SF_SMALL, "documents").select("doc_id", "text").collect()]
+    java = re.compile("|".join(f"(?:{p})" for p in pii.PATTERNS.values()).replace("(?<gap>", "(?P<gap>").replace("\\k<gap>", "(?P=gap)")
+                      .replace(r"\p{Lu}", "[A-ZÀ-ÖØ-ÞА-Я]").replace(r"\p{Ll}", "[a-zß-öø-ÿа-я]").replace(r"\p{L}", "[^\\W\\d_]"))
+    mapped = 0
+    got = {r["doc_id"]: r["text"] for r in pii.replace(docs(spark, rows), "k").collect()}
+    exceptions = {(r["type"], r["norm"]) for r in pii.collisions(pii.entities(docs(spark, rows)), "k").collect()}
+    mail = re.compile("(?:" + pii.PATTERNS["email"] + r")\Z")
+    for i, t in rows:
+        new, at, end = got[i] or "", 0, 0
+        for m in java.finditer(t or ""):
+            gap = t[end:m.start()]
+            assert new.startswith(gap, at), (i, m[0])
+            at, end = at + len(gap), m.end()
+            if mail.match(m[0]) and ("email", m[0].lower()) not in exceptions:
+                norm, tail = m[0].lower(), re.search(r"(\.[a-z]{2,})$", m[0].lower())[1]
+                digest = hashlib.sha512("\x1f".join(("k", "email", norm, "0")).encode()).hexdigest()
+                want = ""
+                for k, c in enumerate(norm[:-len(tail)]):
+                    seed = hashlib.sha512(f"{digest}{k // 31}".encode()).hexdigest()
+                    v = int(seed[k % 31 * 4:k % 31 * 4 + 4], 16)
+                    want += str(v % 10) if c.isdigit() else chr(97 + v % 26) if "a" <= c <= "z" else c
+                assert new.startswith(want + tail, at)
+                at += len(want + tail)
+                mapped += 1
+            else:  # its length is the surrogate's own; the next gap is looked for behind it
+                nxt = java.search(t, end)
+                gap = t[end:nxt.start() if nxt else len(t)]
+                at = new.index(gap, at + 1) if gap else at + len(m[0])
+        assert new[at:] == (t or "")[end:]
+    assert mapped
+
+
 def test_pii_edges(spark):
     rows = edge_rows()
     df = docs(spark, rows, clash=True)
     got = pii.replace(df, "k")
     assert sorted(map(str, ((r["doc_id"], r["text"]) for r in got.collect()))) == sorted(map(str, rows))
-    assert set(df.columns) | {"n_entities"} == set(got.columns) | {"_m"}
+    assert got.columns == [*df.columns, "n_entities"] and got.filter("_m = 'mine' and _k = 'mine' and _bumps = 'mine'").count() == len(rows)
+    forced = pii.replace(docs(spark, [(i, f"{c}@y.de") for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")], clash=True), "k")
+    assert forced.filter("_m = 'mine' and _k = 'mine' and _bumps = 'mine'").count() == 26
     assert pii.replace(docs(spark, []), "k").count() == 0
 
 
