@@ -6,7 +6,7 @@ from hebdo.llm import pii_surrogate as pii
 from hebdo.llm import sentencepiece_viterbi as spv
 from hebdo.llm.common import read, stage
 from tests.conftest import SF_SMALL
-from tests.llm.helpers import docs, edge_rows
+from tests.llm.helpers import CLASH, docs, edge_rows
 from tests.llm.test_text_operators import brute_contamination, brute_links
 
 
@@ -46,9 +46,12 @@ def test_stages_against_brute_force(spark):
 
 def test_stages_take_edges_and_empty_tables(spark):
     for rows in (edge_rows(), []):
-        d = docs(spark, rows)
+        d = docs(spark, rows, clash=True)
         for name, step in cp.STAGES:
+            before = d
             d = stage(step(spark, d, SF_SMALL), f"edge-{name}")
+            if name != cp.STAGES[-1][0]:
+                assert d.columns == before.columns and d.filter(" or ".join(f"`{c}` <> 'mine'" for c in CLASH)).count() == 0
         assert d.count() <= len(rows) and "ids" in d.columns
 
 
