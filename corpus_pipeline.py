@@ -4,6 +4,10 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame that ``run``
 writes to the shared checkpoint folder and rereads as the next one's
 documents. All but the last keep the columns of documents. Models are
 trained on the labelled documents of ``sf_dir``, not on what a stage is given.
+
+Null, empty, very long and repeated texts, null ids and empty tables pass through every
+stage as its operator's docstring says; columns beyond those of documents stay, whatever their
+names, up to the last stage.
 """
 
 from __future__ import annotations
@@ -12,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hebdo.llm import bayes_jaccard, phrase_index, pii_surrogate, rules_quality, sentencepiece_viterbi
-from hebdo.llm.common import read, small_side, stage
+from hebdo.llm.common import fresh, read, small_side, stage
 
+#: Key of the surrogates where the session does not set ``hebdo.pii.key``; public, so a deployment sets its own.
 PII_KEY = "corpus-pipeline"
 
 
@@ -32,14 +37,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the benchmark does not contaminate; equal texts share their verdict."""
     found = phrase_index.contamination(phrase_index.search(phrase_index.build_index(docs), read(spark, sf_dir, "benchmark")))
-    bad = stage(found.filter("contaminated").select(F.col("key").alias("_key")).distinct(), "contaminated")
-    work = docs.withColumn("_key", F.coalesce(F.md5(F.col("text").cast("string")), F.lit("")))
-    return work.join(small_side(bad), "_key", "left_anti").select(*docs.columns)
+    (key,) = fresh(docs, "_key")
+    bad = stage(found.filter("contaminated").select(F.col("key").alias(key)).distinct(), "contaminated")
+    work = docs.withColumn(key, F.coalesce(F.md5(F.col("text").cast("string")), F.lit("")))
+    return work.join(small_side(bad), key, "left_anti").select(*docs.columns)
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with surrogates for personal data; n_chars follows the new text."""
-    out = pii_surrogate.replace(docs, PII_KEY)
+    out = pii_surrogate.replace(docs, spark.conf.get("hebdo.pii.key", PII_KEY))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_entities") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
