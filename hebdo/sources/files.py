@@ -45,24 +45,15 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str, s
 
 def bad_line_quarantine(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",",
                         header: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(good rows, quarantined raw lines): lines with too many fields are kept aside, not lost.
+    """(good rows, quarantined raw lines with a reason): records with too many fields are kept aside, not lost.
 
-    Short lines are padded with nulls and a value that does not parse is null.
-    Separators inside quotes do not count. Each half is one scan; nothing is cached.
-    With ``header``, all files share one header line, and every line equal to it is
-    a header, wherever it stands. A quoted value does not cross a line end.
+    Short records are padded with nulls and a value that does not parse is null.
+    Separators and line ends inside quotes do not count. With ``header``, the first line of each file is one; a line
+    equal to it elsewhere is data. See ``ingest.read_landed``.
     """
-    lines = spark.read.text(path).filter(F.trim("value") != "")
-    if header:
-        first = lines.first()
-        lines = lines.filter(F.col("value") != (first["value"] if first else ""))
-    bare = F.regexp_replace("value", r'"(?:[^"]|"")*"', "")
-    lines = lines.withColumn("n_fields", F.size(F.split(bare, _regex_quote(sep))))
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    parsed = F.from_csv("value", ddl, {"sep": sep, "mode": "PERMISSIVE"})
-    good = lines.filter(F.col("n_fields") <= len(schema.fields)).select(parsed.alias("r")).select("r.*")
-    bad = lines.filter(F.col("n_fields") > len(schema.fields)).select(F.col("value").alias("raw_line"))
-    return good, bad
+    from hebdo.sources import ingest
+    good, bad = ingest.read_landed(ingest.land_lines(spark, path), schema, sep=sep, header_offset=0 if header else None)
+    return good, bad.select("raw_line", "reason")
 
 
 def delimiter_profile(spark: SparkSession, path: str, seps=CANDIDATE_SEPARATORS) -> DataFrame:
