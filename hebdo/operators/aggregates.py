@@ -100,12 +100,24 @@ def cases_by_city_week(visits: DataFrame, city_col: str = "region_label") -> Dat
     return sum_by(v, ["year", "week", "city"], alias="cases")
 
 
-def fact_week_estab_cause(visits: DataFrame) -> DataFrame:
-    """Fact table at week x establishment x cause: sums of all six metrics."""
+#: Metrics of the fact as ``conform_table`` emits them, and as the visit analogue has them.
+RAW_METRICS = ("total", "band_under1", "band_1_4", "band_5_14", "band_15_64", "band_65_plus")
+VISIT_METRICS = ("total", "band_a", "band_n", "band_r")
+
+
+def fact_week_estab_cause(visits: DataFrame, metrics=None) -> DataFrame:
+    """Fact table at week x establishment x cause: sums of all metrics.
+
+    The metrics are those of the input's layout: all six of a conformed raw table, or
+    the analogue's; a table that has neither set whole is an error.
+    """
+    if metrics is None:
+        metrics = next((m for m in (RAW_METRICS, VISIT_METRICS) if set(m) <= set(visits.columns)), None)
+        if metrics is None:
+            raise ValueError(f"no whole set of metrics among the columns {', '.join(visits.columns)}")
     v = visits.dropna(subset=["year", "week", "estab_code", "cause_code"])
     return (v.groupBy(time_key("year", "week").alias("time_id"), "estab_code", "cause_code")
-            .agg(_sum_long("total", "total"), _sum_long("band_a", "band_a"),
-                 _sum_long("band_n", "band_n"), _sum_long("band_r", "band_r")))
+            .agg(*[_sum_long(m, m) for m in metrics]))
 
 
 def fact_week_estab(visits: DataFrame) -> DataFrame:

@@ -60,9 +60,74 @@ RAW_INTERNAL = {
 }
 
 
+#: Analysis role of ``ROLE_ALIASES`` that a required column fills, where it has one.
+COLUMN_ROLE = {"comunaglosa": "commune", "semanaestadistica": "week", "anio": "year", "establecimientoglosa": "establishment",
+               "causa": "cause", "numtotal": "total"}
+#: Patterns over cleaned headers for the columns without a role, tried in order; code before label.
+CODE, LABEL = r"(?:c[oó]d(?:igo)?|id|code)", r"(?:glosa|nombre|nom|desc(?:ripci[oó]n)?|label|name)"
+
+
+def _pair(subject: str, what: str) -> tuple[str, ...]:
+    return (rf"^{what}.*{subject}", rf"{subject}.*{what}")
+
+
+COLUMN_PATTERNS = {
+    "establecimientocodigo": _pair("estab", CODE), "establecimientoglosa": _pair("estab", LABEL),
+    "regioncodigo": _pair("regi[oó]n", CODE), "regionglosa": (*_pair("regi[oó]n", LABEL), r"^regi[oó]n$"),
+    "comunacodigo": _pair("comuna", CODE), "comunaglosa": (*_pair("comuna", LABEL), r"^comuna$"),
+    "serviciosaludcodigo": _pair("servicio", CODE), "serviciosaludglosa": (*_pair("servicio", LABEL), r"^servicio(?:_?(?:de_)?salud)?$"),
+    "tipoestablecimiento": (r"tipo.*estab", r"estab.*tipo"), "dependenciaadministrativa": (r"dependencia",),
+    "nivelatencion": (r"nivel.*atenci[oó]n",), "tipourgencia": (r"tipo.*urgencia",),
+    "nivelcomplejidad": (r"(?:nivel.*)?complejidad",), "latitud": (r"^lat(?:itud|itude)?$",), "longitud": (r"^(?:lon|lng)(?:gitud|gitude)?$",),
+    "ordencausa": (r"orden.*causa", *_pair("causa", CODE)), "causa": (*_pair("causa", LABEL), r"^causa$"),
+    "nummenor1anio": (r"menor(?:es)?.*1", r"<_?1"), "num1a4anios": (r"1_?(?:a|to|-)?_?4(?!\d)",),
+    "num5a14anios": (r"5_?(?:a|to|-)?_?14",), "num15a64anios": (r"15_?(?:a|to|-)?_?64",), "num65omas": (r"65",),
+}
+#: Without these no fact can be built.
+REQUIRED = ("establecimientocodigo", "anio", "semanaestadistica", "ordencausa", "numtotal")
+
+
 def normalize_headers(df: DataFrame) -> DataFrame:
-    """Rename every column to its cleaned header (metadata-only projection)."""
-    return df.toDF(*[clean_header(c) for c in df.columns])
+    """Rename every column to its cleaned header (metadata-only projection).
+
+    Of headers that are equal when cleaned the first keeps the name; later ones get _2, _3 and so on.
+    """
+    names: list[str] = []
+    for c in df.columns:
+        clean = name = clean_header(c)
+        k = 1
+        while name in names:
+            k += 1
+            name = f"{clean}_{k}"
+        names.append(name)
+    return df.toDF(*names)
+
+
+def resolve_columns(columns: list[str], wanted=tuple(RAW_INTERNAL)) -> dict[str, tuple[str | None, str]]:
+    """wanted column -> (cleaned header, how): the header itself, else a known alias, else the first pattern that hits.
+
+    Each way is tried for all columns before the next, so a pattern never takes a header
+    that another column claims by name; a header is given once. ``how`` is header, alias, pattern or absent.
+    """
+    out: dict[str, tuple[str | None, str]] = {}
+    free = list(columns)
+
+    def claim(src: str, hit: str | None, how: str) -> None:
+        if hit is not None:
+            out[src] = hit, how
+            free.remove(hit)
+
+    for src in wanted:
+        claim(src, src if src in free else None, "header")
+    for src in wanted:
+        if src not in out:
+            aliases = ROLE_ALIASES[COLUMN_ROLE[src]][0] if src in COLUMN_ROLE else ()
+            claim(src, next((a for a in aliases if a in free), None), "alias")
+    for src in wanted:
+        if src not in out:
+            patterns = (*COLUMN_PATTERNS.get(src, ()), *(ROLE_ALIASES[COLUMN_ROLE[src]][1] if src in COLUMN_ROLE else ()))
+            claim(src, next((c for p in patterns for c in free if re.search(p, c, re.IGNORECASE)), None), "pattern")
+    return {src: out.get(src, (None, "absent")) for src in wanted}
 
 
 def resolve_roles(columns: list[str], aliases=ROLE_ALIASES) -> dict[str, str | None]:
@@ -96,40 +161,57 @@ def _typed(col: str, kind: str):
     return F.trim(c.cast("string")).try_cast(kind)
 
 
-def conform_table(raw: DataFrame, mapping=RAW_INTERNAL) -> DataFrame:
-    """Headers cleaned, required columns renamed to internal names and cast in one select.
+def conform_table(raw: DataFrame, mapping=RAW_INTERNAL, required=()) -> DataFrame:
+    """Headers cleaned and resolved, columns renamed to internal names and cast in one select.
 
-    Columns that are absent are left out (see ``role_completeness``).
+    A ``required`` column that no header resolves to is an error; other columns that are
+    absent are left out (``role_completeness`` lists them).
     """
     df = normalize_headers(raw)
-    cols = [_typed(src, kind).alias(dst) for src, (dst, kind) in mapping.items() if src in df.columns]
-    return df.select(*cols)
+    found = resolve_columns(df.columns, tuple(mapping))
+    missing = [src for src in required if found[src][0] is None]
+    if missing:
+        raise ValueError(f"no column for {', '.join(missing)} among the headers {', '.join(df.columns)}")
+    return df.select(*[_typed(found[src][0], kind).alias(dst) for src, (dst, kind) in mapping.items() if found[src][0]])
+
 
+def role_completeness(raw: DataFrame, mapping=RAW_INTERNAL, resolved: bool = False) -> DataFrame:
+    """One row per required column: present, non-null count, cast failures; one pass over the table.
 
-def role_completeness(raw: DataFrame, mapping=RAW_INTERNAL) -> DataFrame:
-    """One row per required column: present, non-null count, cast failures."""
+    With ``resolved``, also the raw header that fills the column and how it was found (``resolve_columns``).
+    """
     df = normalize_headers(raw)
-    aggs, present = [], {}
-    for src, (dst, kind) in mapping.items():
-        present[src] = src in df.columns
-        if not present[src]:
+    found = resolve_columns(df.columns, tuple(mapping))
+    original = dict(zip(df.columns, raw.columns))
+    aggs = []
+    for src, (_, kind) in mapping.items():
+        header = found[src][0]
+        if header is None:
             continue
-        c = F.col(src)
-        aggs.append(F.count(c).alias(f"nn__{src}"))
-        if kind in ("string",):
-            aggs.append(F.lit(0).alias(f"cf__{src}"))
-        else:
-            target = "double" if kind == "count" else kind
-            bad = c.isNotNull() & F.trim(c.cast("string")).try_cast(target).isNull()
-            aggs.append(F.sum(F.when(bad, 1).otherwise(0)).alias(f"cf__{src}"))
+        c = F.col(header)
+        target = "double" if kind == "count" else kind
+        bad = F.lit(False) if kind == "string" else c.isNotNull() & F.trim(c.cast("string")).try_cast(target).isNull()
+        aggs += [F.count(c).alias(f"nn__{src}"), F.sum(F.when(bad, 1).otherwise(0)).alias(f"cf__{src}")]
     g = df.agg(*(aggs or [F.count(F.lit(1)).alias("_")]))
-    rows = [F.struct(F.lit(src).alias("column_name"), F.lit(present[src]).alias("present"),
-                     (F.col(f"nn__{src}") if present[src] else F.lit(0)).cast("bigint").alias("non_null"),
-                     (F.col(f"cf__{src}") if present[src] else F.lit(0)).cast("bigint").alias("cast_failures"))
-            for src in mapping]
+    value = lambda kind, src: F.coalesce(F.col(f"{kind}__{src}") if found[src][0] else F.lit(0), F.lit(0)).cast("bigint")
+    how = lambda src: [F.lit(original.get(found[src][0])).alias("raw_header"), F.lit(found[src][1]).alias("found_by")]
+    rows = [F.struct(F.lit(src).alias("column_name"), *(how(src) if resolved else []), F.lit(found[src][0] is not None).alias("present"),
+                     value("nn", src).alias("non_null"), value("cf", src).alias("cast_failures")) for src in mapping]
     return g.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def filter_by_city(df: DataFrame, cities: list[str], column: str = "city") -> DataFrame:
+    """Rows of the named cities, and one check row for each city that has none.
+
+    The check rows come from the same pass: the wanted names are joined to the rows that the
+    filter leaves, and a name without a partner stays, with nulls and ``check`` set.
+    """
+    wanted = df.sparkSession.createDataFrame([(c,) for c in dict.fromkeys(cities)], f"`{column}` string")
+    rows = df.filter(F.col(column).isin(list(cities))).withColumn("_found", F.lit(True))
+    out = wanted.join(rows, column, "left")
+    return out.withColumn("check", F.when(F.col("_found").isNull(), "no rows")).drop("_found").select(*df.columns, "check")
+
+
 def dedupe_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 

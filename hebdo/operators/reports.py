@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hebdo.functions.cleaning import round_half_up as R
+from hebdo.functions.cleaning import clean_header, round_half_up as R
 from hebdo.operators.forecast import DEFAULT_ORDER
 
 # Model labels of the metrics table and the missing-value text.
@@ -55,11 +55,39 @@ def metrics_pair(metrics: DataFrame, key: str = "series_id") -> DataFrame:
 
 def metrics_pair_from_kv(kv: DataFrame, key: str = "series_id", metric: str = "metric", value: str = "value"):
     """Older two-column form (metric, value): pivoted into a base row."""
-    p = kv.groupBy(key).pivot(metric, ["MAE", "RMSE"]).agg(F.first(F.col(value).cast("double")))
+    p = kv.groupBy(key).pivot(metric, ["MAE", "RMSE"]).agg(F.min(F.col(value).cast("double")))
     return p.select(key, F.col("MAE").alias("base_mae"), F.col("RMSE").alias("base_rmse"),
                     F.lit(None).cast("double").alias("clima_mae"), F.lit(None).cast("double").alias("clima_rmse"))
 
 
+def metrics_layout(metrics: DataFrame) -> dict[str, str]:
+    """Which columns hold what, by their cleaned names: a long table (model, mae, rmse) or key/value pairs (metric, value).
+
+    The second is any table that has, beside the series key, just two columns, the first of them text.
+    """
+    at = {clean_header(c): c for c in metrics.columns}
+    model = at.get("modelo", at.get("model"))
+    if model and "mae" in at and "rmse" in at:
+        return {"layout": "long", "model": model, "mae": at["mae"], "rmse": at["rmse"]}
+    rest = [c for c in metrics.columns if clean_header(c) != "series_id"]
+    if len(rest) == 2 and dict(metrics.dtypes)[rest[0]] == "string":
+        return {"layout": "pairs", "metric": rest[0], "value": rest[1]}
+    raise ValueError(f"metrics in no known layout; columns: {', '.join(metrics.columns)}")
+
+
+def load_metrics_pair(metrics: DataFrame, key: str = "series_id") -> DataFrame:
+    """``metrics_pair`` of a metrics table of either layout; one without ``key`` is one series of an empty name."""
+    at = metrics_layout(metrics)
+    if key not in metrics.columns:
+        metrics = metrics.withColumn(key, F.lit(""))
+    num = lambda c: F.trim(F.col(f"`{c}`").cast("string")).try_cast("double")
+    if at["layout"] == "long":
+        long = metrics.select(key, F.col(f"`{at['model']}`").alias("model"), num(at["mae"]).alias("mae"), num(at["rmse"]).alias("rmse"))
+        return metrics_pair(long, key)
+    pairs = metrics.select(key, F.upper(F.trim(f"`{at['metric']}`")).alias("metric"), num(at["value"]).alias("value"))
+    return metrics_pair_from_kv(pairs, key)
+
+
 def _fmt2(c):
     txt = F.format_string("%.2f", F.round(c.cast("decimal(38,10)"), 2).cast("double"))
     return F.when(c.isNull(), F.lit(MISSING_TEXT)).otherwise(txt)

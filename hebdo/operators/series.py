@@ -141,6 +141,17 @@ def holdout_split(df: DataFrame, key: str, rule: str = "B", order: str = "week_d
             .withColumn("is_test", F.row_number().over(_w(key, order)) > F.col("n_points") - F.col("h")))
 
 
+def week_53_rows(df: DataFrame, year: str = "year", week: str = "week") -> DataFrame:
+    """(year, n_rows, is_short_year) of the rows filed under a week 53.
+
+    A short year has 52 ISO weeks (28 December lies in its last); there ``iso_week_to_monday`` puts
+    the rows on the first Monday of the year after, where they add to that year's week 1.
+    """
+    last = F.weekofyear(F.make_date(F.col(year), F.lit(12), F.lit(28)))
+    rows = df.filter((F.col(week) == 53) & F.col(year).isNotNull())
+    return rows.groupBy(year).agg(F.count(F.lit(1)).alias("n_rows")).select(year, "n_rows", (last < 53).alias("is_short_year"))
+
+
 # ---------------------------------------------------------------- analogues
 
 def region_case_series(spark: SparkSession, d: str) -> DataFrame:

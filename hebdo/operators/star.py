@@ -63,6 +63,9 @@ def dim_time_season(df: DataFrame) -> DataFrame:
 
 
 ESTAB_ATTRS = ["estab_code", "estab_label", "region_code", "commune_code", "service_code"]
+#: All twelve attributes of a conformed raw table.
+ESTAB_ATTRS_FULL = [*ESTAB_ATTRS, "estab_type", "admin_dependency", "care_level", "emergency_type", "complexity_level",
+                    "latitude", "longitude"]
 
 
 def dim_establishment(visits: DataFrame, attrs=ESTAB_ATTRS) -> DataFrame:

@@ -73,3 +73,51 @@ def test_climate_report_synthetic_band(spark):
     c = spark.createDataFrame([(2020, 1, "x", 10.0)], "year int, week int, city string, temperature double")
     r = RP.climate_report(c).collect()[0]
     assert (r.temp_min, r.temp_max, r.is_synthetic) == (5.0, 15.0, True)
+
+
+def test_a_missing_required_column_is_an_error(spark):
+    raw = spark.createDataFrame([("1", "2", "3")], "`Cód Establecimiento` string, Semana string, Casos string")
+    import pytest
+    with pytest.raises(ValueError, match="anio, ordencausa"):
+        PR.conform_table(raw, required=PR.REQUIRED)
+    assert PR.conform_table(raw).columns == ["estab_code", "week", "total"]
+    comp = {r.column_name: (r.raw_header, r.found_by) for r in PR.role_completeness(raw, resolved=True).collect()}
+    assert comp["establecimientocodigo"] == ("Cód Establecimiento", "pattern") and comp["anio"] == (None, "absent")
+
+
+def test_a_pattern_takes_no_header_that_another_column_names():
+    got = PR.resolve_columns(["total_semana", "semanaestadistica", "numtotal", "anio", "comuna_codigo", "comuna"])
+    assert got["semanaestadistica"] == ("semanaestadistica", "header") and got["numtotal"] == ("numtotal", "header")
+    assert got["comunacodigo"] == ("comuna_codigo", "pattern") and got["comunaglosa"] == ("comuna", "alias")
+    ages = PR.resolve_columns(["menor_1", "1_a_4", "5_a_14", "15_a_64", "65_y_mas"])
+    assert [ages[c][0] for c in ("nummenor1anio", "num1a4anios", "num5a14anios", "num15a64anios", "num65omas")] == [
+        "menor_1", "1_a_4", "5_a_14", "15_a_64", "65_y_mas"]
+
+
+def test_equal_headers_are_told_apart(spark):
+    df = PR.normalize_headers(spark.createDataFrame([(1, 2, 3)], "`A b` int, `a_b` int, c int"))
+    assert df.columns == ["a_b", "a_b_2", "c"]
+
+
+def test_a_fact_without_all_metrics_is_an_error(spark):
+    import pytest
+    from hebdo.operators.aggregates import fact_week_estab_cause
+    with pytest.raises(ValueError, match="no whole set"):
+        fact_week_estab_cause(spark.createDataFrame([(1, 1, 1, 1, 2)], "year int, week int, estab_code int, cause_code int, total int"))
+
+
+def test_unknown_cities_leave_a_check_row(spark):
+    df = spark.createDataFrame([("a", 1), ("b", None)], "city string, v int")
+    got = sorted(tuple(r) for r in PR.filter_by_city(df, ["a", "x", "x", "b"]).fillna({"v": -1}).fillna({"check": "-"}).collect())
+    assert got == [("a", 1, "-"), ("b", -1, "-"), ("x", -1, "no rows")]
+    assert [tuple(r) for r in PR.filter_by_city(df.filter("false"), ["a"]).collect()] == [("a", None, "no rows")]
+
+
+def test_metric_layouts(spark):
+    import pytest
+    pairs = spark.createDataFrame([("MAE", "1.5"), ("rmse ", "2.5"), ("n", "3")], "`Unnamed: 0` string, `0` string")
+    assert tuple(RP.load_metrics_pair(pairs).collect()[0]) == ("", 1.5, 2.5, None, None)
+    long = spark.createDataFrame([("Sarimax ", "1", None), ("x CLIMA", "bad", "4")], "Modelo string, MAE string, RMSE string")
+    assert tuple(RP.load_metrics_pair(long).collect()[0]) == ("", 1.0, None, None, 4.0)
+    with pytest.raises(ValueError, match="no known layout"):
+        RP.load_metrics_pair(spark.createDataFrame([(1, 2, 3)], "a int, b int, c int"))
