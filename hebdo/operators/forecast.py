@@ -106,10 +106,10 @@ def _solve_batch(G: np.ndarray, xy: np.ndarray) -> list:
     return out
 
 
-def _packed(series: DataFrame, key: str, value: str, exog: str | None, rule: str) -> DataFrame:
-    """One row per series: arrays of its weeks in order, with the double difference of the training weeks."""
-    s = holdout_split(series.select(key, "week_date", F.col(value).cast("double").alias("y"),
-                                    *([F.col(exog).cast("double").alias("x")] if exog else [])), key, rule)
+def _packed(series: DataFrame, key: str, value: str, exog: str | None, rule: str | None) -> DataFrame:
+    """One row per series: arrays of its weeks in order, with the double difference of the training weeks (all, without a rule)."""
+    s = series.select(key, "week_date", F.col(value).cast("double").alias("y"), *([F.col(exog).cast("double").alias("x")] if exog else []))
+    s = holdout_split(s, key, rule) if rule else s.withColumn("is_test", F.lit(False))
     w = Window.partitionBy(key).orderBy("week_date")
     dd = lambda c: F.col(c) - F.lag(c, 1).over(w) - F.lag(c, SEASON).over(w) + F.lag(c, SEASON + 1).over(w)
     cols = ["week_date", "y", "is_test", F.when(~F.col("is_test"), dd("y")).alias("w")] + ([dd("x").alias("xw")] if exog else [])
@@ -272,13 +272,14 @@ def _naive(y: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sarima_grid(series: DataFrame, key: str = "series_id", value: str = "cases", exog: str | None = None,
-                grid=GRID, rule: str = "B", horizon: int = HORIZON, only: DataFrame | None = None):
+                grid=GRID, rule: str | None = "B", horizon: int = HORIZON, only: DataFrame | None = None):
     """Fit every candidate for every series; returns (fits, predictions, actual).
 
     fits: one row per (series, candidate) with coefficients, sigma^2, AIC and
     error text. predictions: holdout steps and ``horizon`` future steps of every
     fitted candidate, and of the fallback (candidate -1) for every series.
-    ``only`` (key, candidate_id) restricts each series to one stored candidate.
+    ``only`` (key, candidate_id) restricts each series to one stored candidate. Without a ``rule`` all
+    weeks are trained on, there is no holdout, and the steps start behind the last week (``refit_full``).
     """
     from hebdo.session import checkpoint_dir, ship_package
     checkpoint_dir(series.sparkSession)
@@ -307,10 +308,20 @@ def sarima_grid(series: DataFrame, key: str = "series_id", value: str = "cases",
         key, "candidate_id", "h", "last_week", F.posexplode(F.arrays_zip("yhat", "lo95", "hi95")).alias("k", "v"))
         .select(key, "candidate_id", (F.col("k") + 1).alias("step"), F.date_add("last_week", (F.col("k") + 1) * 7).alias("week_date"),
                 (F.col("k") >= F.col("h")).alias("is_future"), "v.yhat", "v.lo95", "v.hi95"))
-    actual = holdout_split(series.select(key, "week_date", F.col(value).cast("double").alias("y")), key, rule)
+    actual = series.select(key, "week_date", F.col(value).cast("double").alias("y"))
+    actual = holdout_split(actual, key, rule) if rule else actual.withColumn("is_test", F.lit(False))
     return fits, preds, actual.select(key, "week_date", "y", "is_test")
 
 
+def refit_full(series: DataFrame, best: DataFrame, key: str = "series_id", value: str = "cases", horizon: int = HORIZON):
+    """(fits, predictions) of each series' chosen candidate, fitted anew on all its weeks, holdout included.
+
+    ``best`` (key, candidate_id) comes from the holdout comparison; only that candidate is fitted.
+    """
+    fits, preds, _ = sarima_grid(series, key, value, rule=None, horizon=horizon, only=best)
+    return fits, preds
+
+
 def _fit_batch(pdf: pd.DataFrame, key: str, grid: list, exog: bool, horizon: int) -> list[tuple]:
     """Rows of one Arrow batch: all series of the batch are fitted and forecast together, by holdout length."""
     out = []
@@ -398,6 +409,17 @@ def harmonic_candidate(series: DataFrame, key: str = "series_id", value: str = "
                        rule: str = "B") -> DataFrame:
     """Trend + K yearly Fourier pairs (period 365.25 days), least squares on the
     training weeks; predictions for the holdout weeks. Gram in Spark, solve per series."""
+    x, beta, feats = harmonic_fit(series, key, value, K, rule)
+    return x.filter("is_test").join(beta, key).select(key, "week_date", "y", harmonic_value(feats).alias("yhat"), "error")
+
+
+def harmonic_value(feats: list[str]):
+    """Fitted value of a week from its regressors and ``beta``."""
+    return reduce(lambda a, b: a + b, [F.col("beta")[i] * F.col(f) for i, f in enumerate(feats)])
+
+
+def harmonic_fit(series: DataFrame, key: str = "series_id", value: str = "cases", K: int = 10, rule: str = "B"):
+    """(weeks with their regressors, (key, beta, error), names of the regressors)."""
     from hebdo.session import ship_package
     ship_package(series.sparkSession)
     s = holdout_split(series.select(key, "week_date", F.col(value).cast("double").alias("y")), key, rule)
@@ -423,5 +445,4 @@ def harmonic_candidate(series: DataFrame, key: str = "series_id", value: str = "
                                 "error": ["" if b is not None else "singular or too short" for b in sols]})
 
     beta = gram.mapInPandas(solve, schema)
-    fit = reduce(lambda a, b: a + b, [F.col("beta")[i] * F.col(f) for i, f in enumerate(feats)])
-    return (x.filter("is_test").join(beta, key).select(key, "week_date", "y", fit.alias("yhat"), "error"))
+    return x, beta, feats

@@ -1,6 +1,6 @@
 """Named queries over the base tables (Spark) and their DuckDB oracles."""
 
-from hebdo.plans import q_aggregates, q_clean, q_forecast, q_ingest, q_series, q_star  # noqa: F401
+from hebdo.plans import q_aggregates, q_checks, q_clean, q_forecast, q_ingest, q_series, q_star  # noqa: F401
 from hebdo.plans.registry import QUERIES  # noqa: F401
 
 
