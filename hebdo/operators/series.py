@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from hebdo.functions.calendar import iso_week, iso_week_to_monday, iso_year, week_bin_monday
 from hebdo.functions.cleaning import clamp_nonnegative, round_half_up
-from hebdo.sources.tables import readings, visits
+from hebdo.sources.tables import readings, visit_sums
 
 
 def _w(key: str, order: str = "week_date") -> Window:
@@ -162,7 +162,7 @@ def region_case_series(spark: SparkSession, d: str) -> DataFrame:
     summing per bin directly equals summing per week first), then the
     zero-filled spine.
     """
-    v = visits(spark, d, with_cause=False)
+    v = visit_sums(spark, d, "year", "week")
     bins = (v.dropna(subset=["year", "week", "region_label"])
             .groupBy(F.lower(F.trim("region_label")).alias("series_id"),
                      week_bin_monday(iso_week_to_monday("year", "week")).alias("week_date"))

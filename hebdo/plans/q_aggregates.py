@@ -8,7 +8,7 @@ from hebdo.operators import aggregates as A
 from hebdo.operators import series as S
 from hebdo.plans.registry import register
 from hebdo.plans.sqlviews import r4, with_views
-from hebdo.sources.tables import establishment_week_fact, readings, visits
+from hebdo.sources.tables import establishment_week_fact, readings, visit_sums, visits
 
 
 def V(spark, d, cause=False):
@@ -33,7 +33,7 @@ SELECT CAST(visit_ts AS DATE) AS visit_date, CAST(SUM(total) AS BIGINT) AS total
 FROM visits_nc WHERE visit_ts IS NOT NULL GROUP BY 1
 """, "visits_nc"))
 def q_cases_by_date(spark, d):
-    return A.cases_by_date(V(spark, d))
+    return A.cases_by_date(visit_sums(spark, d, "visit_ts"))
 
 
 @register("cases_by_year_week", "2.3", with_views("""
@@ -41,7 +41,7 @@ SELECT year, week, CAST(SUM(total) AS BIGINT) AS total FROM visits_nc
 WHERE year IS NOT NULL AND week IS NOT NULL GROUP BY year, week
 """, "visits_nc"))
 def q_cases_by_year_week(spark, d):
-    return A.cases_by_year_week(V(spark, d))
+    return A.cases_by_year_week(visit_sums(spark, d, "year", "week"))
 
 
 @register("cases_by_commune", "2.3", with_views("""
@@ -49,7 +49,7 @@ SELECT commune_label, CAST(SUM(total) AS BIGINT) AS total FROM visits_nc
 WHERE commune_label IS NOT NULL GROUP BY 1
 """, "visits_nc"))
 def q_cases_by_commune(spark, d):
-    return A.cases_by_commune(V(spark, d))
+    return A.cases_by_commune(visit_sums(spark, d))
 
 
 @register("cases_by_age_group", "2.3", with_views("""
@@ -57,7 +57,7 @@ SELECT age_group, CAST(SUM(total) AS BIGINT) AS total FROM visits_nc
 WHERE age_group IS NOT NULL GROUP BY 1
 """, "visits_nc"))
 def q_cases_by_age_group(spark, d):
-    return A.cases_by_age_group(V(spark, d))
+    return A.cases_by_age_group(visit_sums(spark, d, "age_group"))
 
 
 @register("cases_by_establishment", "2.3", with_views("""
@@ -65,7 +65,7 @@ SELECT estab_label, CAST(SUM(total) AS BIGINT) AS total FROM visits_nc
 WHERE estab_label IS NOT NULL GROUP BY 1
 """, "visits_nc"))
 def q_cases_by_establishment(spark, d):
-    return A.cases_by_establishment(V(spark, d))
+    return A.cases_by_establishment(visit_sums(spark, d))
 
 
 @register("cases_by_cause", "2.3", with_views("""
@@ -73,7 +73,7 @@ SELECT cause, CAST(SUM(total) AS BIGINT) AS total FROM visits
 WHERE cause IS NOT NULL GROUP BY 1
 """, "visits"))
 def q_cases_by_cause(spark, d):
-    return A.cases_by_cause(V(spark, d, cause=True))
+    return A.cases_by_cause(visit_sums(spark, d, with_cause=True))
 
 
 @register("top_communes", "2.3", with_views("""
@@ -81,7 +81,7 @@ SELECT commune_label, CAST(SUM(total) AS BIGINT) AS total FROM visits_nc
 WHERE commune_label IS NOT NULL GROUP BY 1 ORDER BY total DESC, commune_label LIMIT 20
 """, "visits_nc"))
 def q_top_communes(spark, d):
-    return A.top_communes(V(spark, d), 20)
+    return A.top_communes(visit_sums(spark, d), 20)
 
 
 _heat_cols = ", ".join(
@@ -92,14 +92,14 @@ _heat_cols = ", ".join(
 SELECT year, {_heat_cols} FROM visits_nc WHERE year IS NOT NULL AND week IS NOT NULL GROUP BY year
 """, "visits_nc"))
 def q_year_week_heatmap(spark, d):
-    return A.year_week_heatmap(V(spark, d))
+    return A.year_week_heatmap(visit_sums(spark, d, "year", "week"))
 
 
 @register("cases_by_week_of_year", "2.3", with_views("""
 SELECT week, CAST(SUM(total) AS BIGINT) AS total FROM visits_nc WHERE week IS NOT NULL GROUP BY week
 """, "visits_nc"))
 def q_cases_by_week_of_year(spark, d):
-    return A.cases_by_week_of_year(V(spark, d))
+    return A.cases_by_week_of_year(visit_sums(spark, d, "week"))
 
 
 @register("climate_weekly_mean", "2.3", with_views(f"""
@@ -117,12 +117,12 @@ SELECT year, week, lower(trim(region_label)) AS city, CAST(SUM(total) AS BIGINT)
 FROM visits_nc WHERE year IS NOT NULL AND week IS NOT NULL AND region_label IS NOT NULL GROUP BY 1, 2, 3
 """, "visits_nc"))
 def q_cases_by_city_week(spark, d):
-    return A.cases_by_city_week(V(spark, d))
+    return A.cases_by_city_week(visit_sums(spark, d, "year", "week"))
 
 
 @register("fact_week_estab_cause", "2.3", with_views("SELECT * FROM fact_wec", "fact_wec"))
 def q_fact_week_estab_cause(spark, d):
-    return A.fact_week_estab_cause(V(spark, d, cause=True))
+    return A.fact_week_estab_cause(visit_sums(spark, d, "year", "week", with_cause=True))
 
 
 @register("fact_week_estab", "2.3", with_views("SELECT * FROM fact_we", "fact_we"))

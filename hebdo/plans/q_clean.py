@@ -13,8 +13,9 @@ from hebdo.operators import profile as PR
 from hebdo.operators import star as ST
 from hebdo.plans.registry import register
 from hebdo.plans.sqlviews import iso_monday_sql, r4, week_bin_sql, with_views
+from hebdo.session import checkpoint_dir
 from hebdo.sources import files as FS
-from hebdo.sources.tables import readings, table, visits
+from hebdo.sources.tables import first_visits, readings, table, visit_sums, visits
 
 # raw header -> internal column of the visit analogue (messy on purpose: BOM,
 # padding, mixed case, numbers as text, one unparsable count value)
@@ -98,8 +99,8 @@ def q_role_completeness(spark, d):
 @register("dedupe_rows", "2.2", with_views("""
 SELECT DISTINCT estab_code, cause, age_group, year, week, total FROM visits""", "visits"))
 def q_dedupe_rows(spark, d):
-    v = visits(spark, d, with_cause=True)
-    return PR.dedupe_rows(v.select("estab_code", "cause", "age_group", "year", "week", "total"))
+    v = visit_sums(spark, d, "age_group", "year", "week", "quantity", with_cause=True)
+    return PR.dedupe_rows(v.select("estab_code", "cause", "age_group", "year", "week", F.col("quantity").alias("total")))
 
 
 @register("dedupe_by_key", "2.2", with_views("""
@@ -108,7 +109,8 @@ SELECT commune_code, cause, visit_id, estab_code, total FROM (
   FROM visits) t
 WHERE rn = 1""", "visits"))
 def q_dedupe_by_key(spark, d):
-    v = visits(spark, d, with_cause=True).withColumn("_k", F.struct("commune_code", "cause"))
+    # the first visit of each establishment, cause and total, then the first of these in the commune
+    v = first_visits(spark, d).withColumn("_k", F.struct("commune_code", "cause"))
     out = ST.first_per_key(v, "_k", "visit_id", ["_k", "visit_id", "estab_code", "total"])
     return out.select(F.col("_k.commune_code").alias("commune_code"), F.col("_k.cause").alias("cause"),
                       "visit_id", "estab_code", "total")
@@ -140,8 +142,7 @@ FROM (SELECT year, week, lower(trim(region_label)) AS city, CAST(SUM(total) AS B
 JOIN climate m ON c.year = m.year AND c.week = m.week AND c.city = m.city
 WHERE m.temperature IS NOT NULL""", "visits_nc", "climate"))
 def q_drop_null_keys(spark, d):
-    v = visits(spark, d, with_cause=False)
-    cw = J.cases_left_climate(A.cases_by_city_week(v), A.climate_weekly_mean_exact(readings(spark, d)))
+    cw = J.cases_left_climate(A.cases_by_city_week(visit_sums(spark, d, "year", "week")), A.climate_weekly_mean_exact(readings(spark, d)))
     return cw.dropna(subset=["temperature"]).withColumn("temperature", R(F.col("temperature")))
 
 
@@ -174,7 +175,7 @@ SELECT lower(trim(commune_label)) AS commune_key,
        CAST(SUM(total) AS BIGINT) AS total
 FROM visits_nc WHERE commune_label IS NOT NULL GROUP BY 1, 2""", "visits_nc"))
 def q_normalize_key_text(spark, d):
-    v = visits(spark, d, with_cause=False).withColumn("commune_key", normalize_key_text("commune_label"))
+    v = visit_sums(spark, d).withColumn("commune_key", normalize_key_text("commune_label"))
     return (v.dropna(subset=["commune_key"]).groupBy("commune_key")
             .agg(F.sum("total").cast("bigint").alias("total"))
             .select("commune_key", display_title("commune_key").alias("commune_display"), "total"))
@@ -206,8 +207,7 @@ SELECT column_name, {r4('pct * 100')} AS pct_missing FROM (
   UNION ALL SELECT 'temperature', AVG(CASE WHEN temperature IS NULL THEN 1.0 ELSE 0.0 END) FROM cw) t
 ORDER BY pct_missing DESC, column_name LIMIT 10""", "visits_nc", "climate", extra=_CW))
 def q_null_profile(spark, d):
-    v = visits(spark, d, with_cause=False)
-    cw = J.cases_left_climate(A.cases_by_city_week(v), A.climate_weekly_mean_exact(readings(spark, d)))
+    cw = J.cases_left_climate(A.cases_by_city_week(visit_sums(spark, d, "year", "week")), A.climate_weekly_mean_exact(readings(spark, d)))
     return PR.null_profile(cw)
 
 
@@ -236,7 +236,9 @@ UNION ALL SELECT 'dim_establishment', COUNT(*), 5, COUNT(*) = 0
         WHERE estab_code IS NOT NULL) t
 UNION ALL SELECT 'fact_week_estab_cause', COUNT(*), 7, COUNT(*) = 0 FROM fact_wec""", "visits", "fact_wec"))
 def q_row_col_counts(spark, d):
-    v = visits(spark, d, with_cause=True)
+    # dimensions and fact all follow from the weekly sums: one pass over the lines
+    checkpoint_dir(spark)
+    v = visit_sums(spark, d, "year", "week", with_cause=True).checkpoint()
     return PR.row_col_counts({"dim_region": ST.dim_region(v), "dim_commune": ST.dim_commune(v),
                               "dim_cause": ST.dim_cause(v), "dim_establishment": ST.dim_establishment(v),
                               "fact_week_estab_cause": A.fact_week_estab_cause(v)})
@@ -247,7 +249,7 @@ def q_row_col_counts(spark, d):
 @register("head_preview", "2.1", with_views("""
 SELECT * FROM fact_wec ORDER BY time_id, estab_code, cause_code LIMIT 10""", "fact_wec"))
 def q_head_preview(spark, d):
-    return FS.head_preview(A.fact_week_estab_cause(visits(spark, d, with_cause=True)),
+    return FS.head_preview(A.fact_week_estab_cause(visit_sums(spark, d, "year", "week", with_cause=True)),
                            ["time_id", "estab_code", "cause_code"], 10)
 
 
@@ -262,7 +264,7 @@ FROM visits_nc WHERE year IS NOT NULL AND week IS NOT NULL AND region_label IS N
 def q_read_delimited(spark, d):
     """Round trip: the weekly city table written as ';' text with header, read back typed."""
     path = FS.scratch_path(spark, "cases_city_week_csv")
-    FS.write_table(A.cases_by_city_week(visits(spark, d, with_cause=False)), path, fmt="csv", sep=";")
+    FS.write_table(A.cases_by_city_week(visit_sums(spark, d, "year", "week")), path, fmt="csv", sep=";")
     return FS.read_delimited(spark, path, _CITY_WEEK_SCHEMA, sep=";")
 
 
@@ -270,7 +272,7 @@ def q_read_delimited(spark, d):
 def q_write_table(spark, d):
     """Fact table written as parquet (overwrite) and read back."""
     path = FS.scratch_path(spark, "fact_week_estab_cause")
-    FS.write_table(A.fact_week_estab_cause(visits(spark, d, with_cause=True)), path)
+    FS.write_table(A.fact_week_estab_cause(visit_sums(spark, d, "year", "week", with_cause=True)), path)
     return spark.read.parquet(path)
 
 
@@ -285,7 +287,7 @@ FROM cw, (VALUES (0, ','), (1, ';'), (2, chr(9)), (3, '|')) AS s(rank, sep) GROU
 def _city_lines(spark, d) -> str:
     """The weekly city table as ';' text without header lines, so counts do not depend on the number of files."""
     path = FS.scratch_path(spark, "delim_probe")
-    return FS.write_table(A.cases_by_city_week(visits(spark, d, with_cause=False)), path, fmt="csv", sep=";", header=False)
+    return FS.write_table(A.cases_by_city_week(visit_sums(spark, d, "year", "week")), path, fmt="csv", sep=";", header=False)
 
 
 @register("delimiter_profile", "2.1", with_views("SELECT * FROM widths", "visits_nc", extra=_CITY_LINES))
@@ -311,7 +313,7 @@ SELECT concat_ws(';', year, week, city, cases, 'x'), NULL, NULL, NULL, NULL FROM
 def q_bad_line_quarantine(spark, d):
     """Lines of week 53 lack two fields and come back padded; lines of week 1 have one too many
     and come back quarantined; the rest comes back typed."""
-    cw = A.cases_by_city_week(visits(spark, d, with_cause=False))
+    cw = A.cases_by_city_week(visit_sums(spark, d, "year", "week"))
     whole = ("year", "week", "city", "cases")
     line = (F.when(F.col("week") == 53, F.concat_ws(";", "year", "week"))
             .when(F.col("week") == 1, F.concat_ws(";", *whole, F.lit("x"))).otherwise(F.concat_ws(";", *whole)))
@@ -330,7 +332,8 @@ UNION ALL SELECT 'dim_cause', COUNT(*) + 1
   FROM (SELECT DISTINCT cause_code, cause FROM visits WHERE cause_code IS NOT NULL) t""", "visits"))
 def q_file_line_counts(spark, d):
     """Lines (header included) of the CSV file of three dimension tables, one file each (short vocabularies)."""
-    v = visits(spark, d, with_cause=True)
+    checkpoint_dir(spark)
+    v = visit_sums(spark, d, with_cause=True).checkpoint()
     folder = FS.scratch_path(spark, "dims_csv")
     for name, t in {"dim_region": ST.dim_region(v), "dim_commune": ST.dim_commune(v),
                     "dim_cause": ST.dim_cause(v)}.items():

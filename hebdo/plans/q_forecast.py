@@ -194,9 +194,9 @@ def refresh(spark, series, base: str, run: int) -> None:
 def q_sarima_candidates_by_establishment(spark, d):
     """The same candidate grid with one series per establishment (many-series scale-out)."""
     from hebdo.functions.calendar import iso_week_to_monday, week_bin_monday
-    from hebdo.sources.tables import visits
+    from hebdo.sources.tables import visit_sums
     checkpoint_dir(spark)
-    v = visits(spark, d, with_cause=False).dropna(subset=["year", "week", "estab_code"])
+    v = visit_sums(spark, d, "year", "week").dropna(subset=["year", "week", "estab_code"])
     bins = (v.groupBy(F.col("estab_code").cast("string").alias(KEY),
                       week_bin_monday(iso_week_to_monday("year", "week")).alias("week_date"))
             .agg(F.sum("total").cast("double").alias("cases")))

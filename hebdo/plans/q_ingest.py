@@ -16,7 +16,7 @@ from hebdo.plans.registry import register
 from hebdo.plans.sqlviews import r4, with_views
 from hebdo.sources import files as FS
 from hebdo.sources import ingest as IN
-from hebdo.sources.tables import readings, visits
+from hebdo.sources.tables import readings, visit_sums, visits
 
 _CW = {"cw": """
 SELECT year, week, lower(trim(region_label)) AS city, CAST(SUM(total) AS BIGINT) AS cases
@@ -32,7 +32,7 @@ def _city_files(spark, d) -> str:
 
     A city's name of n letters gives n mod 4 preamble lines and the separator n mod 3 of ``, ; tab``.
     """
-    cw = A.cases_by_city_week(visits(spark, d, with_cause=False))
+    cw = A.cases_by_city_week(visit_sums(spark, d, "year", "week"))
     n = F.length("city")
     sep = F.element_at(F.array(F.lit(","), F.lit(";"), F.lit("\t")), n % 3 + 1)
     line = lambda *cols: F.array_join(F.array(*[c.cast("string") for c in cols]), "\x01")
@@ -87,7 +87,7 @@ def q_quoted_records(spark, d):
 
     Records of week 1 have a field too many and are quarantined; their note is taken from the raw record.
     """
-    cw = A.cases_by_city_week(visits(spark, d, with_cause=False))
+    cw = A.cases_by_city_week(visit_sums(spark, d, "year", "week"))
     note = F.concat(F.lit("week "), F.col("week").cast("string"), F.lit(';\n"'), F.col("city"), F.lit('", total\n\n'),
                     F.expr("repeat(concat(city, ';\"'), CAST(if(week = 10, 20000, cases % 7) AS INT))"))
     quoted = F.concat(F.lit('"'), F.replace(note, F.lit('"'), F.lit('""')), F.lit('"'))

@@ -15,11 +15,11 @@ from hebdo.operators import stats as T
 from hebdo.plans.registry import register
 from hebdo.plans.sqlviews import (ffill_bfill_sql, interpolate_sql, iso_monday_sql, r4, spine_sql,
                                   week_bin_sql, with_views)
-from hebdo.sources.tables import establishment_week_fact, readings, table, visits
+from hebdo.sources.tables import estab_labels, establishment_week_fact, readings, table, visit_sums
 
 
 def V(spark, d):
-    return visits(spark, d, with_cause=False)
+    return visit_sums(spark, d, "year", "week")
 
 
 def initcap_sql(x: str) -> str:
@@ -34,7 +34,7 @@ def pearson_sql(x: str, y: str) -> str:
 
 
 def _city_weeks(spark, d):
-    return J.cases_left_climate(A.cases_by_city_week(V(spark, d)), A.climate_weekly_mean_exact(readings(spark, d)))
+    return J.cases_left_climate(A.cases_by_city_week(visit_sums(spark, d, "year", "week")), A.climate_weekly_mean_exact(readings(spark, d)))
 
 
 _CITY_WEEKS = {"cw": """
@@ -63,7 +63,7 @@ _PEAK_COLD = _pick_sql("temperatura_min", "temperature", "temperature", "tempera
 SELECT year, week, {iso_monday_sql('year', 'week')} AS week_monday
 FROM (SELECT DISTINCT year, week FROM visits_nc WHERE year IS NOT NULL AND week IS NOT NULL) t""", "visits_nc"))
 def q_iso_week_to_monday(spark, d):
-    yw = V(spark, d).select("year", "week").dropna().distinct()
+    yw = visit_sums(spark, d, "year", "week").select("year", "week").dropna().distinct()
     return yw.withColumn("week_monday", iso_week_to_monday("year", "week"))
 
 
@@ -380,8 +380,7 @@ FROM fact_flag f LEFT JOIN (
 WHERE f.is_peak = 1""", "fact_flag", "visits_nc"))
 def q_peak_alert_report(spark, d):
     from hebdo.operators import reports as RP
-    v = V(spark, d)
-    return RP.peak_alert_report(A.with_peak_flag(establishment_week_fact(spark, d)), ST.dim_establishment_unique(v))
+    return RP.peak_alert_report(A.with_peak_flag(establishment_week_fact(spark, d)), estab_labels(spark, d))
 
 
 @register("climate_report", "2.8", with_views(f"""

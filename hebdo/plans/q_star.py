@@ -12,11 +12,9 @@ from hebdo.operators import series as S
 from hebdo.operators import star as ST
 from hebdo.plans.registry import register
 from hebdo.plans.sqlviews import r4, with_views
-from hebdo.sources.tables import establishment_week_fact, establishments, readings, table, visits
-
-
-def V(spark, d, cause=False):
-    return visits(spark, d, with_cause=cause)
+from hebdo.session import checkpoint_dir
+from hebdo.sources.tables import (estab_labels, establishment_week_fact, establishments, readings, table,
+                                  visit_sums)
 
 
 def _dim_time_sql(src: str) -> str:
@@ -51,48 +49,48 @@ SELECT estab_code, estab_label, region_code, commune_code FROM (
 @register("dim_region", "2.4", with_views("""
 SELECT DISTINCT region_code, region_label FROM visits_nc WHERE region_code IS NOT NULL""", "visits_nc"))
 def q_dim_region(spark, d):
-    return ST.dim_region(V(spark, d))
+    return ST.dim_region(visit_sums(spark, d))
 
 
 @register("dim_commune", "2.4", with_views("""
 SELECT DISTINCT commune_code, commune_label, region_code FROM visits_nc WHERE commune_code IS NOT NULL""",
                                            "visits_nc"))
 def q_dim_commune(spark, d):
-    return ST.dim_commune(V(spark, d))
+    return ST.dim_commune(visit_sums(spark, d))
 
 
 @register("dim_health_service", "2.4", with_views("""
 SELECT DISTINCT service_code, service_label FROM visits_nc WHERE service_code IS NOT NULL""", "visits_nc"))
 def q_dim_health_service(spark, d):
-    return ST.dim_health_service(V(spark, d))
+    return ST.dim_health_service(visit_sums(spark, d))
 
 
 @register("dim_cause", "2.4", with_views("""
 SELECT DISTINCT cause_code, cause FROM visits WHERE cause_code IS NOT NULL""", "visits"))
 def q_dim_cause(spark, d):
-    return ST.dim_cause(V(spark, d, cause=True))
+    return ST.dim_cause(visit_sums(spark, d, with_cause=True))
 
 
 @register("dim_time", "2.4", with_views(_dim_time_sql("visits_nc"), "visits_nc"))
 def q_dim_time(spark, d):
-    return ST.dim_time(V(spark, d))
+    return ST.dim_time(visit_sums(spark, d, "year", "week"))
 
 
 @register("dim_time_season", "2.4", with_views(_dim_time_season_sql("visits_nc"), "visits_nc"))
 def q_dim_time_season(spark, d):
-    return ST.dim_time_season(V(spark, d))
+    return ST.dim_time_season(visit_sums(spark, d, "year", "week"))
 
 
 @register("dim_establishment", "2.4", with_views("""
 SELECT DISTINCT estab_code, estab_label, region_code, commune_code, service_code
 FROM visits_nc WHERE estab_code IS NOT NULL""", "visits_nc"))
 def q_dim_establishment(spark, d):
-    return ST.dim_establishment(V(spark, d))
+    return ST.dim_establishment(visit_sums(spark, d))
 
 
 @register("dim_establishment_unique", "2.4", with_views(_ESTAB_UNIQUE_SQL, "visits_nc"))
 def q_dim_establishment_unique(spark, d):
-    return ST.dim_establishment_unique(V(spark, d))
+    return ST.dim_establishment_unique(visit_sums(spark, d))
 
 
 @register("dim_temperature", "2.4", with_views(f"""
@@ -102,7 +100,7 @@ FROM climate c
 WHERE CAST(year AS BIGINT) * 100 + week IN (SELECT time_id FROM dt)""", "visits_nc", "climate",
                                              extra={"dt": _dim_time_sql("visits_nc")}))
 def q_dim_temperature(spark, d):
-    return ST.dim_temperature(A.climate_weekly_mean_exact(readings(spark, d)), ST.dim_time(V(spark, d)))
+    return ST.dim_temperature(A.climate_weekly_mean_exact(readings(spark, d)), ST.dim_time(visit_sums(spark, d, "year", "week")))
 
 
 @register("dim_temperature_by_code", "2.4", with_views(f"""
@@ -115,7 +113,7 @@ def q_dim_temperature_by_code(spark, d):
 @register("time_key", "2.4", with_views("""
 SELECT DISTINCT year, week, CAST(year AS BIGINT) * 100 + week AS time_id FROM visits_nc""", "visits_nc"))
 def q_time_key(spark, d):
-    return V(spark, d).select("year", "week", time_key("year", "week").alias("time_id")).distinct()
+    return visit_sums(spark, d, "year", "week").select("year", "week", time_key("year", "week").alias("time_id")).distinct()
 
 
 def _climate_time_dim(spark, d):
@@ -128,7 +126,7 @@ SELECT * FROM fact_wec WHERE time_id NOT IN (
   SELECT DISTINCT CAST(year AS BIGINT) * 100 + week FROM climate)""", "fact_wec", "climate"))
 def q_fk_orphans_time(spark, d):
     """Fact rows whose week is missing from a time register built on the climate calendar."""
-    return ST.orphans(A.fact_week_estab_cause(V(spark, d, cause=True)), _climate_time_dim(spark, d), "time_id")
+    return ST.orphans(A.fact_week_estab_cause(visit_sums(spark, d, "year", "week", with_cause=True)), _climate_time_dim(spark, d), "time_id")
 
 
 @register("fk_orphans_establishment", "2.4", with_views("""
@@ -137,7 +135,7 @@ SELECT * FROM fact_wec WHERE estab_code NOT IN (SELECT s_suppkey FROM supplier W
 def q_fk_orphans_establishment(spark, d):
     """Fact rows whose establishment is missing from a register of solvent suppliers."""
     register_ = table(spark, d, "supplier").filter(F.col("s_acctbal") >= 0)
-    return ST.orphans(A.fact_week_estab_cause(V(spark, d, cause=True)), register_, "estab_code", "s_suppkey")
+    return ST.orphans(A.fact_week_estab_cause(visit_sums(spark, d, "year", "week", with_cause=True)), register_, "estab_code", "s_suppkey")
 
 
 @register("fk_orphans_cause", "2.4", with_views("""
@@ -147,7 +145,7 @@ def q_fk_orphans_cause(spark, d):
     """Fact rows whose cause is missing from a cause register that omits PROMO types."""
     from hebdo.sources.tables import cause_codes
     reg = cause_codes(spark, d).filter(~F.col("cause").startswith("PROMO"))
-    return ST.orphans(A.fact_week_estab_cause(V(spark, d, cause=True)), reg, "cause_code")
+    return ST.orphans(A.fact_week_estab_cause(visit_sums(spark, d, "year", "week", with_cause=True)), reg, "cause_code")
 
 
 @register("time_without_temperature", "2.4", with_views("""
@@ -155,7 +153,7 @@ SELECT * FROM dtv WHERE time_id NOT IN (SELECT DISTINCT CAST(year AS BIGINT) * 1
                                                         "visits_nc", "climate",
                                                         extra={"dtv": _dim_time_sql("visits_nc")}))
 def q_time_without_temperature(spark, d):
-    dt = ST.dim_time(V(spark, d))
+    dt = ST.dim_time(visit_sums(spark, d, "year", "week"))
     temp = ST.dim_temperature_by_code(A.climate_weekly_mean_exact(readings(spark, d)))
     return dt.join(temp.select("time_id").distinct(), "time_id", "left_anti")
 
@@ -168,7 +166,7 @@ FROM (SELECT year, week, lower(trim(region_label)) AS city, CAST(SUM(total) AS B
       FROM visits_nc WHERE year IS NOT NULL AND week IS NOT NULL AND region_label IS NOT NULL GROUP BY 1, 2, 3) c
 LEFT JOIN climate m ON c.year = m.year AND c.week = m.week AND c.city = m.city""", "visits_nc", "climate"))
 def q_cases_left_climate(spark, d):
-    out = J.cases_left_climate(A.cases_by_city_week(V(spark, d)), A.climate_weekly_mean_exact(readings(spark, d)))
+    out = J.cases_left_climate(A.cases_by_city_week(visit_sums(spark, d, "year", "week")), A.climate_weekly_mean_exact(readings(spark, d)))
     return out.withColumn("temperature", R(F.col("temperature")))
 
 
@@ -177,9 +175,7 @@ SELECT f.time_id, f.estab_code, u.estab_label, f.total, f.is_peak
 FROM fact_flag f LEFT JOIN ({_ESTAB_UNIQUE_SQL}) u ON f.estab_code = u.estab_code
 WHERE f.is_peak = 1""", "fact_flag", "visits_nc"))
 def q_peaks_left_names(spark, d):
-    v = V(spark, d)
-    flagged = A.with_peak_flag(establishment_week_fact(spark, d))
-    return J.peaks_left_names(flagged, ST.dim_establishment_unique(v))
+    return J.peaks_left_names(A.with_peak_flag(establishment_week_fact(spark, d)), estab_labels(spark, d))
 
 
 @register("fact_left_season", "2.5", with_views(f"""
@@ -187,8 +183,9 @@ SELECT f.time_id, f.estab_code, f.total, f.is_peak, s.season
 FROM fact_flag f LEFT JOIN ({_dim_time_season_sql('visits_nc')}) s ON f.time_id = s.time_id""",
                                                 "fact_flag", "visits_nc"))
 def q_fact_left_season(spark, d):
-    v = V(spark, d)
-    return J.fact_left_season(A.with_peak_flag(establishment_week_fact(spark, d)), ST.dim_time_season(v))
+    checkpoint_dir(spark)
+    fact = establishment_week_fact(spark, d).checkpoint()  # read by the flags and by the calendar: one scan of the lines
+    return J.fact_left_season(A.with_peak_flag(fact), ST.dim_time_season(fact))
 
 
 @register("climate_semi_time", "2.5", with_views(f"""
@@ -196,7 +193,7 @@ SELECT year, week, city, {r4('temperature')} AS temperature FROM climate
 WHERE CAST(year AS BIGINT) * 100 + week IN (SELECT DISTINCT time_id FROM visits_nc)""", "climate", "visits_nc"))
 def q_climate_semi_time(spark, d):
     c = A.climate_weekly_mean_exact(readings(spark, d))
-    out = J.climate_semi_time(c, ST.dim_time(V(spark, d)))
+    out = J.climate_semi_time(c, ST.dim_time(visit_sums(spark, d, "year", "week")))
     return out.select("year", "week", "city", R(F.col("temperature")).alias("temperature"))
 
 

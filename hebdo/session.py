@@ -7,6 +7,7 @@ as an argument.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 
@@ -14,10 +15,18 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, app: str = "hebdo",
-                  shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+    """A session with the settings this library expects.
+
+    ``shuffle_partitions`` is 8 on a local master; on a cluster its own setting stays unless a number is given.
+    """
     master = master or os.environ.get("HEBDO_MASTER", "local[*]")
-    b = (SparkSession.builder.master(master).appName(app)
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    b = SparkSession.builder.master(master).appName(app)
+    if shuffle_partitions is None and master.startswith("local"):
+        shuffle_partitions = 8
+    if shuffle_partitions is not None:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    b = (b
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -61,7 +70,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -75,7 +84,7 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
 
     sc = spark.sparkContext
-    key = id(sc._jsc)
+    key = sc.applicationId
     if key in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
@@ -88,5 +97,6 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(dirpath, f)
                     z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(path)
+    sc.addPyFile(path)  # the driver's file server reads it when an executor starts, so it stays until the driver ends
+    atexit.register(lambda: os.path.exists(path) and os.remove(path))
     _SHIPPED.add(key)

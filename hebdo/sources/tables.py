@@ -75,6 +75,12 @@ def establishments(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.lit("HS_"), (F.col("commune_code") % 3).cast("string")).alias("service_label")))
 
 
+def estab_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(estab_code, estab_label) from the supplier table itself: no line is read for a label."""
+    n = sizing.table_rows(spark, path_of(sf_dir, "supplier"))
+    return sizing.dimension(establishments(spark, sf_dir).select("estab_code", "estab_label"), n)
+
+
 def cause_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(cause, cause_code): dense rank of the cause name.
 
@@ -129,6 +135,48 @@ def visits(spark: SparkSession, sf_dir: str, with_cause: bool = True) -> DataFra
     return v.select(*cols, time_key("year", "week").alias("time_id"))
 
 
+#: Columns that a line item has by itself; all others of ``visits`` come from the establishment or the cause.
+_LINE = {"visit_ts": lambda: F.col("l_shipdate"), "age_group": lambda: F.col("l_returnflag"),
+         "year": lambda: iso_year("l_shipdate"), "week": lambda: iso_week("l_shipdate"),
+         "quantity": lambda: F.col("l_quantity").cast("bigint")}
+
+
+def visit_sums(spark: SparkSession, sf_dir: str, *by: str, with_cause: bool = False) -> DataFrame:
+    """``visits`` summed per (establishment, ``by``..., cause) *before* the establishment is joined.
+
+    ``by`` names columns of the line item itself (visit_ts, age_group, year, week, quantity). Each row stands for all
+    its visits, with their metrics summed and the least ``visit_id``, so sums, distinct values and
+    first rows over it equal those over ``visits``. Past the broadcast bound the join with the
+    establishments shuffles these sums, not line items. The cause needs the line's part: there each line meets its part
+    once (by shuffle past the bound), and is summed right after.
+    """
+    line = table(spark, sf_dir, "lineitem")
+    qty, flag = F.col("l_quantity").cast("bigint"), F.col("l_returnflag")
+    keys = [F.col("l_suppkey").alias("estab_code"), *[_LINE[c]().alias(c) for c in by]]
+    if with_cause:
+        parts = sizing.dimension(causes_by_part(spark, sf_dir), sizing.table_rows(spark, path_of(sf_dir, "part")))
+        line = line.join(parts, line.l_partkey == parts.p_partkey)
+        keys += [F.col("cause"), F.col("cause_code")]
+    band = lambda f: F.sum(F.when(flag == f, qty).otherwise(F.lit(0).cast("bigint"))).alias(f"band_{f.lower()}")
+    sums = line.filter(F.col("l_suppkey").isNotNull()).groupBy(*keys).agg(
+        F.sum(qty).alias("total"), band("A"), band("N"), band("R"),
+        F.min(F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("visit_id"))
+    n_supp = sizing.table_rows(spark, path_of(sf_dir, "supplier"))
+    out = sums.join(sizing.dimension(establishments(spark, sf_dir), n_supp), "estab_code")
+    return out.withColumn("time_id", time_key("year", "week")) if {"year", "week"} <= set(by) else out
+
+
+def first_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visit of the least id of each (establishment, cause), with the establishment joined to these rows only."""
+    line = table(spark, sf_dir, "lineitem").filter(F.col("l_suppkey").isNotNull())
+    parts = sizing.dimension(causes_by_part(spark, sf_dir), sizing.table_rows(spark, path_of(sf_dir, "part")))
+    one = F.struct((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("visit_id"), F.col("l_quantity").cast("bigint").alias("total"))
+    first = (line.join(parts, line.l_partkey == parts.p_partkey).groupBy(F.col("l_suppkey").alias("estab_code"), "cause", "cause_code")
+             .agg(F.min(one).alias("v")).select("estab_code", "cause", "cause_code", "v.*"))
+    n_supp = sizing.table_rows(spark, path_of(sf_dir, "supplier"))
+    return first.join(sizing.dimension(establishments(spark, sf_dir), n_supp), "estab_code")
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Temperature-reading analogue: (reading_ts, city, temperature)."""
     o = table(spark, sf_dir, "orders")

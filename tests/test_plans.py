@@ -55,3 +55,52 @@ def test_dimension_beyond_bound_is_shuffled_not_broadcast(spark):
     # within the bound the same dimensions are broadcast
     p = physical(E.queries()["fact_week_estab_cause"](spark, SF_SMALL))
     assert any(scans(b, "supplier") for b in broadcast_subtrees(p))
+
+
+SUMMED = ["cases_by_date", "cases_by_year_week", "cases_by_commune", "cases_by_age_group", "cases_by_establishment", "top_communes",
+          "year_week_heatmap", "cases_by_week_of_year", "cases_by_city_week", "lag_correlation", "peak_alert_report", "peaks_left_names",
+          "dim_time", "dim_commune", "normalize_key_text", "linear_trend", "label_year_week"]
+
+
+def _raw_exchanges(plan):
+    """Exchanges of line items that no aggregate has reduced."""
+    def below(node):
+        if "Aggregate" in node.nodeName() or "Exchange" in node.nodeName():
+            return []
+        children = node.children()
+        return [node] + [x for i in range(children.size()) for x in below(children.apply(i))]
+
+    out = []
+    for n in _nodes(plan):
+        if "Exchange" in n.nodeName():
+            under = [x for i in range(n.children().size()) for x in below(n.children().apply(i))]
+            if any("lineitem.parquet" in x.toString() and "Scan" in x.nodeName() for x in under):
+                out.append(n)
+    return out
+
+
+@pytest.mark.parametrize("name", SUMMED)
+def test_past_the_bound_line_items_are_summed_before_any_shuffle(spark, name):
+    spark.conf.set("hebdo.broadcast.maxRows", "0")
+    try:
+        p = physical(E.queries()[name](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("hebdo.broadcast.maxRows")
+    assert _raw_exchanges(p) == []
+
+
+@pytest.mark.parametrize("name", ["fact_week_estab_cause", "cases_by_cause", "dim_cause", "dedupe_by_key", "dedupe_rows", "fk_orphans_cause"])
+def test_past_the_bound_line_items_move_once_for_their_cause(spark, name):
+    spark.conf.set("hebdo.broadcast.maxRows", "0")
+    try:
+        p = physical(E.queries()[name](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("hebdo.broadcast.maxRows")
+    assert len(_raw_exchanges(p)) == 1
+
+
+@pytest.mark.parametrize("name", ["peak_alert_report", "peaks_left_names", "fact_left_season", "row_col_counts"])
+def test_line_items_are_scanned_once(spark, name):
+    """The checkpointed queries read the lines while they are built; their plans hold no scan of them."""
+    p = physical(E.queries()[name](spark, SF_SMALL))
+    assert len(scans(p, "lineitem")) == (0 if name in ("fact_left_season", "row_col_counts") else 1)
