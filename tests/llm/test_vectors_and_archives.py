@@ -68,6 +68,34 @@ def test_rare_links_are_all_found_when_the_search_misses_them(spark, monkeypatch
         assert sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in got) == want
 
 
+def test_large_labels_are_never_compared_pair_by_pair(spark, monkeypatch):
+    """One linked vector in hundreds, labels beyond the bound: NN-descent alone gives the whole result, and says its recall."""
+    rng = np.random.default_rng(11)
+    rows = [(i, [float(c) for c in rng.standard_normal(16)], int(i % 2)) for i in range(1400)]
+    rows += [(5000 + i, [c * (1 + 0.01 * (k % 3)) for k, c in enumerate(rows[i][1])], rows[i][2]) for i in range(0, 1400, 350)]
+    want = sorted(brute(rows))
+    monkeypatch.setattr(nn, "EXACT_ROWS", 100)
+    monkeypatch.setattr(nn, "exact_edges", lambda *_: pytest.fail("all pairs of a large label"))
+    got = nn.near_duplicates(spark.createDataFrame(rows, VECTORS)).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in got) == want
+    assert got[0]["audit_recall"] == 1.0 and sum(r["n_links"] for r in got) == 8
+
+
+def test_a_recall_below_the_floor_fails(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    base = [[float(c) for c in rng.standard_normal(16)] for _ in range(150)]
+    rows = [(i, v, 1) for i, v in enumerate(base)] + [(1000 + i, [c * (1 + 0.01 * (k % 3)) for k, c in enumerate(v)], 1) for i, v in enumerate(base)]
+    for name, value in (("EXACT_ROWS", 100), ("FLOOR", 1.1), ("STARTS", 1)):
+        monkeypatch.setattr(nn, name, value)
+    with pytest.raises(RuntimeError, match="links audited"):
+        nn.near_duplicates(spark.createDataFrame(rows, VECTORS)).collect()
+
+
+def test_very_small_and_large_components_keep_their_direction():
+    x = nn.unit([np.array(v, "f8").tobytes() for v in ([1e-200, 2e-200], [1e200, 2e200], [1.0, 2.0])], "f8")
+    assert np.allclose(x @ x.T, 1)
+
+
 def test_audit_without_links_reports_no_recall(spark):
     rows = [(i, [float(i == k) for k in range(12)], 1) for i in range(12)]
     got = nn.near_duplicates(spark.createDataFrame(rows, VECTORS)).collect()
