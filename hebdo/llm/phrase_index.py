@@ -9,8 +9,10 @@ frequent term's postings are spread over all blocks and building shuffles nothin
 ``search`` sends the benchmark phrases to the blocks. In each block a phrase
 starts from its rarest term: that list, less the term's offset, gives the
 candidate starts, which are intersected with the other lists, rarest first,
-until none is left. ``proximity`` finds all terms of an item, in any order,
-within a number of words of each other, again from the rarest list.
+until none is left. With ``within``, it also finds the items whose terms all stand near each other, in any
+order: around a position of the item's rarest term every other one must occur within that many
+words, in the same document. Rarest is the term of the fewest postings in the whole index
+(ties: the smaller term), so the matches do not depend on how documents fall into blocks.
 
 The phrases are broadcast in chunks of at most ``CHUNK_WORDS`` words, so a
 benchmark of any size is searched chunk after chunk.
@@ -136,57 +138,66 @@ def phrase_starts(phrase: tuple, lists: dict[str, np.ndarray]) -> np.ndarray:
     return starts
 
 
-def near_starts(terms: list[str], lists: dict[str, np.ndarray], within: int, bounds: np.ndarray) -> np.ndarray:
-    """Positions of the rarest term around which every other occurs, within ``within`` words and in the document."""
-    terms = sorted(set(terms), key=lambda t: len(lists[t]))
-    base = lists[terms[0]]
+def near_starts(anchor: str, others: list[str], lists: dict[str, np.ndarray], within: int, bounds: np.ndarray) -> np.ndarray:
+    """Positions of ``anchor`` around which every other term occurs, within ``within`` words and in the document."""
+    base = lists[anchor]
     doc = np.searchsorted(bounds, base, side="right") - 1
     low = np.maximum(base - within, bounds[doc])
     high = np.minimum(base + within, np.append(bounds[1:], np.iinfo(np.int32).max)[doc] - 1)
-    ok = np.ones(len(base), bool)
-    for t in terms[1:]:
+    for t in others:
         have = lists[t]
-        ok &= np.searchsorted(have, high, side="right") > np.searchsorted(have, low)
-    return base[ok]
+        ok = np.searchsorted(have, high, side="right") > np.searchsorted(have, low)
+        base, low, high = base[ok], low[ok], high[ok]
+        if not len(base):
+            break
+    return base
 
 
-RESULT = "doc_id long, key string, n_words long, hits array<int>, items array<string>"
+RESULT = "doc_id long, key string, n_words long, hits array<int>, items array<string>, near_items array<string>, n_near long"
 
 
 def search(index: tuple[DataFrame, DataFrame], benchmark: DataFrame, window: int = WINDOW,
-           chunk_words: int = CHUNK_WORDS) -> DataFrame:
-    """Per document: positions hit by exact matches of item windows, and the items found."""
-    return _in_chunks(index, benchmark, chunk_words, lambda items: windows(items, window), None)
-
-
-def proximity(index: tuple[DataFrame, DataFrame], benchmark: DataFrame, within: int,
-              chunk_words: int = CHUNK_WORDS) -> DataFrame:
-    """Per document: positions of each item's rarest term that have all its other terms within ``within`` words."""
-    return _in_chunks(index, benchmark, chunk_words, lambda items: windows(items, 1 << 30), within)
-
-
-def _in_chunks(index, benchmark, chunk_words, phrases_of, within) -> DataFrame:
-    spark = index[0].sparkSession
-    parts = [_search(index, phrases_of(c), within) for c in chunks(benchmark, chunk_words)]
+           chunk_words: int = CHUNK_WORDS, within: int | None = None) -> DataFrame:
+    """Per document: positions hit by exact matches of item windows, the items found, and with
+    ``within`` the items found near and the number of their (item, position) matches."""
+    parts = [_search(index, c, window, within) for c in chunks(benchmark, chunk_words)]
     if not parts:
-        return index[1].select("doc_id", "key", "n_words", F.array().cast("array<int>").alias("hits"),
-                               F.array().cast("array<string>").alias("items"))
+        none = [F.array().cast(t).alias(c) for c, t in (("hits", "array<int>"), ("items", "array<string>"), ("near_items", "array<string>"))]
+        return index[1].select("doc_id", "key", "n_words", *none, F.lit(0).cast("long").alias("n_near"))
     if len(parts) == 1:
         return parts[0].drop("block", "start")
     table = parts[0]
     for p in parts[1:]:
         table = table.unionByName(p)
-    whole = lambda c, of: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(of)
-    return (table.groupBy("block", "start", "doc_id", "key", "n_words").agg(whole("hits", "hits"), whole("items", "items"))
-            .drop("block", "start"))
+    whole = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
+    return (table.groupBy("block", "start", "doc_id", "key", "n_words")
+            .agg(whole("hits"), whole("items"), whole("near_items"), F.sum("n_near").alias("n_near")).drop("block", "start"))
+
 
+def proximity(index: tuple[DataFrame, DataFrame], benchmark: DataFrame, within: int,
+              chunk_words: int = CHUNK_WORDS) -> DataFrame:
+    """(doc_id, key, n_words, items, n_near): the proximity half of ``search`` alone."""
+    found = search(index, benchmark, 0, chunk_words, within)
+    return found.select("doc_id", "key", "n_words", F.col("near_items").alias("items"), "n_near")
 
-def _search(index: tuple[DataFrame, DataFrame], phrases: dict[tuple, set], within: int | None) -> DataFrame:
+
+def _search(index: tuple[DataFrame, DataFrame], items: list, window: int, within: int | None) -> DataFrame:
     spark = index[0].sparkSession
     postings, documents = index
-    vocabulary = sorted({t for p in phrases for t in p})
+    phrases = windows(items, window) if window else {}
+    bags = windows(items, 1 << 30) if within is not None else {}
+    vocabulary = sorted({t for p in (*phrases, *bags) for t in p})
     terms = F.broadcast(spark.createDataFrame([(t,) for t in vocabulary], "term string"))
-    shared = spark.sparkContext.broadcast([(p, sorted(map(str, v))) for p, v in phrases.items()])
+    wanted = postings.join(terms, "term", "left_semi")
+    near = []
+    if bags:
+        # one number for each term of the chunk
+        count = {r["term"]: r["n"] for r in wanted.groupBy("term").agg(F.sum(F.size("positions")).alias("n")).collect()}
+        for bag, names in bags.items():
+            order = sorted(set(bag), key=lambda t: (count.get(t, 0), t))
+            if count.get(order[0], 0):
+                near.append((order[0], order[1:], sorted(map(str, names))))
+    shared = spark.sparkContext.broadcast(([(p, sorted(map(str, v))) for p, v in phrases.items()], near))
 
     def run(_, left, right):
         import pandas as pd
@@ -195,31 +206,40 @@ def _search(index: tuple[DataFrame, DataFrame], phrases: dict[tuple, set], withi
         starts = docs["start"].to_numpy(np.int64)
         hits: dict[int, set] = {}
         items: dict[int, set] = {}
-        for phrase, names in shared.value:
+        around: dict[int, set] = {}
+        matches: dict[int, int] = {}
+        place = lambda found: (np.searchsorted(starts, found, side="right") - 1).tolist()
+        exact, near = shared.value
+        for phrase, names in exact:
             if any(t not in lists for t in phrase):
                 continue
-            if within is None:
-                found, width = phrase_starts(phrase, lists), len(phrase)
-            else:
-                found, width = near_starts(list(phrase), lists, within, starts), 1
-            for s, d in zip(found.tolist(), (np.searchsorted(starts, found, side="right") - 1).tolist()):
-                hits.setdefault(d, set()).update(range(s - int(starts[d]), s - int(starts[d]) + width))
+            found = phrase_starts(phrase, lists)
+            for s, d in zip(found.tolist(), place(found)):
+                hits.setdefault(d, set()).update(range(s - int(starts[d]), s - int(starts[d]) + len(phrase)))
                 items.setdefault(d, set()).update(names)
+        for anchor, others, names in near:
+            if anchor in lists and all(t in lists for t in others):
+                for d in place(near_starts(anchor, others, lists, within, starts)):
+                    around.setdefault(d, set()).update(names)
+                    matches[d] = matches.get(d, 0) + len(names)
         n = len(docs)
         docs["hits"] = [sorted(hits.get(i, ())) for i in range(n)]
         docs["items"] = [sorted(items.get(i, ())) for i in range(n)]
+        docs["near_items"] = [sorted(around.get(i, ())) for i in range(n)]
+        docs["n_near"] = [matches.get(i, 0) for i in range(n)]
         docs["doc_id"] = docs["doc_id"].astype("Int64")
-        return docs[["block", "start", "doc_id", "key", "n_words", "hits", "items"]]
+        return docs[["block", "start", "doc_id", "key", "n_words", "hits", "items", "near_items", "n_near"]]
 
-    wanted = postings.join(terms, "term", "left_semi")
     return (wanted.groupBy("block").cogroup(documents.groupBy("block"))
             .applyInPandas(run, f"block long, start long, {RESULT}"))
 
 
 def contamination(found: DataFrame) -> DataFrame:
-    """(doc_id, key, n_words, n_hit, n_items, items_sha256, contaminated) from ``search`` results."""
+    """(doc_id, key, n_words, n_hit, n_items, items_sha256, contaminated) from ``search`` results,
+    and of proximity matches (n_near, n_near_items, near_sha256)."""
     hit = F.size("hits").cast("long")
+    digest = lambda c: F.sha2(F.array_join(c, ","), 256)
     return found.select(
         "doc_id", "key", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        ((hit > 0) & (20 * hit >= F.col("n_words"))).alias("contaminated"))
+        digest("items").alias("items_sha256"), "n_near", F.size("near_items").cast("long").alias("n_near_items"),
+        digest("near_items").alias("near_sha256"), ((hit > 0) & (20 * hit >= F.col("n_words"))).alias("contaminated"))

@@ -36,7 +36,7 @@ def op3_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = phrase_index.build_index(read(spark, sf_dir, "documents"))
-    return phrase_index.contamination(phrase_index.search(index, read(spark, sf_dir, "benchmark"))).drop("key")
+    return phrase_index.contamination(phrase_index.search(index, read(spark, sf_dir, "benchmark"), within=50)).drop("key")
 
 
 def op5_chat_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,11 +134,27 @@ WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCD
      h AS (SELECT DISTINCT o.k, o.s, o.n, i.item FROM o JOIN i ON o.n = i.n AND o.phrase = i.phrase),
      p AS (SELECT k, count(DISTINCT q) AS n_hit FROM h, unnest(range(s, s + n)) AS t(q) GROUP BY k),
      z AS (SELECT k, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
-           FROM (SELECT DISTINCT k, item FROM h) GROUP BY k)
+           FROM (SELECT DISTINCT k, item FROM h) GROUP BY k),
+     bags AS (SELECT row_number() OVER () AS bag, item, w FROM (SELECT DISTINCT item, w FROM b WHERE len(w) > 0)),
+     terms AS (SELECT DISTINCT bag, unnest(w) AS t FROM bags),
+     spots AS (SELECT k, t, pos FROM (SELECT k, unnest(w) AS t, generate_subscripts(w, 1) AS pos FROM d)
+               WHERE t IN (SELECT t FROM terms)),
+     ranked AS (SELECT bag, t, coalesce(n, 0) AS n, row_number() OVER (PARTITION BY bag ORDER BY coalesce(n, 0), t) AS r,
+                       count(*) OVER (PARTITION BY bag) AS n_terms
+                FROM terms LEFT JOIN (SELECT t, count(*) AS n FROM spots GROUP BY t) USING (t)),
+     base AS (SELECT bag, t, n_terms, k, pos FROM ranked JOIN spots USING (t) WHERE r = 1),
+     nears AS (SELECT e.bag, e.k, e.pos FROM base e LEFT JOIN terms o ON o.bag = e.bag AND o.t <> e.t
+               LEFT JOIN spots q ON q.k = e.k AND q.t = o.t AND q.pos BETWEEN e.pos - 50 AND e.pos + 50
+               GROUP BY e.bag, e.k, e.pos, e.n_terms HAVING count(DISTINCT q.t) = e.n_terms - 1),
+     y AS (SELECT k, count(*) AS n_near FROM nears GROUP BY k),
+     x AS (SELECT k, count(*) AS n_near_items, string_agg(item, ',' ORDER BY item) AS near_names
+           FROM (SELECT DISTINCT k, item FROM nears JOIN bags USING (bag)) GROUP BY k)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
-FROM d LEFT JOIN p ON d.k = p.k LEFT JOIN z ON d.k = z.k""".replace("\\\\", "\\"),
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated,
+       CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, CAST(coalesce(n_near_items, 0) AS BIGINT) AS n_near_items,
+       sha256(coalesce(near_names, '')) AS near_sha256
+FROM d LEFT JOIN p ON d.k = p.k LEFT JOIN z ON d.k = z.k LEFT JOIN y ON d.k = y.k LEFT JOIN x ON d.k = x.k""".replace("\\\\", "\\"),
     "op11_fill_in_middle": """
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
      l AS (SELECT *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS u,

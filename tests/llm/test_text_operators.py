@@ -117,10 +117,44 @@ def test_contamination_matches_brute_force(spark, block_words, chunk_words):
     rows += [(200, f"before, {items[4][1].upper()}; after"), (201, items[3][1].replace(" ", "-"))]
     bench = spark.createDataFrame(items, "item_id long, text string")
     index = ph.build_index(docs(spark, rows, clash=True), block_words)
-    got = ph.contamination(ph.search(index, bench, chunk_words=chunk_words)).drop("key").collect()
+    got = ph.contamination(ph.search(index, bench, chunk_words=chunk_words)).drop("key", "n_near", "n_near_items", "near_sha256").collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute_contamination(rows, items)))
 
 
+def brute_near(rows, items, within):
+    word = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    cut = lambda t: [x.decode() for x in word.findall(t.encode().lower())] if t else []
+    texts = [cut(t) for _, t in rows]
+    count = collections.Counter(w for t in texts for w in t)
+    bags = {(i, tuple(cut(t))) for i, t in items if i is not None and cut(t)}
+    out = []
+    for (d, _), w in zip(rows, texts):
+        found, n = set(), 0
+        for i, p in bags:
+            first, *others = sorted(set(p), key=lambda t: (count[t], t))
+            for k in (k for k, x in enumerate(w) if x == first):
+                if set(others) <= set(w[max(0, k - within):k + within + 1]):
+                    found.add(str(i))
+                    n += 1
+        out.append((d, sorted(found), n))
+    return out
+
+
+@pytest.mark.parametrize("block_words,chunk_words,within", [(400_000, 2_000_000, 3), (40, 2_000_000, 6), (40, 15, 1)])
+def test_proximity_matches_brute_force(spark, block_words, chunk_words, within):
+    rng = random.Random(9)
+    vocab = ["the", "of", "Ünd", "Ä", "x1", "rare", "odd"]
+    rows = [(i, " ".join(rng.choices(vocab, (9, 9, 5, 5, 3, 1, 1), k=rng.randrange(40)))) for i in range(80)] + edge_rows()
+    items = [(i, " ".join(rng.choices(vocab, k=rng.randint(1, 4)))) for i in range(25)]
+    items += [(3, "the OF"), (None, "the"), (30, None), (31, "!"), (32, "absent the"), (33, "the the of"), (34, "of the")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    if chunk_words < 100:  # the rarest term is counted over the whole index whatever the chunk
+        assert len(list(ph.chunks(bench, chunk_words))) > 1
+    got = ph.proximity(ph.build_index(docs(spark, rows, clash=True), block_words), bench, within, chunk_words).collect()
+    key = lambda r: str(r)
+    assert sorted(((r["doc_id"], r["items"], r["n_near"]) for r in got), key=key) == sorted(brute_near(rows, items, within), key=key)
+
+
 def test_proximity_and_empty_tables(spark):
     rows = [(1, "alpha x x beta"), (2, "beta x alpha"), (3, "alpha x x x x x beta"), (4, "alpha"), (5, "x beta alpha")]
     bench = spark.createDataFrame([(1, "alpha beta")], "item_id long, text string")
