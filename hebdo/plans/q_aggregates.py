@@ -8,7 +8,7 @@ from hebdo.operators import aggregates as A
 from hebdo.operators import series as S
 from hebdo.plans.registry import register
 from hebdo.plans.sqlviews import r4, with_views
-from hebdo.sources.tables import establishment_week_fact, readings, visit_sums, visits
+from hebdo.sources.tables import cause_week_fact, establishment_week_fact, readings, visit_sums, visits
 
 
 def V(spark, d, cause=False):
@@ -122,7 +122,7 @@ def q_cases_by_city_week(spark, d):
 
 @register("fact_week_estab_cause", "2.3", with_views("SELECT * FROM fact_wec", "fact_wec"))
 def q_fact_week_estab_cause(spark, d):
-    return A.fact_week_estab_cause(visit_sums(spark, d, "year", "week", with_cause=True))
+    return cause_week_fact(spark, d)
 
 
 @register("fact_week_estab", "2.3", with_views("SELECT * FROM fact_we", "fact_we"))

@@ -15,7 +15,7 @@ from hebdo.plans.registry import register
 from hebdo.plans.sqlviews import iso_monday_sql, r4, week_bin_sql, with_views
 from hebdo.session import checkpoint_dir
 from hebdo.sources import files as FS
-from hebdo.sources.tables import first_visits, readings, table, visit_sums, visits
+from hebdo.sources.tables import cause_week_fact, first_visits, readings, table, visit_sums, visits
 
 # raw header -> internal column of the visit analogue (messy on purpose: BOM,
 # padding, mixed case, numbers as text, one unparsable count value)
@@ -249,7 +249,7 @@ def q_row_col_counts(spark, d):
 @register("head_preview", "2.1", with_views("""
 SELECT * FROM fact_wec ORDER BY time_id, estab_code, cause_code LIMIT 10""", "fact_wec"))
 def q_head_preview(spark, d):
-    return FS.head_preview(A.fact_week_estab_cause(visit_sums(spark, d, "year", "week", with_cause=True)),
+    return FS.head_preview(cause_week_fact(spark, d),
                            ["time_id", "estab_code", "cause_code"], 10)
 
 
@@ -272,7 +272,7 @@ def q_read_delimited(spark, d):
 def q_write_table(spark, d):
     """Fact table written as parquet (overwrite) and read back."""
     path = FS.scratch_path(spark, "fact_week_estab_cause")
-    FS.write_table(A.fact_week_estab_cause(visit_sums(spark, d, "year", "week", with_cause=True)), path)
+    FS.write_table(cause_week_fact(spark, d), path)
     return spark.read.parquet(path)
 
 

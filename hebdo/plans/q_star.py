@@ -13,7 +13,7 @@ from hebdo.operators import star as ST
 from hebdo.plans.registry import register
 from hebdo.plans.sqlviews import r4, with_views
 from hebdo.session import checkpoint_dir
-from hebdo.sources.tables import (estab_labels, establishment_week_fact, establishments, readings, table,
+from hebdo.sources.tables import (cause_week_fact, estab_labels, establishment_week_fact, establishments, readings, table,
                                   visit_sums)
 
 
@@ -126,7 +126,7 @@ SELECT * FROM fact_wec WHERE time_id NOT IN (
   SELECT DISTINCT CAST(year AS BIGINT) * 100 + week FROM climate)""", "fact_wec", "climate"))
 def q_fk_orphans_time(spark, d):
     """Fact rows whose week is missing from a time register built on the climate calendar."""
-    return ST.orphans(A.fact_week_estab_cause(visit_sums(spark, d, "year", "week", with_cause=True)), _climate_time_dim(spark, d), "time_id")
+    return ST.orphans(cause_week_fact(spark, d), _climate_time_dim(spark, d), "time_id")
 
 
 @register("fk_orphans_establishment", "2.4", with_views("""
@@ -135,7 +135,7 @@ SELECT * FROM fact_wec WHERE estab_code NOT IN (SELECT s_suppkey FROM supplier W
 def q_fk_orphans_establishment(spark, d):
     """Fact rows whose establishment is missing from a register of solvent suppliers."""
     register_ = table(spark, d, "supplier").filter(F.col("s_acctbal") >= 0)
-    return ST.orphans(A.fact_week_estab_cause(visit_sums(spark, d, "year", "week", with_cause=True)), register_, "estab_code", "s_suppkey")
+    return ST.orphans(cause_week_fact(spark, d), register_, "estab_code", "s_suppkey")
 
 
 @register("fk_orphans_cause", "2.4", with_views("""
@@ -145,7 +145,7 @@ def q_fk_orphans_cause(spark, d):
     """Fact rows whose cause is missing from a cause register that omits PROMO types."""
     from hebdo.sources.tables import cause_codes
     reg = cause_codes(spark, d).filter(~F.col("cause").startswith("PROMO"))
-    return ST.orphans(A.fact_week_estab_cause(visit_sums(spark, d, "year", "week", with_cause=True)), reg, "cause_code")
+    return ST.orphans(cause_week_fact(spark, d), reg, "cause_code")
 
 
 @register("time_without_temperature", "2.4", with_views("""

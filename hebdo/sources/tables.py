@@ -166,6 +166,13 @@ def visit_sums(spark: SparkSession, sf_dir: str, *by: str, with_cause: bool = Fa
     return out.withColumn("time_id", time_key("year", "week")) if {"year", "week"} <= set(by) else out
 
 
+def cause_week_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fact_week_estab_cause`` over ``visits``: the weekly sums are its rows already, so they are not grouped again."""
+    v = visit_sums(spark, sf_dir, "year", "week", with_cause=True).dropna(subset=["year", "week", "estab_code", "cause_code"])
+    long = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("total", "band_a", "band_n", "band_r")]
+    return v.select("time_id", "estab_code", "cause_code", *long)
+
+
 def first_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The visit of the least id of each (establishment, cause), with the establishment joined to these rows only."""
     line = table(spark, sf_dir, "lineitem").filter(F.col("l_suppkey").isNotNull())
