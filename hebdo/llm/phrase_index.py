@@ -6,21 +6,25 @@ of the term in the block's word stream (documents are laid end to end with a
 gap between them), and per document its start and length. Blocks never meet, so a
 frequent term's postings are spread over all blocks and building shuffles nothing.
 
-``search`` sends the benchmark phrases to the blocks. In each block a phrase
-starts from its rarest term: that list, less the term's offset, gives the
+``search`` cuts the benchmark into phrases, counts their terms over the index and joins the rarest
+term of each to the postings, so a block meets only the phrases whose rarest term it holds. There a phrase
+starts from a rare term: that list, less the term's offset, gives the
 candidate starts, which are intersected with the other lists, rarest first,
 until none is left. With ``within``, it also finds the items whose terms all stand near each other, in any
 order: around a position of the item's rarest term every other one must occur within that many
 words, in the same document. Rarest is the term of the fewest postings in the whole index
 (ties: the smaller term), so the matches do not depend on how documents fall into blocks.
 
-The phrases are broadcast in chunks of at most ``CHUNK_WORDS`` words, so a
-benchmark of any size is searched chunk after chunk.
+The phrases are dealt to slices of about ``CHUNK_WORDS`` words by a hash of their first item, and a task
+takes one block and one slice, so its memory does not grow with the benchmark. They are broadcast only where there is
+one slice. Nothing of the benchmark passes through the driver but the number of its words.
 
 Words: A-Z lower-cased, then runs of letters, digits and non-ASCII characters.
 Defined results: null, empty and word-free texts have no words, no hits and are
 not contaminated; null or word-free items match nothing; null item ids are left out.
-Equal items each count; repeated document rows each give a row.
+Equal items each count; repeated document rows each give a row. An empty index gives no rows and an empty
+benchmark no hits. A very long text is one block, a very long item many phrases. Only doc_id and text, item_id and text
+are read, so extra columns of any name do no harm.
 """
 
 from __future__ import annotations
@@ -29,11 +33,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hebdo.llm.common import stage, with_workers
+from hebdo.llm.common import small_side, stage, with_workers
 
 WINDOW = 13
 BLOCK_WORDS = 400_000
 CHUNK_WORDS = 2_000_000
+#: Phrases in one Arrow batch of the cut benchmark.
+CUT_ROWS = 10_000
 #: Byte table of the word rule: capitals to small letters, separators to blanks.
 TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
 
@@ -100,31 +106,44 @@ def build_index(docs: DataFrame, block_words: int = BLOCK_WORDS) -> tuple[DataFr
             table.filter("term is null").select(*fresh("block", "doc_id", "key", "start", "n_words")))
 
 
-def windows(items, size: int = WINDOW) -> dict[tuple, set]:
-    """phrase -> item ids: every run of ``size`` words, or the whole item where it has fewer."""
-    found: dict[tuple, set] = {}
-    for item, text in items:
-        w = [x.decode("utf-8", "replace") for x in words_of(text)]
-        for i in range(max(1, len(w) - size + 1) if w else 0):
-            found.setdefault(tuple(w[i:i + size]), set()).add(item)
-    return found
+def cut_phrases(benchmark: DataFrame, window: int = WINDOW, within: int | None = None) -> DataFrame:
+    """(near, phrase, items), staged: every run of ``window`` words of an item, or the whole item where it has fewer,
+    and with ``within`` also each whole item (``near``). Words are joined by blanks; equal phrases share a row."""
+    with_workers(benchmark.sparkSession)
 
-
-def chunks(benchmark: DataFrame, most_words: int):
-    """Lists of (item_id, text) of at most about ``most_words`` words, streamed in item order."""
-    rows = benchmark.filter("item_id is not null and text is not null").select("item_id", "text").orderBy("item_id", "text")
-    part, n = [], 0
-    for r in rows.toLocalIterator():
-        part.append((r["item_id"], r["text"]))
-        n += len(r["text"]) // 2 + 1
-        if n >= most_words:
-            yield part
-            part, n = [], 0
-    if part:
-        yield part
-
-
-def phrase_starts(phrase: tuple, lists: dict[str, np.ndarray]) -> np.ndarray:
+    def run(batches):
+        import pyarrow as pa
+        for batch in batches:
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = [w.decode("utf-8", "replace") for w in words_of(text)]
+                if not words:
+                    continue
+                last = max(0, len(words) - window) if window else -1
+                for at in range(0, last + 1, CUT_ROWS):
+                    found = [" ".join(words[i:i + window]) for i in range(at, min(at + CUT_ROWS, last + 1))]
+                    yield pa.RecordBatch.from_pydict({"near": [False] * len(found), "phrase": found, "item": [item] * len(found)})
+                if within is not None:
+                    yield pa.RecordBatch.from_pydict({"near": [True], "phrase": [" ".join(words)], "item": [item]})
+
+    source = (benchmark.filter("item_id is not null and text is not null")
+              .select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text")))
+    cut = source.mapInArrow(run, "near boolean, phrase string, item string")
+    return stage(cut.groupBy("near", "phrase").agg(F.array_sort(F.collect_set("item")).alias("items")), "phrases")
+
+
+def ranked_phrases(postings: DataFrame, phrases: DataFrame) -> DataFrame:
+    """(near, phrase, items, term), staged: the phrases all of whose words the index holds, with their rarest word."""
+    words = F.array_distinct(F.split("phrase", " "))
+    spelled = phrases.select("near", "phrase", "items", F.explode(words).alias("term"))
+    vocabulary = stage(spelled.select("term").distinct(), "phrase-words")
+    counts = stage(postings.join(small_side(vocabulary), "term", "left_semi")
+                   .groupBy("term").agg(F.sum(F.size("positions")).alias("n")), "phrase-word-counts")
+    ranked = (spelled.join(small_side(counts), "term").groupBy("near", "phrase")
+              .agg(F.first("items").alias("items"), F.min(F.struct("n", "term"))["term"].alias("term"), F.count(F.lit(1)).alias("n")))
+    return stage(ranked.filter(F.col("n") == F.size(words)).drop("n"), "phrases-ranked")
+
+
+def phrase_starts(phrase: list[str], lists: dict[str, np.ndarray]) -> np.ndarray:
     """Starts of exact matches: lists less their offset, intersected from the rarest term on."""
     order = sorted(range(len(phrase)), key=lambda i: len(lists[phrase[i]]))
     starts = lists[phrase[order[0]]] - order[0]
@@ -160,15 +179,17 @@ def search(index: tuple[DataFrame, DataFrame], benchmark: DataFrame, window: int
            chunk_words: int = CHUNK_WORDS, within: int | None = None) -> DataFrame:
     """Per document: positions hit by exact matches of item windows, the items found, and with
     ``within`` the items found near and the number of their (item, position) matches."""
-    parts = [_search(index, c, window, within) for c in chunks(benchmark, chunk_words)]
-    if not parts:
+    postings, documents = index
+    phrases = ranked_phrases(postings, cut_phrases(benchmark, window, within))
+    words = phrases.agg(F.sum(F.size(F.split("phrase", " ")) + F.size("items"))).first()[0]
+    if not words:
         none = [F.array().cast(t).alias(c) for c, t in (("hits", "array<int>"), ("items", "array<string>"), ("near_items", "array<string>"))]
-        return index[1].select("doc_id", "key", "n_words", *none, F.lit(0).cast("long").alias("n_near"))
-    if len(parts) == 1:
-        return parts[0].drop("block", "start")
-    table = parts[0]
-    for p in parts[1:]:
-        table = table.unionByName(p)
+        return documents.select("doc_id", "key", "n_words", *none, F.lit(0).cast("long").alias("n_near"))
+    n = -(-words // chunk_words)
+    phrases = phrases.withColumn("slice", F.pmod(F.xxhash64(F.col("items")[0]), F.lit(n)).cast("int"))
+    table = _search(postings, documents, phrases, n, within)
+    if n == 1:
+        return table.drop("block", "start")
     whole = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
     return (table.groupBy("block", "start", "doc_id", "key", "n_words")
             .agg(whole("hits"), whole("items"), whole("near_items"), F.sum("n_near").alias("n_near")).drop("block", "start"))
@@ -181,27 +202,23 @@ def proximity(index: tuple[DataFrame, DataFrame], benchmark: DataFrame, within:
     return found.select("doc_id", "key", "n_words", F.col("near_items").alias("items"), "n_near")
 
 
-def _search(index: tuple[DataFrame, DataFrame], items: list, window: int, within: int | None) -> DataFrame:
-    spark = index[0].sparkSession
-    postings, documents = index
-    phrases = windows(items, window) if window else {}
-    bags = windows(items, 1 << 30) if within is not None else {}
-    vocabulary = sorted({t for p in (*phrases, *bags) for t in p})
-    terms = F.broadcast(spark.createDataFrame([(t,) for t in vocabulary], "term string"))
-    wanted = postings.join(terms, "term", "left_semi")
-    near = []
-    if bags:
-        # one number for each term of the chunk
-        count = {r["term"]: r["n"] for r in wanted.groupBy("term").agg(F.sum(F.size("positions")).alias("n")).collect()}
-        for bag, names in bags.items():
-            order = sorted(set(bag), key=lambda t: (count.get(t, 0), t))
-            if count.get(order[0], 0):
-                near.append((order[0], order[1:], sorted(map(str, names))))
-    shared = spark.sparkContext.broadcast(([(p, sorted(map(str, v))) for p, v in phrases.items()], near))
+def _search(postings: DataFrame, documents: DataFrame, phrases: DataFrame, n: int, within: int | None) -> DataFrame:
+    """Matches by (block, slice): the phrases whose rarest word the block holds meet the block's lists of their words."""
+    vocabulary = stage(phrases.select("slice", F.explode(F.split("phrase", " ")).alias("term")).distinct(), "phrase-lists")
+    lists = postings.join(small_side(vocabulary), "term").select(
+        "block", "slice", "term", "positions", F.lit(None).cast("boolean").alias("near"),
+        F.lit(None).cast("string").alias("phrase"), F.lit(None).cast("array<string>").alias("items"))
+    # one slice holds at most chunk_words words, which bounds the side sent to all executors
+    anchors = F.broadcast(phrases) if n == 1 else phrases
+    live = postings.select("block", "term").join(anchors, "term").select(
+        "block", "slice", "term", F.lit(None).cast("array<int>").alias("positions"), "near", "phrase", "items")
+    sliced = documents.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
 
     def run(_, left, right):
         import pandas as pd
-        lists = {t: np.asarray(p, np.int32) for t, p in zip(left["term"], left["positions"])}
+        is_list = left["phrase"].isna()
+        lists = {t: np.asarray(p, np.int32) for t, p in zip(left["term"][is_list], left["positions"][is_list])}
+        live = left[~is_list]
         docs = right.sort_values("start", kind="stable").reset_index(drop=True)
         starts = docs["start"].to_numpy(np.int64)
         hits: dict[int, set] = {}
@@ -209,28 +226,28 @@ def _search(index: tuple[DataFrame, DataFrame], items: list, window: int, within
         around: dict[int, set] = {}
         matches: dict[int, int] = {}
         place = lambda found: (np.searchsorted(starts, found, side="right") - 1).tolist()
-        exact, near = shared.value
-        for phrase, names in exact:
-            if any(t not in lists for t in phrase):
+        for rarest, near, phrase, names in zip(live["term"], live["near"], live["phrase"], live["items"]):
+            words = phrase.split(" ")
+            if any(t not in lists for t in words):
                 continue
-            found = phrase_starts(phrase, lists)
-            for s, d in zip(found.tolist(), place(found)):
-                hits.setdefault(d, set()).update(range(s - int(starts[d]), s - int(starts[d]) + len(phrase)))
-                items.setdefault(d, set()).update(names)
-        for anchor, others, names in near:
-            if anchor in lists and all(t in lists for t in others):
-                for d in place(near_starts(anchor, others, lists, within, starts)):
+            if near:
+                for d in place(near_starts(rarest, sorted(set(words) - {rarest}, key=lambda t: len(lists[t])), lists, within, starts)):
                     around.setdefault(d, set()).update(names)
                     matches[d] = matches.get(d, 0) + len(names)
-        n = len(docs)
-        docs["hits"] = [sorted(hits.get(i, ())) for i in range(n)]
-        docs["items"] = [sorted(items.get(i, ())) for i in range(n)]
-        docs["near_items"] = [sorted(around.get(i, ())) for i in range(n)]
-        docs["n_near"] = [matches.get(i, 0) for i in range(n)]
+                continue
+            found = phrase_starts(words, lists)
+            for s, d in zip(found.tolist(), place(found)):
+                hits.setdefault(d, set()).update(range(s - int(starts[d]), s - int(starts[d]) + len(words)))
+                items.setdefault(d, set()).update(names)
+        size = len(docs)
+        docs["hits"] = [sorted(hits.get(i, ())) for i in range(size)]
+        docs["items"] = [sorted(items.get(i, ())) for i in range(size)]
+        docs["near_items"] = [sorted(around.get(i, ())) for i in range(size)]
+        docs["n_near"] = [matches.get(i, 0) for i in range(size)]
         docs["doc_id"] = docs["doc_id"].astype("Int64")
         return docs[["block", "start", "doc_id", "key", "n_words", "hits", "items", "near_items", "n_near"]]
 
-    return (wanted.groupBy("block").cogroup(documents.groupBy("block"))
+    return (lists.unionByName(live).groupBy("block", "slice").cogroup(sliced.groupBy("block", "slice"))
             .applyInPandas(run, f"block long, start long, {RESULT}"))
 
 
