@@ -243,8 +243,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         "class", "n_class", "class_id", F.coalesce("far", F.lit(0)).alias("far"),
         F.coalesce("component", classes["class"]).alias("component")).filter("far > 0 or n_class > 1"), "near-classes")
     order = F.struct(F.col("class_id").isNull().alias("none"), "class_id", "class")
-    best = table.groupBy("component").agg(F.min(order).alias("b"))
-    return stage(table.join(best, "component").select(
+    # staged, so that its join is by broadcast or has shuffles of its own, which AQE splits where one component is large
+    best = stage(table.groupBy("component").agg(F.min(order).alias("b")), "near-best")
+    return stage(table.join(small_side(best), "component").select(
         "class", "n_class", "class_id", (F.col("far") + F.col("n_class") - 1).alias("n_links"),
         F.col("b.class_id").alias("component_id"), F.col("b.class").alias("best")), "near-duplicates")
 
