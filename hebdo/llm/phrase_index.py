@@ -15,7 +15,7 @@ order: around a position of the item's rarest term every other one must occur wi
 words, in the same document. Rarest is the term of the fewest postings in the whole index
 (ties: the smaller term), so the matches do not depend on how documents fall into blocks.
 
-The phrases are dealt to slices of about ``CHUNK_WORDS`` words by a hash of their first item, and a task
+The phrases are dealt to slices of about ``CHUNK_WORDS`` words by a hash of their text, and a task
 takes one block and one slice, so its memory does not grow with the benchmark. They are broadcast only where there is
 one slice. Nothing of the benchmark passes through the driver but the number of its words.
 
@@ -186,7 +186,7 @@ def search(index: tuple[DataFrame, DataFrame], benchmark: DataFrame, window: int
         none = [F.array().cast(t).alias(c) for c, t in (("hits", "array<int>"), ("items", "array<string>"), ("near_items", "array<string>"))]
         return documents.select("doc_id", "key", "n_words", *none, F.lit(0).cast("long").alias("n_near"))
     n = -(-words // chunk_words)
-    phrases = phrases.withColumn("slice", F.pmod(F.xxhash64(F.col("items")[0]), F.lit(n)).cast("int"))
+    phrases = phrases.withColumn("slice", F.pmod(F.xxhash64("phrase"), F.lit(n)).cast("int"))
     table = _search(postings, documents, phrases, n, within)
     if n == 1:
         return table.drop("block", "start")
