@@ -25,7 +25,8 @@ distinct entities of the corpus, those whose surrogate equals another's or a
 real entity, raises their counter and looks again until none is left; only
 these exceptions, and names whose mentions differ in the gender they state, are joined back (broadcast within the checked bound, by
 shuffle beyond it). All others are rewritten in the scan, so a hot entity
-moves no rows.
+moves no rows. The patterns see each text once: its gaps and mentions are staged
+in the shared folder (about the size of the input), and both the entities and the rewriting read them there.
 
 Defined results: null text stays null, empty text empty; texts without
 entities are unchanged. Equal entities get equal surrogates everywhere, unequal
@@ -205,20 +206,49 @@ def surrogate(mention: Column, typ: Column, norm: Column, digest: Column, bump:
             .otherwise(F.concat(F.regexp_extract(mention, SECRET_HEAD, 0), bare, _grown(digest, bump - 1, "0123456789"))))
 
 
-def mentions(text: Column) -> Column:
-    """array<struct<mention, type, norm>> of a text, in order."""
-    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
+def pieces(text: Column) -> Column:
+    """array<string> of a text: gap, mention, gap and so on, up to a last gap.
+
+    One pass of the patterns: mentions are set between NUL characters, and the text is cut there.
+    A text that has NUL characters of its own is read twice instead, for its mentions and for its gaps.
+    """
+    marked = F.split(F.regexp_replace(text, ANY, "\0$0\0"), "\\x00", -1)
+    found = F.concat(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), F.array(F.lit("")))
+    pairs = F.flatten(F.zip_with(F.split(text, ANY, -1), found, lambda g, m: F.array(g, m)))
+    return F.when(F.contains(text, F.lit("\0")), F.slice(pairs, F.lit(1), F.size(pairs) - 1)).otherwise(marked)
+
+
+def mentions(cut: Column) -> Column:
+    """array<struct<mention, type, norm>> of the ``pieces`` of a text, in order."""
+    found = F.filter(cut, lambda _, i: i % 2 == 1)
     typed = F.transform(found, lambda m: F.struct(m.alias("mention"), kind(m).alias("type")))
     return F.transform(typed, lambda m: F.struct(m["mention"].alias("mention"), m["type"].alias("type"),
                                                  normal_form(m["mention"], m["type"]).alias("norm")))
 
 
-def entities(docs: DataFrame) -> DataFrame:
-    """Distinct (type, norm) of the corpus with one mention each, reduced before the shuffle.
+def cut_texts(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """``docs`` with the gaps and mentions of each text, staged, and the names of these two columns.
+
+    All later steps read this table, so the patterns see each text once. Both columns are null, and ``text``
+    is kept, where there is no mention; elsewhere gaps and mentions hold the text, and ``text`` is null.
+    """
+    cut, gaps, found = fresh(docs, "_c", "_g", "_m")
+    text = F.col("text").cast("string")
+    work = docs.withColumn("text", text).withColumn(cut, pieces(text))
+    some = F.size(cut) > 1
+    work = work.select(*[F.when(~F.coalesce(some, F.lit(False)), F.col("text")).alias("text") if c == "text" else F.col(f"`{c}`")
+                         for c in docs.columns],
+                       F.when(some, F.filter(cut, lambda _, i: i % 2 == 0)).alias(gaps),
+                       F.when(some, mentions(F.col(cut))).alias(found))
+    return stage(work, "pii-cut"), gaps, found
+
+
+def entities(work: DataFrame, found: str = "_m") -> DataFrame:
+    """Distinct (type, norm) of the mentions in column ``found`` with one mention each, reduced before the shuffle.
 
     ``gender`` is the entity's; ``mixed`` says that not every mention states it and a given name depends on it.
     """
-    found = docs.select(F.explode(mentions(F.col("text").cast("string"))).alias("m"))
+    found = work.select(F.explode(found).alias("m"))
     states = lambda g: F.max((stated_gender(F.col("m.mention")) == g).cast("int")).alias(g)
     found = found.groupBy(F.col("m.type").alias("type"), F.col("m.norm").alias("norm")).agg(
         F.min("m.mention").alias("mention"), states("f"), states("m"), states("u"))
@@ -271,10 +301,9 @@ def collisions(found: DataFrame, key: str, rounds: int = 60) -> DataFrame:
 
 def replace(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with ``text`` rewritten and ``n_entities`` added."""
-    exceptions = collisions(entities(docs), key)
-    text = F.col("text").cast("string")
-    found, bumps = fresh(docs, "_m", "_bumps")
-    work = docs.withColumn(found, mentions(text))
+    work, gaps, found = cut_texts(docs)
+    exceptions = collisions(entities(work, found), key)
+    (bumps,) = fresh(work, "_bumps")
     n = exceptions.count()
     if n == 0:
         own = lambda m: F.lit(None).cast("struct<bump:int,gender:string>")
@@ -287,18 +316,17 @@ def replace(docs: DataFrame, key: str) -> DataFrame:
         "gender", F.coalesce(own(m)["gender"], stated_gender(m["mention"]))).withField(
         "digest", digest_of(m["type"], m["norm"], bump(m), key)))
     new = F.transform(keyed, lambda m: surrogate(m["mention"], m["type"], m["norm"], m["digest"], m["bump"], m["gender"]))
-    gaps = F.split(text, ANY, -1)
     out = F.array_join(F.zip_with(gaps, F.concat(new, F.array(F.lit(""))), lambda g, s: F.concat(g, s)), "")
-    return (work.withColumn("text", F.when(F.size(found) > 0, out).otherwise(text))
-            .withColumn("n_entities", F.coalesce(F.size(found), F.lit(0)).cast("long"))
-            .drop(found, bumps))
+    return (work.withColumn("text", F.when(F.col(found).isNull(), F.col("text")).otherwise(out))
+            .withColumn("n_entities", F.when(F.col(found).isNull(), 0).otherwise(F.size(found)).cast("long"))
+            .drop(gaps, found, bumps))
 
 
 def _with_bumps(work: DataFrame, exceptions: DataFrame, n: int, found: str, bumps: str) -> DataFrame:
-    """Attach map ``bumps`` of the row's own exceptions: one row per distinct text with mentions takes part."""
-    key = F.sha2(F.col("text").cast("string"), 256)
+    """Attach map ``bumps`` of the row's own exceptions: one row per distinct list of mentions takes part."""
+    key = F.sha2(F.to_json(found), 256)
     (name,) = fresh(work, "_k")
-    pairs = (work.filter(F.size(found) > 0).select(key.alias("_k"), F.explode(F.array_distinct(F.transform(
+    pairs = (work.filter(F.col(found).isNotNull()).select(key.alias("_k"), F.explode(F.array_distinct(F.transform(
         found, lambda m: F.concat_ws("\x1f", m["type"], m["norm"])))).alias("_e")).distinct()
         .join(small_side(exceptions, n), "_e"))
     maps = stage(pairs.groupBy(F.col("_k").alias(name)).agg(

@@ -247,7 +247,7 @@ def test_forced_collisions_are_resolved(spark, monkeypatch):
     """With sixteen names for six entities most names clash at first; every entity still ends with its own surrogate."""
     monkeypatch.setitem(pii.SYLLABLES, "latin", ["ba", "den"] * 8)
     rows = [(i, f"Mr. {c}ool and Mr. {c}ool") for i, c in enumerate("ABCDEF")]
-    exceptions = pii.collisions(pii.entities(docs(spark, rows)), "k")
+    exceptions = pii.collisions(pii.entities(pii.cut_texts(docs(spark, rows))[0]), "k")
     assert exceptions.count() > 0
     got = [r["text"] for r in pii.replace(docs(spark, rows), "k").collect()]
     assert all(t.split(" and ")[0] == t.split(" and ")[1] for t in got) and len(set(got)) == 6
@@ -313,7 +313,7 @@ def test_every_address_of_a_full_layout_is_replaced(spark):
 def test_long_adversarial_texts_end(spark, piece, n):
     few = piece * (n // 20)
     for text in (piece * n, "a@" + few, "password: " + few, "Mr. " + few):
-        out = spark.createDataFrame([(text,)], "text string").select(F.size(pii.mentions(F.col("text"))).alias("n")).first()
+        out = spark.createDataFrame([(text,)], "text string").select(F.size(pii.mentions(pii.pieces(F.col("text")))).alias("n")).first()
         assert out["n"] >= 0
 
 
@@ -333,7 +333,7 @@ def test_surrogates_match_a_plain_version(spark):
                       .replace(r"\p{Lu}", "[A-ZÀ-ÖØ-ÞА-Я]").replace(r"\p{Ll}", "[a-zß-öø-ÿа-я]").replace(r"\p{L}", "[^\\W\\d_]"))
     mapped = 0
     got = {r["doc_id"]: r["text"] for r in pii.replace(docs(spark, rows), "k").collect()}
-    exceptions = {(r["type"], r["norm"]) for r in pii.collisions(pii.entities(docs(spark, rows)), "k").collect()}
+    exceptions = {(r["type"], r["norm"]) for r in pii.collisions(pii.entities(pii.cut_texts(docs(spark, rows))[0]), "k").collect()}
     mail = re.compile("(?:" + pii.PATTERNS["email"] + r")\Z")
     for i, t in rows:
         new, at, end = got[i] or "", 0, 0
@@ -360,6 +360,26 @@ def test_surrogates_match_a_plain_version(spark):
     assert mapped
 
 
+@pytest.mark.parametrize("text", [
+    "", "a", "x@y.de", "to x@y.de and q@r.fr.", "\0", "\0x@y.de\0", "a\0b x@y.de x@y.de \0\0 1.2.3.4", "Mr John Smith\n+1 (415) 555-2671", "$0 \\ x@y.de $1"])
+def test_pieces_are_gaps_and_mentions_in_turn(spark, text):
+    row = spark.createDataFrame([(text,)], "text string").select(
+        pii.pieces(F.col("text")).alias("cut"), F.regexp_extract_all("text", F.lit(pii.ANY), F.lit(0)).alias("found")).first()
+    assert "".join(row["cut"]) == text and row["cut"][1::2] == row["found"] and len(row["cut"]) % 2 == 1
+    new = one_text(spark, text)
+    assert new["n_entities"] == len(row["found"]) and (new["text"] == text) == (not row["found"])
+
+
+def test_patterns_see_a_text_once(spark):
+    """Entities and the rewriting read the staged pieces: no pattern runs over texts in their plans."""
+    work, gaps, found = pii.cut_texts(docs(spark, [(1, "to x@y.de"), (2, "none"), (3, None)]))
+    assert [(r["text"], r[gaps], r[found] and len(r[found])) for r in work.orderBy("doc_id").collect()] == [
+        (None, ["to ", ""], 1), ("none", None, None), (None, None, None)]
+    for plan in (pii.entities(work, found), pii.replace(docs(spark, [(1, "to x@y.de"), (2, "none")]), "k")):
+        text = plan._jdf.queryExecution().optimizedPlan().toString()
+        assert "regexp_extract_all" not in text and "\0$0\0" not in text
+
+
 def test_pii_edges(spark):
     rows = edge_rows()
     df = docs(spark, rows, clash=True)
