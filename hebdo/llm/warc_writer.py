@@ -1,8 +1,9 @@
 """WARC archives: a deterministic sharded writer, and a reader.
 
 Records are dealt into shards by ranges of (url, page_id). The bounds come
-from a hashed sample of the keys, so they depend on the rows alone and not on
-the cluster; a shard is sorted and written by one task, which rolls to
+from a hashed sample of the keys, in proportion to the number of shards, so they depend on the rows alone and not on
+the cluster. Spark picks them from the sorted sample, one row per shard reaches the driver, and tasks find a
+record's shard by bisection. A shard is a partition of its own, sorted and written by one task, which rolls to
 the next file at ``ROLL_BYTES`` of compressed size. Headers are generated
 anew: record ids, dates, lengths and digests follow from page and payload.
 
@@ -29,7 +30,9 @@ from __future__ import annotations
 import hashlib
 import zlib
 from base64 import b32encode
+from bisect import bisect_right
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +41,9 @@ from hebdo.sources.files import scratch_path
 
 ROLL_BYTES = 64_000_000
 REVISIT_BYTES = 1000
-MIN_SHARDS, SHARD_BYTES = 48, 128_000_000
+MIN_SHARDS, SHARD_BYTES = 48, 512_000_000
+#: Keys a shard in the sample that gives the bounds.
+SAMPLE = 64
 #: Fixed date of generated records: the writer regenerates headers and has no crawl time.
 DATE = "2024-01-01T00:00:00Z"
 
@@ -80,15 +85,34 @@ def responses(pages: DataFrame) -> DataFrame:
                  .select("digest", "first"), "warc-responses")
 
 
-def shard_bounds(pages: DataFrame, shards: int, sample: int = 20_000) -> list[str]:
-    """Deterministic range bounds on url from a hashed sample of at most about ``sample`` keys."""
-    grain = 1_000_000
+def shard_bounds(pages: DataFrame, shards: int, sample: int = SAMPLE) -> list[tuple[str, int]]:
+    """Ascending distinct (url, page_id) at which a shard begins (but the first), at most ``shards`` - 1.
+
+    The hashed sample holds about ``sample`` keys a shard, all keys where there are fewer; it is sorted and numbered
+    by Spark, range by range.
+    """
+    grain = 1 << 40
     keys = pages.select(F.coalesce("url", F.lit("")).alias("url"), F.coalesce(F.col("page_id").cast("long"), F.lit(-1)).alias("p"))
     n = keys.count()
-    share = min(grain, max(1, int(grain * sample / max(n, 1))))
-    got = sorted((r["url"], r["p"]) for r in keys.filter(F.pmod(F.xxhash64("url", "p"), F.lit(grain)) < share).collect())
-    picked = [got[len(got) * k // shards] for k in range(1, shards)] if got else []
-    return sorted(set(picked))
+    share = min(grain, max(1, grain * sample * shards // max(n, 1)))
+    # ranges of the sample by its first characters, each with the number of keys before it
+    picked = stage(keys.filter(F.pmod(F.xxhash64("url", "p"), F.lit(grain)) < F.lit(share)).repartitionByRange("url", "p")
+                   .sortWithinPartitions("url", "p").select("url", "p", F.spark_partition_id().alias("part"),
+                                                            F.monotonically_increasing_id().alias("at")), "warc-sample")
+    sizes = sorted((r["part"], r["n"], r["least"]) for r in picked.groupBy("part").agg(
+        F.count(F.lit(1)).alias("n"), F.min("at").alias("least")).collect())
+    total, before, starts = sum(k for _, k, _ in sizes), 0, []
+    for part, k, least in sizes:
+        starts.append((part, before - least))
+        before += k
+    if not total or shards < 2:
+        return []
+    shift = picked.sparkSession.createDataFrame(starts, "part int, shift long")
+    rank = picked.join(F.broadcast(shift), "part").select("url", "p", (F.col("at") + F.col("shift")).alias("rank"))
+    # rank r begins shard k where r is total * k // shards
+    k = F.floor((F.col("rank") * shards + shards - 1) / total).cast("long")
+    edge = (k > 0) & (k < shards) & (F.floor(k * total / F.lit(shards)).cast("long") == F.col("rank"))
+    return sorted({(r["url"], r["p"]) for r in rank.filter(edge).select("url", "p").collect()})
 
 
 def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, shards: int | None = None) -> DataFrame:
@@ -98,21 +122,22 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, shards: i
     if shards is None:
         total = pages.agg(F.coalesce(F.sum(F.length("html")), F.lit(0))).first()[0]
         shards = max(MIN_SHARDS, int(total // SHARD_BYTES) + 1)
-    bounds = shard_bounds(pages, shards)
+    bounds = spark.sparkContext.broadcast(shard_bounds(pages, shards))
+
+    @F.pandas_udf("int")
+    def shard_of(url: pd.Series, p: pd.Series) -> pd.Series:
+        return pd.Series([bisect_right(bounds.value, key) for key in zip(url, p)], dtype="int32")
+
     first = responses(pages)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"),
                         html.alias("html"), F.sha1(html.cast("binary")).alias("digest"))
     rows = rows.join(small_side(first), "digest", "left")
-    edges = F.array(*[F.struct(F.lit(u).alias("url"), F.lit(p).cast("long").alias("p")) for u, p in bounds]) if bounds else None
-    own = F.struct(F.col("url").alias("url"), F.coalesce("page_id", F.lit(-1)).alias("p"))
-    shard = F.size(F.filter(edges, lambda b: b <= own)) if bounds else F.lit(0)
-    rows = (rows.withColumn("shard", shard).repartition(shards, "shard")
-            .sortWithinPartitions("shard", "url", F.col("page_id").asc_nulls_first(), "digest"))
+    rows = rows.withColumn("shard", shard_of(F.col("url"), F.coalesce("page_id", F.lit(-1))))
+    rows = rows.repartitionById(shards, "shard").sortWithinPartitions("shard", "url", F.col("page_id").asc_nulls_first(), "digest")
 
     fields = ("page_id", "url", "html", "digest", "copied", "top_id", "top_url", "shard")
 
     def run(batches):
-        import pandas as pd
         from pyspark import TaskContext
         fs, base = _fs(folder)
         fs.create_dir(base, recursive=True)
@@ -186,7 +211,6 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
     with_workers(manifest.sparkSession)
 
     def run(batches):
-        import pandas as pd
         from urllib.parse import unquote
         from base64 import b32decode
         fs, base = _fs(folder)
@@ -214,7 +238,6 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
                 yield frame(rows)
 
     def frame(rows):
-        import pandas as pd
         out = pd.DataFrame(rows, columns=["page_id", "url", "payload", "payload_bytes", "payload_digest", "record_type", "refers_to"])
         return out.astype({"page_id": "Int64", "refers_to": "Int64", "payload_bytes": "int64"})
 

@@ -178,6 +178,24 @@ def test_archive_is_deterministic_and_rolls(spark):
     assert files[0] == files[1] and len(files[0]) > 8 and sum(f[1] for f in files[0]) == 300
 
 
+@pytest.mark.parametrize("n, shards", [(0, 4), (1, 3), (5, 9), (300, 7), (300, 1)])
+def test_shard_bounds_cut_the_sorted_keys_evenly(spark, n, shards):
+    rows = [(i, f"http://h/{i * 7 % 5}" if i % 9 else None, "x") for i in range(n)]
+    want = sorted((u or "", p) for p, u, _ in rows)
+    want = sorted({want[n * k // shards] for k in range(1, shards)}) if n else []
+    for parts in (1, 6):
+        assert warc.shard_bounds(spark.createDataFrame(rows, PAGES).repartition(parts), shards) == want
+
+
+def test_a_hot_url_is_split_and_no_bound_is_in_the_plan(spark, monkeypatch):
+    plans, df = [], spark.createDataFrame([(i, "http://hot", "x") for i in range(400)], PAGES)
+    keep = type(df).mapInPandas
+    monkeypatch.setattr(type(df), "mapInPandas", lambda self, *a: (plans.append(self), keep(self, *a))[1])
+    files = [r["file"] for r in warc.write(df, scratch_path(spark, "warc-hot"), shards=8).collect()]
+    assert len({f[:12] for f in files}) == 8
+    assert "http://hot" not in plans[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_damaged_record_is_found():
     import io
     data = warc.record("1", "http://a", b"payload", hashlib.sha1(b"payload").hexdigest(), None, 7)
