@@ -9,10 +9,10 @@ with halving. A long autoregression gives the first residuals.
 1. ``w = (1-B)(1-B^52) y`` comes from window functions partitioned by series
    (one sort per series, weekly grain); each series' weeks are packed into
    one row by a grouped aggregate (bounded by the calendar, not the data).
-2. ``mapInPandas`` over Arrow batches fits all candidates and runs the
-   forecast recursion for every series of the batch at once: series are stacked
-   right-aligned, padded in front with zeros (which the zero start
-   values make exact), and every recursion is a loop over weeks on
+2. ``mapInArrow`` fits all candidates and runs the forecast recursion for many series at
+   once, in runs of at most ``CELLS`` weeks of an Arrow batch (one series at least), so a task's memory does not grow
+   with the series it gets: series are stacked right-aligned, padded in front with
+   zeros (which the zero start values make exact), and every recursion is a loop over weeks on
    (series, coefficient) arrays.
 3. Every series gets a forecast: where no candidate has more weeks than
    coefficients, or all designs are singular, the row says so in ``error`` and
@@ -35,6 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from hebdo.functions.cleaning import round_half_up as R
 from hebdo.operators.series import holdout_split
@@ -58,6 +59,8 @@ DEFAULT_ORDER = (1, 1, 1, 0)          # (1,1,1)(1,1,0,52): the single default fi
 #: Lags of the long autoregression that gives the first residuals.
 START_LAGS = (1, 2, 3, 4, 5, 6, 52, 53, 104)
 STEPS = 25
+#: Weeks stacked at once, padding included.
+CELLS = 100_000
 
 
 def candidate_features(p: int, q: int, P: int, Q: int, exog: bool) -> list[str]:
@@ -297,12 +300,16 @@ def sarima_grid(series: DataFrame, key: str = "series_id", value: str = "cases",
         *[T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("yhat", "lo95", "hi95")]])
 
     def run(batches):
-        for pdf in batches:
-            yield pd.DataFrame(_fit_batch(pdf, key, grid, exog is not None, horizon), columns=schema.names)
+        import pyarrow as pa
+        kinds = to_arrow_schema(schema)
+        for batch in batches:
+            for part in _runs(batch):
+                columns = zip(*_fit_batch(part.to_pandas(integer_object_nulls=True), key, grid, exog is not None, horizon))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t, from_pandas=True) for c, t in zip(columns, kinds.types)], schema=kinds)
 
     # fits and predictions are each read by several consumers: materialised once
     # in the shared checkpoint folder (lineage cut)
-    done = packed.mapInPandas(run, schema).checkpoint()
+    done = packed.mapInArrow(run, schema).checkpoint()
     fits = done.filter(F.col("candidate_id") != FALLBACK).drop("h", "last_week", "yhat", "lo95", "hi95")
     preds = (done.filter("error = ''").select(
         key, "candidate_id", "h", "last_week", F.posexplode(F.arrays_zip("yhat", "lo95", "hi95")).alias("k", "v"))
@@ -322,8 +329,21 @@ def refit_full(series: DataFrame, best: DataFrame, key: str = "series_id", value
     return fits, preds
 
 
+def _runs(batch):
+    """Slices of an Arrow batch of packed series whose stack has at most ``CELLS`` weeks (one series at least)."""
+    import pyarrow.compute as pc
+    size = pc.list_value_length(batch.column("y")).to_numpy(zero_copy_only=False)
+    at = 0
+    while at < len(size):
+        # series so far times the longest of them
+        cells = np.maximum.accumulate(size[at:at + CELLS]) * np.arange(1, min(len(size) - at, CELLS) + 1)
+        n = max(1, int(np.searchsorted(cells, CELLS, "right")))
+        yield batch.slice(at, n)
+        at += n
+
+
 def _fit_batch(pdf: pd.DataFrame, key: str, grid: list, exog: bool, horizon: int) -> list[tuple]:
-    """Rows of one Arrow batch: all series of the batch are fitted and forecast together, by holdout length."""
+    """Rows of one run of series: all series of it are fitted and forecast together, by holdout length."""
     out = []
     tests = [np.asarray(v, bool) for v in pdf["is_test"]]
     ys = [np.asarray(v, float)[~t] for v, t in zip(pdf["y"], tests)]

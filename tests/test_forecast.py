@@ -138,6 +138,27 @@ def test_alone_equals_among_many(spark):
         assert np.allclose(x[k], y[k], rtol=1e-9, atol=1e-12)
 
 
+def test_weeks_stacked_at_once_stay_bounded_however_many_series_come(spark, monkeypatch):
+    """A batch of many series, one of them far longer than the rest, is fitted in runs, each row as it is alone."""
+    import pyarrow as pa
+    sizes = {f"s{i}": 110 + 7 * (i % 9) for i in range(40)} | {"long": 600}
+    df = _frame(spark, {k: _sim(i, n) for i, (k, n) in enumerate(sizes.items())})
+    caught, real = {}, type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, run, *a: caught.update(run=run, rows=self) or real(self, run, *a))
+    fits = FC.sarima_grid(df, grid=[(1, 1, 0, 1)])[0].collect()
+    monkeypatch.setattr(FC, "CELLS", 1000)
+    stacks, fit = [], FC.fit_css
+    monkeypatch.setattr(FC, "fit_css", lambda w, x, feats: stacks.append(w.shape) or fit(w, x, feats))
+    batch = pa.Table.from_batches(caught["rows"].toArrow().to_batches()).combine_chunks().to_batches()[0]
+    out = [r for part in caught["run"]([batch]) for r in part.to_pylist() if r["candidate_id"] != FC.FALLBACK]
+    assert batch.num_rows == len(sizes) and max(n for _, n in stacks) > 1
+    assert all(n == 1 or weeks * n <= 1000 for weeks, n in stacks)
+    assert sorted((r["series_id"], r["error"]) for r in out) == sorted((r["series_id"], r["error"]) for r in fits)
+    alone = {r["series_id"]: r["coef"] for r in fits}
+    for r in out:
+        assert r["error"] or np.allclose(r["coef"], alone[r["series_id"]], rtol=1e-9, atol=1e-12)
+
+
 def test_harmonic_fits_pure_seasonal(spark):
     t = np.arange(300)
     y = 50 + 5 * np.sin(2 * np.pi * 7 * t / 365.25) + 0.1 * t
