@@ -196,21 +196,27 @@ class Decoder:
     """Texts of ids: the bytes of each piece in a row."""
 
     def __init__(self, model: bytes):
+        import pyarrow as pa
         import sentencepiece as sp
         m = sp.SentencePieceProcessor(model_proto=model)
         names = ((i, m.id_to_piece(i)) for i in range(m.get_piece_size()))
-        self.bytes_of = [bytes([int(p[3:5], 16)]) if m.is_byte(i) else b"" if m.is_control(i) else p.replace(
-            MARK, " ").encode() for i, p in names]
-
-    def run(self, ids: list[int] | None) -> str | None:
-        if ids is None:
-            return None
-        raw = b"".join(map(self.bytes_of.__getitem__, ids))
-        return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
+        self.pieces = pa.array([bytes([int(p[3:5], 16)]) if m.is_byte(i) else b"" if m.is_control(i) else p.replace(
+            MARK, " ").encode() for i, p in names], pa.binary())
 
     def column(self, batch):
+        """Texts of a whole batch: bytes taken by id, joined by row, the blank put in front taken off."""
+        import numpy as np
         import pyarrow as pa
-        return pa.array([self.run(ids) for ids in batch.column("ids").to_pylist()], pa.string())
+        import pyarrow.compute as pc
+        ids = batch.column("ids")
+        ends = np.cumsum(np.append(0, pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)), dtype=np.int32)
+        pieces = pa.ListArray.from_arrays(pa.array(ends), self.pieces.take(ids.flatten()), mask=ids.is_null())
+        raw = pc.binary_join(pieces, b"")
+        raw = pc.if_else(pc.starts_with(raw, b" "), pc.binary_replace_slice(raw, 0, 1, b""), raw)
+        try:
+            return raw.cast(pa.string())
+        except pa.ArrowInvalid:  # byte pieces that are no UTF-8 on their own
+            return pa.array([r if r is None else r.decode("utf-8", "replace") for r in raw.to_pylist()], pa.string())
 
 
 @lru_cache(maxsize=2)
