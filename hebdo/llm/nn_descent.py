@@ -17,11 +17,12 @@ lengths agree. Equal vectors are one node with a weight, so copies never meet.
 5. Audit: hashed samples of nodes, growing up to ``AUDIT[-1]``, are compared with all vectors until they
    hold ``AUDIT_LINKS`` links (at most ``PER_NODE`` of one node). Below ``RECALL`` of these links inside
    components, another start and descent follows, up to ``STARTS``.
-6. Where the audit holds too few links to measure that recall, or the starts do not reach it, all pairs of
-   each label of at most ``EXACT_ROWS`` vectors that are in different components are compared in tiles, so
-   small labels are exact. Larger labels are never compared pair by pair: there, with few links to measure
-   on, wider starts follow until one joins no two components and every audited link is found. If after
-   all starts the recall measured is below ``FLOOR``, the operator fails instead of returning a part.
+6. Where the audit holds too few links to measure that recall, wider starts follow until one joins no two
+   components and every audited link is found. If the starts end before either is reached, all pairs of each
+   label that are in different components are compared in tiles. What is searched and compared depends on
+   what was found, never on a label's size: a table gets one and the same way whatever its rows are part of.
+   The pairs of a label grow with its square, so beyond ``EXACT_ROWS`` vectors a warning goes before them.
+   If the recall is below ``FLOOR`` even then, the operator fails instead of returning a part.
 
 ``audit_recall`` is the share of the audit's links inside the final components, without the audit's own
 edges; null where the audit found no link.
@@ -34,6 +35,7 @@ with nothing and form their own component; so do rows with a null vec_id, which
 from __future__ import annotations
 
 import math
+import warnings
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -52,7 +54,7 @@ STARTS = 6
 #: Audit: sizes of the node sample, bound on its bytes, links it must hold, of one node at most, share to be found.
 AUDIT, AUDIT_BYTES = (1024, 8192), 64_000_000
 AUDIT_LINKS, PER_NODE, RECALL = 1000, 8, 0.999
-#: Vectors of the largest label that may be compared pair by pair, and the recall below which there is no result.
+#: Vectors of a label whose comparison pair by pair is announced by a warning, and the recall below which there is no result.
 EXACT_ROWS, FLOOR = 16_384, 0.9
 #: Vectors in a block of the exact pass, and rows of it compared at a time.
 WIDE, STRIP = 2048, 512
@@ -356,10 +358,9 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
     n = vectors.count()
     truth = audit(vectors, kind, threshold)
     measured = truth.count() >= AUDIT_LINKS
-    sizes = stage(vectors.groupBy("grp").agg(F.count(F.lit(1)).alias("size")), "label-sizes")
-    largest = sizes.agg(F.max("size")).first()[0] or 0
+    largest = vectors.groupBy("grp").count().agg(F.max("count")).first()[0] or 0
     orders, bits, rounds = search_size(largest, threshold)
-    links, lists, joined = None, None, None
+    links, lists, joined, settled = None, None, None, False
     for salt in range(STARTS):
         edges = start_edges(vectors, kind, salt, threshold, orders * (1 + salt // 2), bits)
         links = links_of(edges) if links is None else links.union(links_of(edges))
@@ -372,20 +373,20 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
                 break
         cc = components(links)
         recall = audited(truth, cc)
-        if measured and recall >= RECALL or not measured and largest <= EXACT_ROWS:
-            break
-        if not measured:
+        if measured:
+            settled = recall >= RECALL
+        else:
             before, joined = joined, cc.agg(F.count(F.lit(1)) - F.count_distinct("component")).first()[0]
-            if joined == before and recall in (None, 1.0):
-                break
-    if not measured or recall < RECALL:
-        small = sizes.filter(F.col("size") <= EXACT_ROWS)
-        if not small.isEmpty():
-            some = vectors.join(small_side(small.select("grp")), "grp", "left_semi").select(*vectors.columns)
-            links = links.union(exact_edges(some, cc, kind, threshold))
-            recall = audited(truth, components(links))
-        if recall is not None and recall < FLOOR:
-            raise RuntimeError(f"of {truth.count()} links audited only the share {recall:.3f} was found: allow more starts or orders")
+            settled = joined == before and recall in (None, 1.0)
+        if settled:
+            break
+    if not settled:
+        if largest > EXACT_ROWS:
+            warnings.warn(f"after {STARTS} starts links are missing: all pairs of labels of up to {largest} vectors are compared")
+        links = links.union(exact_edges(vectors, cc, kind, threshold))
+        recall = audited(truth, components(links))
+    if recall is not None and recall < FLOOR:
+        raise RuntimeError(f"of {truth.count()} links audited only the share {recall:.3f} was found: allow more starts or orders")
     links = links.union(truth)
     cc = components(links)
     far = count_links(vectors, cc, kind, threshold)

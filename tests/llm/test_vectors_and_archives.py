@@ -81,6 +81,29 @@ def test_large_labels_are_never_compared_pair_by_pair(spark, monkeypatch):
     assert got[0]["audit_recall"] == 1.0 and sum(r["n_links"] for r in got) == 8
 
 
+@pytest.mark.parametrize("bound", [10, 10**6])
+def test_the_exact_pass_follows_what_was_found_not_a_size(spark, monkeypatch, bound):
+    """Labels on either side of the bound: a search that found all needs no exact pass, one that misses links gets it whole."""
+    rng = np.random.default_rng(21)
+    rows = [(i, [float(c) for c in rng.standard_normal(16)], int(i % 2)) for i in range(240)]
+    rows += [(1000 + i, [c * (1 + 0.02 * (k % 3)) for k, c in enumerate(rows[i][1])], rows[i][2]) for i in range(60)]
+    want = sorted(brute(rows))
+    monkeypatch.setattr(nn, "EXACT_ROWS", bound)
+    passes, exact = [], nn.exact_edges
+    monkeypatch.setattr(nn, "exact_edges", lambda *a: passes.append(1) or exact(*a))
+
+    def found():
+        got = nn.near_duplicates(spark.createDataFrame(rows, VECTORS)).collect()
+        assert {r["audit_recall"] for r in got} == {1.0}
+        return sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in got)
+
+    assert found() == want and not passes
+    # a weak search, and an audit that sees only a part of the links
+    for name, value in (("BLOCK", 2), ("ORDERS", 1), ("ROUNDS", 0), ("STARTS", 2), ("AUDIT", (40,)), ("AUDIT_LINKS", 1)):
+        monkeypatch.setattr(nn, name, value)
+    assert found() == want and passes
+
+
 def test_a_recall_below_the_floor_fails(spark, monkeypatch):
     rng = np.random.default_rng(12)
     base = [[float(c) for c in rng.standard_normal(16)] for _ in range(150)]
